@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.session import list_dirs, path_exists
+from tidewell.operators.deltas import complete
 
 
 def jdbc_options(
@@ -81,19 +81,11 @@ def extract_increment(source: DataFrame, target: str, id_col: str) -> int:
 
 def high_water_mark(spark: SparkSession, target: str) -> int | None:
     """The largest id extracted so far; unfinished extracts do not count."""
-    return max(_finished(spark, target), default=None)
-
-
-def _finished(spark: SparkSession, target: str) -> list[int]:
-    marks = []
-    for name in list_dirs(spark, f"{target}/extracts"):
-        if path_exists(spark, f"{target}/extracts/{name}/_SUCCESS"):
-            marks.append(int(name.split("=", 1)[1]))
-    return marks
+    return max(complete(spark, f"{target}/extracts"), default=None)
 
 
 def read_extracts(spark: SparkSession, target: str) -> DataFrame:
-    paths = [f"{target}/extracts/upto={m}" for m in sorted(_finished(spark, target))]
+    paths = [f"{target}/extracts/upto={m}" for m in complete(spark, f"{target}/extracts")]
     return spark.read.parquet(*paths)
 
 
