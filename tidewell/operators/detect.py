@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -83,13 +84,10 @@ def score_with_model(
     ``model`` is anything with a ``predict`` over a two-dimensional array. It is
     broadcast, so each Python worker reads it once.
     """
-    import pandas as pd
-
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def predict(*columns: pd.Series) -> pd.Series:
-        rows = pd.concat(columns, axis=1).to_numpy(dtype="float64")
-        return pd.Series(shared.value.predict(rows), dtype="float64")
+    def predict(rows: pd.DataFrame) -> pd.Series:
+        return pd.Series(shared.value.predict(rows.to_numpy(dtype="float64")), dtype="float64")
 
-    return df.withColumn(name, predict(*[F.col(c).cast("double") for c in features]))
+    return df.withColumn(name, predict(F.struct(*[F.col(c).cast("double") for c in features])))

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.text import contains, has_token, normal_term, tokens
 
+TASK_BYTES = 64 * 1024 * 1024  # table bytes per index task
+MIN_BUCKETS, MAX_BUCKETS = 8, 4096
+
 
 def _grouped(df: DataFrame, group: str, name: str) -> DataFrame:
     return df.groupBy(group).agg(F.count("*").alias(name)).orderBy(F.desc(name), group)
@@ -69,7 +72,12 @@ def postings(df: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def build_text_index(
-    df: DataFrame, id_col: str, text: str, path: str, buckets: int = 64, spread: int = 8
+    df: DataFrame,
+    id_col: str,
+    text: str,
+    path: str,
+    buckets: int | None = None,
+    spread: int | None = None,
 ) -> None:
     """Writes the postings of ``df`` under ``path``, one folder per term bucket.
 
@@ -77,36 +85,51 @@ def build_text_index(
     bucket the rows are spread over ``spread`` tasks by document, because a term
     found in every document would otherwise be written by a single task, and
     they are sorted by term, so the reader skips the row groups of other terms.
+    Both numbers follow the size of the table unless given.
     """
-    bucket, part = term_bucket(F.col("term"), buckets), F.pmod(F.xxhash64("doc_id"), F.lit(spread))
+    tasks = estimated_bytes(df) // TASK_BYTES + 1
+    buckets = buckets or min(MAX_BUCKETS, max(MIN_BUCKETS, tasks))
+    spread = spread or max(1, -(-tasks // buckets))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(spread))
     (
         postings(df, id_col, text)
-        .select("term", "doc_id", "tf", bucket.alias("bucket"), part.alias("_part"))
+        .withColumn("buckets", F.lit(buckets))
+        .withColumn("bucket", term_bucket(F.col("term"), F.col("buckets")))
+        .withColumn("_part", part)
         .repartition(buckets * spread, "bucket", "_part")
         .sortWithinPartitions("bucket", "term", "doc_id")
         .drop("_part")
         .write.mode("overwrite")
-        .partitionBy("bucket")
+        .partitionBy("buckets", "bucket")
         .parquet(path)
     )
 
 
-def term_bucket(term: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate of ``df``, for a table the size of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def term_bucket(term: Column, buckets: Column) -> Column:
+    return F.pmod(F.xxhash64(term), buckets).cast("int")
 
 
-def lookup(index: DataFrame, term: str, buckets: int = 64) -> DataFrame:
-    """The postings of one term, read from its bucket only."""
+def lookup(index: DataFrame, term: str) -> DataFrame:
+    """The postings of one term. Only the folder of its bucket is read.
+
+    Both sides of the bucket test are folder names or constants, so Spark
+    decides it before opening any file.
+    """
     token = normal_term(term)
-    in_bucket = F.col("bucket") == term_bucket(F.lit(token), buckets)
+    in_bucket = F.col("bucket") == term_bucket(F.lit(token), F.col("buckets"))
     return index.filter(in_bucket & (F.col("term") == token))
 
 
 def text_match_indexed(
-    df: DataFrame, index: DataFrame, id_col: str, term: str, buckets: int = 64
+    df: DataFrame, index: DataFrame, id_col: str, term: str
 ) -> DataFrame:
     """Rows that have ``term`` as a token, found through the index, not the texts."""
-    found = lookup(index, term, buckets).select(F.col("doc_id").alias(id_col))
+    found = lookup(index, term).select(F.col("doc_id").alias(id_col))
     return df.join(found, id_col, "left_semi")
 
 
@@ -118,10 +141,3 @@ def top_terms(index: DataFrame, k: int = 20) -> DataFrame:
         .orderBy(F.desc("doc_count"), "term")
         .limit(k)
     )
-
-
-def token_count(
-    df: DataFrame, group: str, eq: dict | None = None, name: str = "match_count"
-) -> DataFrame:
-    """Matching rows per ``group``, most first."""
-    return _grouped(df.filter(_conditions(eq, None)), group, name)

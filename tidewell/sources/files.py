@@ -58,7 +58,7 @@ def parquet_stream(
     spark: SparkSession,
     path: str,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     schema: StructType | None = None,
 ) -> DataFrame:
     """The files of a Parquet table as a stream, oldest first.
