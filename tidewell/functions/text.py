@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # A token is a run of ASCII letters and digits, lower-cased.
 TOKEN_BREAK = "[^a-z0-9]+"
@@ -44,3 +45,13 @@ def has_token(text: Column, term: str) -> Column:
     token = normal_term(term)
     lowered = F.lower(text)
     return lowered.contains(token) & lowered.rlike(f"(^|[^a-z0-9]){token}([^a-z0-9]|$)")
+
+
+def parsed_once(text: Column, schema: StructType, options: dict[str, str] | None = None) -> Column:
+    """JSON text as a struct, to be used in a ``select`` by itself.
+
+    Spark copies an expression into every filter on its fields, and would parse
+    a record once per copy. It does not move filters below an ``explode``, so the
+    record is exploded from an array of one.
+    """
+    return F.explode(F.array(F.from_json(text, schema, options or {})))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidewell.functions.numbers import any_decimal
+from tidewell.functions.text import parsed_once
 from tidewell.operators.deltas import fold, read_parts, write_delta
 
 # How a time column may be encoded inside a change record.
@@ -51,7 +54,7 @@ def cdc_decode(
     if bad := set(times.values()) - set(TIME_ENCODINGS):
         raise ValueError(f"unknown time encoding {sorted(bad)}")
     schema = _wire_schema(row_schema, set(decimals) | set(times))
-    wire = F.from_json(F.col(value).cast("string"), schema)
+    wire = parsed_once(F.col(value).cast("string"), schema)
 
     def typed(row: Column) -> Column:
         columns = []
@@ -106,14 +109,17 @@ def latest_changes(changes: DataFrame, keys: list[str], order: list[str]) -> Dat
         F.col("op").alias("_op"),
         F.col("after").alias("_after"),
     )
-    for k in keys:
-        rows = rows.filter(F.col(k).isNotNull())
-    return _latest(rows, keys)
+    # A filter on the keys would be moved to the raw records and decode them
+    # twice; records without a key, malformed ones among them, go afterwards.
+    keyed = functools.reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return _latest(rows, keys, F.bool_or(keyed))
 
 
-def _latest(rows: DataFrame, keys: list[str]) -> DataFrame:
-    change = F.struct("_order", "_op", "_after")
-    return rows.groupBy(*keys).agg(F.max_by(change, "_order").alias("_c")).select(*keys, "_c.*")
+def _latest(rows: DataFrame, keys: list[str], wanted: Column | None = None) -> DataFrame:
+    change = F.max_by(F.struct("_order", "_op", "_after"), "_order").alias("_c")
+    keep = F.lit(True) if wanted is None else wanted
+    merged = rows.groupBy(*keys).agg(change, keep.alias("_keep"))
+    return merged.filter("_keep").select(*keys, "_c.*")
 
 
 def _present(latest: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.text import contains, has_token, normal_term, tokens
+from tidewell.sources.files import spread as over_all_cores
 
 TASK_BYTES = 64 * 1024 * 1024  # table bytes per index task
 MIN_BUCKETS, MAX_BUCKETS = 8, 4096
@@ -92,7 +93,7 @@ def build_text_index(
     spread = spread or max(1, -(-tasks // buckets))
     part = F.pmod(F.xxhash64("doc_id"), F.lit(spread))
     (
-        postings(df, id_col, text)
+        postings(over_all_cores(df.select(id_col, text)), id_col, text)
         .withColumn("buckets", F.lit(buckets))
         .withColumn("bucket", term_bucket(F.col("term"), F.col("buckets")))
         .withColumn("_part", part)

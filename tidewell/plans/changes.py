@@ -10,6 +10,7 @@ from tidewell.functions.numbers import minor_units, money
 from tidewell.operators import cdc, rollup
 from tidewell.plans.tables import instant, stream, table
 from tidewell.session import new_dir
+from tidewell.sources.files import spread
 from tidewell.sources.topics import as_records
 from tidewell.streaming.runner import run_to_end, scratch, start_query
 
@@ -69,12 +70,17 @@ def _decoded(orders: DataFrame) -> DataFrame:
     return cdc.cdc_decode(change_records(orders), ROW, {"amount": 2})
 
 
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = ("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    return spread(table(spark, sf_dir, "orders").select(*wanted))
+
+
 def _amount_as_double(df: DataFrame) -> DataFrame:
     return df.withColumn("amount", F.col("amount").cast("double"))
 
 
 def cdc_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = _decoded(table(spark, sf_dir, "orders"))
+    decoded = _decoded(_orders(spark, sf_dir))
     return decoded.select(
         "offset", "op", "malformed",
         F.coalesce("after.id", "before.id").alias("id"),
@@ -85,12 +91,12 @@ def cdc_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cdc_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the changes with a new row, which is what a detector reads."""
-    decoded = _decoded(table(spark, sf_dir, "orders"))
+    decoded = _decoded(_orders(spark, sf_dir))
     return _amount_as_double(cdc.changed_rows(decoded, ("offset",)))
 
 
 def cdc_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = _decoded(table(spark, sf_dir, "orders"))
+    decoded = _decoded(_orders(spark, sf_dir))
     return _amount_as_double(cdc.cdc_apply(decoded, ["id"], ["offset"]))
 
 

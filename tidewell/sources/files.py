@@ -54,6 +54,16 @@ def parquet_scan(spark: SparkSession, path: str) -> DataFrame:
     return plain if wanted == plain.schema else spark.read.schema(wanted).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan's rows over all cores where it has fewer partitions than there are.
+
+    Meant for work that is costly per row. A large table has partitions enough
+    and is left alone; only a small one, in a few files, is moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def parquet_stream(
     spark: SparkSession,
     path: str,

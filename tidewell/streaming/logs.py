@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tidewell.functions.text import contains
+from tidewell.functions.text import contains, parsed_once
 from tidewell.functions.times import event_time
 from tidewell.sources.schemas import LOGS
 from tidewell.streaming.runner import start_query
@@ -23,11 +23,12 @@ def parse_logs(
     Text that is not a record gives a row of nulls, which no filter on its
     fields lets through. ``keep_corrupt`` adds that text as a column.
     """
-    read_as = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    options = {"columnNameOfCorruptRecord": CORRUPT}
-    parsed = df.select(F.from_json(F.col(value).cast("string"), read_as, options).alias("record"))
-    flat = parsed.select("record.*")
-    return flat if keep_corrupt else flat.drop(CORRUPT)
+    options = {}
+    if keep_corrupt:
+        schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+        options = {"columnNameOfCorruptRecord": CORRUPT}
+    record = parsed_once(F.col(value).cast("string"), schema, options)
+    return df.select(record.alias("record")).select("record.*")
 
 
 def log_counts(
