@@ -10,6 +10,7 @@ from tidewell.sources.files import spread as over_all_cores
 
 TASK_BYTES = 64 * 1024 * 1024  # table bytes per index task
 MIN_BUCKETS, MAX_BUCKETS = 8, 4096
+MIN_SPREAD = 4
 
 
 def _grouped(df: DataFrame, group: str, name: str) -> DataFrame:
@@ -86,20 +87,22 @@ def build_text_index(
     bucket the rows are spread over ``spread`` tasks by document, because a term
     found in every document would otherwise be written by a single task, and
     they are sorted by term, so the reader skips the row groups of other terms.
+    Each bucket and share of documents is one task by number, not by hash, so no
+    two of them meet in one task while another has none.
     Both numbers follow the size of the table unless given.
     """
     tasks = estimated_bytes(df) // TASK_BYTES + 1
     buckets = buckets or min(MAX_BUCKETS, max(MIN_BUCKETS, tasks))
-    spread = spread or max(1, -(-tasks // buckets))
+    spread = spread or max(MIN_SPREAD, -(-tasks // buckets))
     part = F.pmod(F.xxhash64("doc_id"), F.lit(spread))
     (
         postings(over_all_cores(df.select(id_col, text)), id_col, text)
         .withColumn("buckets", F.lit(buckets))
         .withColumn("bucket", term_bucket(F.col("term"), F.col("buckets")))
-        .withColumn("_part", part)
-        .repartition(buckets * spread, "bucket", "_part")
-        .sortWithinPartitions("bucket", "term", "doc_id")
-        .drop("_part")
+        .withColumn("_task", (F.col("bucket") * spread + part).cast("int"))
+        .repartitionById(buckets * spread, "_task")
+        .drop("_task")
+        .sortWithinPartitions("bucket", "term")
         .write.mode("overwrite")
         .partitionBy("buckets", "bucket")
         .parquet(path)

