@@ -35,8 +35,8 @@ def log(second, user="user_1", content="App CRASH now", severity="High", ip="10.
 class Topic:
     """Files that arrive one after the other, and a query that is resumed after each."""
 
-    def __init__(self, spark, build, mode, schema="value binary"):
-        self.spark, self.build, self.mode, self.schema = spark, build, mode, schema
+    def __init__(self, spark, build, mode, **options):
+        self.spark, self.build, self.mode, self.options = spark, build, mode, options
         self.source, self.out = new_dir(spark, "topic"), new_dir(spark, "out")
         self.checkpoints = new_dir(spark, "checkpoints")
 
@@ -48,7 +48,8 @@ class Topic:
         records.coalesce(1).write.mode("append").parquet(self.source)
         stream = parquet_stream(self.spark, self.source, schema=records.schema)
         query = start_query(
-            self.build(stream), "q", batch_sink(self.out), self.checkpoints, self.mode)
+            self.build(stream), "q", batch_sink(self.out), self.checkpoints, self.mode,
+            **self.options)
         return run_to_end(query)
 
     def read(self):
@@ -87,9 +88,9 @@ def test_log_counts_over_restarts(spark):
     text = "a Vulnerability found"
     topic.arrive([log(0, content=text, ip="a"), log(1, content=text, ip="b"), "junk",
                   log(1, content=text, ip="b"), log(1, content=text, severity="Low", ip="c")])
-    assert [tuple(r) for r in read_last_batch(spark, topic.out).collect()] == [("b", 2), ("a", 1)]
+    assert rows(read_last_batch(spark, topic.out)) == [("a", 1), ("b", 2)]
     topic.arrive([log(2, content=text, ip="a"), log(2, content=text, ip="a"), log(2, ip="b")])
-    assert [tuple(r) for r in read_last_batch(spark, topic.out).collect()] == [("a", 3), ("b", 2)]
+    assert rows(read_last_batch(spark, topic.out)) == [("a", 3), ("b", 2)]
 
 
 def test_crash_monitor_matches_the_rules(spark):
@@ -251,7 +252,9 @@ def test_idle_users_are_forgotten(spark):
 
 def test_velocity_by_processing_time(spark):
     # All rows of a batch are read at one moment, however old their own times are.
-    topic = Topic(spark, lambda s: agents.velocity_stream(s, time_mode="processing"), "append")
+    topic = Topic(
+        spark, lambda s: agents.velocity_stream(s, time_mode="processing"), "append",
+        no_data_batches=False)
     topic.arrive(payments(spark, 12))
     got = topic.read().groupBy("user_id").agg(F.count("*").alias("n"), F.min("velocity").alias("v"))
     assert all(r.n == r.v for r in got.collect())
@@ -303,7 +306,7 @@ def test_interval_trigger(spark):
     spark.range(10).write.parquet(source)
     query = start_query(
         parquet_stream(spark, source), "timed", batch_sink(out), new_dir(spark, "cp"),
-        trigger="10 minutes")
+        trigger="1 second")
     try:
         query.processAllAvailable()
         assert read_batches(spark, out).count() == 10

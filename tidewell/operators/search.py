@@ -11,6 +11,7 @@ from tidewell.sources.files import spread as over_all_cores
 TASK_BYTES = 64 * 1024 * 1024  # table bytes per index task
 MIN_BUCKETS, MAX_BUCKETS = 8, 4096
 MIN_SPREAD = 4
+UNKNOWN_BYTES = 1 << 60
 
 
 def _grouped(df: DataFrame, group: str, name: str) -> DataFrame:
@@ -91,7 +92,7 @@ def build_text_index(
     two of them meet in one task while another has none.
     Both numbers follow the size of the table unless given.
     """
-    tasks = estimated_bytes(df) // TASK_BYTES + 1
+    tasks = index_tasks(df)
     buckets = buckets or min(MAX_BUCKETS, max(MIN_BUCKETS, tasks))
     spread = spread or max(MIN_SPREAD, -(-tasks // buckets))
     part = F.pmod(F.xxhash64("doc_id"), F.lit(spread))
@@ -109,9 +110,14 @@ def build_text_index(
     )
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate of ``df``, for a table the size of its files."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def index_tasks(df: DataFrame) -> int:
+    """How many tasks of about ``TASK_BYTES`` of table the postings should fill.
+
+    Spark knows the size of a table in files. For rows from elsewhere it reports
+    a placeholder near the largest long; their number of partitions then serves.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size // TASK_BYTES + 1 if size < UNKNOWN_BYTES else df.rdd.getNumPartitions()
 
 
 def term_bucket(term: Column, buckets: Column) -> Column:

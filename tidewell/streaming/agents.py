@@ -167,7 +167,8 @@ def velocity_stream(
     Times are the rows' own, or with ``time_mode="processing"`` the time at which
     Spark reads them. A user's state is dropped once its last row is older than
     the window, by the watermark or the clock. Rows later than the watermark are
-    not judged.
+    not judged. By the clock, Spark looks for idle users for ever: start such a
+    query with an interval, or with ``no_data_batches=False`` if it is to end.
     """
     if time_mode not in ("event", "processing"):
         raise ValueError(f"unknown time mode {time_mode!r}")

@@ -47,13 +47,16 @@ def start_query(
     partition_by: list[str] | None = None,
     options: dict[str, str] | None = None,
     partitions: int | None = None,
+    no_data_batches: bool = True,
 ) -> StreamingQuery:
     """Starts a query that resumes from ``checkpoint_root/name``.
 
     ``sink`` is a ``foreachBatch`` function or a format such as ``console`` or
     ``parquet``. ``trigger`` is an interval such as ``10 minutes``; without it
     the query handles what is there, in bounded batches, and ends. State is kept
-    in RocksDB, so it may outgrow an executor's memory.
+    in RocksDB, so it may outgrow an executor's memory. Without
+    ``no_data_batches`` nothing is done between arrivals, such as reporting
+    windows that the last records have completed.
     """
     spark = sdf.sparkSession
     writer = sdf.writeStream.queryName(name).outputMode(mode)
@@ -72,6 +75,7 @@ def start_query(
     settings = {
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.shuffle.partitions": str(partitions or state_partitions(spark)),
+        "spark.sql.streaming.noDataMicroBatches.enabled": str(no_data_batches).lower(),
     }
     with _settings(spark, settings):
         return writer.start(path) if path else writer.start()
