@@ -250,6 +250,32 @@ def test_idle_users_are_forgotten(spark):
     assert rows(topic.read().select("id", "velocity")) == [(0, 1), (1, 1), (2, 1)]
 
 
+def test_rows_in_disorder_over_batches(spark):
+    df = payments(spark, 300)
+    parts = [df.filter(F.col("id") % 3 == part) for part in (2, 0, 1)]
+    for watermark, all_rows in [("1 second", False), (None, True)]:
+        topic = Topic(spark, lambda s: agents.velocity_stream(s, watermark=watermark), "append")
+        for part in parts:
+            topic.arrive(part)
+        judged = topic.read().select("id").distinct().count()
+        assert judged == 300 if all_rows else 100 <= judged < 300
+
+
+def test_a_row_behind_the_newest_watermark_only(spark):
+    """Two files in one run: the second batch is late by the first's watermark only."""
+    source, out = new_dir(spark, "topic"), new_dir(spark, "out")
+    one = "id long, user_id int, amount double, created_at timestamp"
+    for number, second in enumerate([5000, 0, 1]):
+        spark.createDataFrame(
+            [(number, 1, 1.0, START + dt.timedelta(seconds=second))], one
+        ).coalesce(1).write.mode("append").parquet(source)
+    stream = parquet_stream(spark, source, max_files=1)
+    run_to_end(start_query(
+        agents.velocity_stream(stream, watermark="10 seconds"), "q", batch_sink(out),
+        new_dir(spark, "cp")))
+    assert 0 in {r.id for r in read_batches(spark, out).collect()}
+
+
 def test_velocity_by_processing_time(spark):
     # All rows of a batch are read at one moment, however old their own times are.
     topic = Topic(

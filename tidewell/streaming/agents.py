@@ -64,7 +64,7 @@ def _judge_anomalies(history: int, min_n: int, ratio: float, floor_units: int):
 
 
 def _judge_velocity(
-    width: int, max_velocity: int, high_units: int, alert: int, by_event_time: bool
+    width: int, max_velocity: int, high_units: int, alert: int, timeout: str
 ):
     """State: the times of the user's rows that a later row can still see."""
 
@@ -73,7 +73,7 @@ def _judge_velocity(
             state.remove()
             return
         ids, at, units = _in_order(chunks)
-        if not by_event_time:
+        if timeout == GroupStateTimeout.ProcessingTimeTimeout:
             at = np.full(len(at), state.getCurrentProcessingTimeMs() * 1000)
         known = np.sort(np.concatenate([_remembered(state), at]), kind="stable")
         upto = np.searchsorted(known, at, side="right")
@@ -81,10 +81,12 @@ def _judge_velocity(
         score = rules.VELOCITY_POINTS * (velocity > max_velocity)
         score = score + rules.AMOUNT_POINTS * (units > high_units)
         state.update((known[known >= known[-1] - width].tolist(),))
-        # Forget the user once even the newest of these times is out of reach.
-        if by_event_time:
-            state.setTimeoutTimestamp((int(known[-1]) + width) // 1000 + 1)
-        else:
+        # Forget the user once even the newest of these times is out of reach. Rows
+        # can be older than the watermark: Spark drops late ones by an earlier value.
+        if timeout == GroupStateTimeout.EventTimeTimeout:
+            unneeded = (int(known[-1]) + width) // 1000 + 1
+            state.setTimeoutTimestamp(max(unneeded, state.getCurrentWatermarkMs() + 1))
+        elif timeout == GroupStateTimeout.ProcessingTimeTimeout:
             state.setTimeoutDuration(width // 1000 + 1)
         yield pd.DataFrame({
             "user_key": key[0],
@@ -159,7 +161,7 @@ def velocity_stream(
     high_amount: float = rules.HIGH_AMOUNT,
     alert: int = rules.ALERT_ABOVE,
     time_mode: str = "event",
-    watermark: str = "10 minutes",
+    watermark: str | None = "10 minutes",
     scale: int = 2,
 ) -> DataFrame:
     """Scores each arriving row by the user's recent rows and its own amount.
@@ -167,20 +169,21 @@ def velocity_stream(
     Times are the rows' own, or with ``time_mode="processing"`` the time at which
     Spark reads them. A user's state is dropped once its last row is older than
     the window, by the watermark or the clock. Rows later than the watermark are
-    not judged. By the clock, Spark looks for idle users for ever: start such a
+    not judged but counted in the query's progress; without a watermark all rows
+    are judged and no state is dropped. By the clock, Spark looks for idle users for ever: start such a
     query with an interval, or with ``no_data_batches=False`` if it is to end.
     """
     if time_mode not in ("event", "processing"):
         raise ValueError(f"unknown time mode {time_mode!r}")
-    by_event_time = time_mode == "event"
-    rows = _input(sdf, user, amount, ts, id_col, scale)
-    if by_event_time:
+    rows, timeout = _input(sdf, user, amount, ts, id_col, scale), GroupStateTimeout.NoTimeout
+    if time_mode == "processing":
+        rows, timeout = rows.drop("event_time"), GroupStateTimeout.ProcessingTimeTimeout
+    elif watermark is not None:
         rows = rows.withWatermark("event_time", watermark)
-    else:
-        rows = rows.drop("event_time")
+        timeout = GroupStateTimeout.EventTimeTimeout
     kind = rows.schema["user_key"].dataType.simpleString()
     judge = _judge_velocity(
-        duration_micros(window), max_velocity, round(high_amount * 10**scale), alert, by_event_time
+        duration_micros(window), max_velocity, round(high_amount * 10**scale), alert, timeout
     )
     judged = rows.groupBy("user_key").applyInPandasWithState(
         judge,
@@ -189,9 +192,6 @@ def velocity_stream(
         ),
         stateStructType="at array<long>",
         outputMode="append",
-        timeoutConf=(
-            GroupStateTimeout.EventTimeTimeout if by_event_time
-            else GroupStateTimeout.ProcessingTimeTimeout
-        ),
+        timeoutConf=timeout,
     )
     return _named(judged, user, ts, id_col)
