@@ -68,7 +68,7 @@ def test_topk_groups(spark):
     assert [tuple(r) for r in got] == [("Food", 9), ("Books", 5)]
 
 
-def test_sum_by_lookup_sums_before_the_join(spark):
+def test_sum_by_lookup_sums_before_a_shuffled_join(spark):
     facts = spark.createDataFrame([(1, 5), (1, 7), (2, 1), (9, 100)], "k int, v int")
     names = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id int, kind string")
     out = agg.sum_by_lookup(facts, names, "k", "id", "kind", F.col("v"), "total")
@@ -77,6 +77,21 @@ def test_sum_by_lookup_sums_before_the_join(spark):
     assert text.index("Join") < text.index("partial_sum(v")
 
 
+def test_sum_by_lookup_does_not_move_facts_for_a_small_lookup(spark):
+    items, part = table(spark, SMALL, "lineitem"), table(spark, SMALL, "part")
+    args = (items, part, "l_partkey", "p_partkey", "p_type", F.col("l_quantity"), "total")
+    small = agg.sum_by_lookup(*args)
+    assert "BroadcastHashJoin" in plan(small) and "hashpartitioning(l_partkey" not in plan(small)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = agg.sum_by_lookup(*args)
+        assert "hashpartitioning(l_partkey" in plan(large)
+        assert rows(large) == rows(small)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_avg_latest_n(spark):
     df = spark.createDataFrame([(i, float(i)) for i in range(1, 31)], "id long, v double")
     assert agg.avg_latest_n(df, "id", "v").first()[0] == 25.5

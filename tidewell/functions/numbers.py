@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -23,6 +25,16 @@ def from_minor_units(units: Column, scale: int = 2) -> Column:
     return units.cast("double") / F.lit(float(10**scale))
 
 
+def addable(units: Column) -> Column:
+    """``units`` as a decimal, whose sums widen where a long would overflow."""
+    return units.cast(DecimalType(18, 0))
+
+
+def as_money(total: Column, scale: int = 2) -> Column:
+    """A sum of whole units as a decimal with ``scale`` digits."""
+    return total * F.lit(Decimal(1).scaleb(-scale))
+
+
 def base64_decimal(encoded: Column, scale: int = 2) -> Column:
     """A base64 big-endian two's-complement integer, divided by ``10**scale``.
 

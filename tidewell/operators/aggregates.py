@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions.numbers import money
+from tidewell.functions.numbers import addable, as_money, minor_units
+from tidewell.session import estimated_bytes
 
 
 def row_count(df: DataFrame, name: str = "row_count") -> DataFrame:
@@ -68,8 +69,12 @@ def revenue_by_key(
     df: DataFrame, key: str, price: str, qty: str, name: str, k: int | None = None
 ) -> DataFrame:
     """Exact sum of ``price * qty`` per key, largest first."""
-    revenue = F.sum(money(F.col(price)) * F.col(qty).cast("int"))
-    return topk_groups(df, key, revenue, k, name)
+    return topk_groups(df, key, as_money(F.sum(revenue_units(price, qty))), k, name)
+
+
+def revenue_units(price: str, qty: str) -> Column:
+    """``price * qty`` in whole cents; multiplying longs is cheaper than decimals."""
+    return addable(minor_units(F.col(price)) * F.col(qty).cast("long"))
 
 
 def sum_by_lookup(
@@ -84,13 +89,28 @@ def sum_by_lookup(
 ) -> DataFrame:
     """Sum of ``amount`` per ``key``, an attribute found in ``lookup``; largest first.
 
-    The facts are summed per join key before they are joined. A join key with a
-    large share of all facts is thereby one row per task when it is shuffled,
+    A lookup table below Spark's broadcast limit is joined as it is, and the facts
+    are not moved. Otherwise the facts are summed per join key first. A join key
+    with a large share of all facts is then one row per task when it is shuffled,
     and the join sees each key once.
     """
+    names = lookup.select(lookup_on, key)
+    match = F.col(on) == F.col(lookup_on)
+    if _spark_broadcasts(names):
+        return topk_groups(facts.join(names, match), key, F.sum(amount), k, name)
     per_on = facts.groupBy(on).agg(F.sum(amount).alias("_part"))
-    joined = per_on.join(lookup.select(lookup_on, key), F.col(on) == F.col(lookup_on))
-    return topk_groups(joined, key, F.sum("_part"), k, name)
+    return topk_groups(per_on.join(names, match), key, F.sum("_part"), k, name)
+
+
+def _spark_broadcasts(df: DataFrame) -> bool:
+    """Whether Spark will broadcast ``df`` by itself, going by its size estimate."""
+    spark = df.sparkSession
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if limit.startswith("-"):
+        return False
+    size = estimated_bytes(df)
+    as_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    return size is not None and size <= as_bytes(limit)
 
 
 def avg_latest_n(

@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.text import contains, has_token, normal_term, tokens
+from tidewell.session import estimated_bytes
 from tidewell.sources.files import spread as over_all_cores
 
 TASK_BYTES = 64 * 1024 * 1024  # table bytes per index task
 MIN_BUCKETS, MAX_BUCKETS = 8, 4096
 MIN_SPREAD = 4
-UNKNOWN_BYTES = 1 << 60
 
 
 def _grouped(df: DataFrame, group: str, name: str) -> DataFrame:
@@ -111,13 +111,9 @@ def build_text_index(
 
 
 def index_tasks(df: DataFrame) -> int:
-    """How many tasks of about ``TASK_BYTES`` of table the postings should fill.
-
-    Spark knows the size of a table in files. For rows from elsewhere it reports
-    a placeholder near the largest long; their number of partitions then serves.
-    """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size // TASK_BYTES + 1 if size < UNKNOWN_BYTES else df.rdd.getNumPartitions()
+    """How many tasks of about ``TASK_BYTES`` of table the postings should fill."""
+    size = estimated_bytes(df)
+    return df.rdd.getNumPartitions() if size is None else size // TASK_BYTES + 1
 
 
 def term_bucket(term: Column, buckets: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.functions.numbers import money
+from tidewell.functions.numbers import as_money, money
 from tidewell.operators import aggregates as agg
 from tidewell.operators import joins
 from tidewell.plans.tables import as_double, instant, table
@@ -75,12 +75,12 @@ def top3_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def revenue_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    revenue = money(F.col("l_extendedprice")) * F.col("l_quantity").cast("int")
+    revenue = agg.revenue_units("l_extendedprice", "l_quantity")
     out = agg.sum_by_lookup(
         table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"),
         "l_partkey", "p_partkey", "p_type", revenue, "total_revenue",
     )
-    return as_double(out, "total_revenue")
+    return as_double(out.withColumn("total_revenue", as_money(F.col("total_revenue"))), "total_revenue")
 
 
 def revenue_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:

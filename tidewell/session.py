@@ -18,6 +18,8 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
 }
 
+UNKNOWN_BYTES = 1 << 60
+
 
 def get_session(name: str = "tidewell", master: str | None = None, **extra) -> SparkSession:
     """A session with this library's defaults; ``extra`` keys use ``_`` for ``.``."""
@@ -69,6 +71,16 @@ def checkpointed(df):
     return df.checkpoint()
 
 
+def estimated_bytes(df) -> int | None:
+    """Spark's size estimate of ``df`` before running it, or None where it has none.
+
+    A table has the size of its files. For rows from elsewhere Spark reports a
+    placeholder near the largest long.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < UNKNOWN_BYTES else None
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly under ``path``; empty when it is missing."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
