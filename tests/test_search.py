@@ -66,6 +66,18 @@ def test_index_search_equals_scan(spark):
                 search.text_match(df, "text", term).select("doc_id")), (sizes, term)
 
 
+def test_an_index_grows_with_each_batch(spark):
+    target = new_dir(spark, "index")
+    sink = search.index_sink("doc_id", "text", target, buckets=4, spread=2)
+    df = docs(spark)
+    sink(df.filter("doc_id <= 2"), 0)
+    sink(df.filter("doc_id > 2"), 1)
+    sink(df.filter("doc_id > 2"), 1)
+    found = search.text_match_indexed(df, search.read_index(spark, target), "doc_id", "license")
+    assert rows(found.select("doc_id")) == [(1,), (2,), (6,)]
+    assert search.lookup(search.read_index(spark, target), "license").count() == 3
+
+
 def test_lookup_reads_one_bucket(spark):
     index = index_of(spark, table(spark, SMALL, "documents"), buckets=8, spread=2)
     found = search.lookup(index, "license")

@@ -216,6 +216,16 @@ def test_anomaly_stream_equals_batch(spark, parts):
     assert anomaly_batch(df).filter("is_anomaly").count() > 0
 
 
+def test_zscore_stream_equals_batch(spark):
+    df = sorted_payments(spark)
+    topic = Topic(spark, lambda s: agents.anomaly_stream(s, zscore=2.5), "append")
+    for part in in_parts(df, 2):
+        topic.arrive(part)
+    want = anomaly_batch(df, zscore=2.5)
+    assert rows(topic.read().select("id", "is_anomaly")) == rows(want.select("id", "is_anomaly"))
+    assert 0 < want.filter("is_anomaly").count() < 100
+
+
 @pytest.mark.parametrize("parts", [1, 3])
 def test_velocity_stream_equals_batch(spark, parts):
     df = sorted_payments(spark)

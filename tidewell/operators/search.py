@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.text import contains, has_token, normal_term, tokens
+from tidewell.operators.deltas import part_paths
 from tidewell.session import estimated_bytes
 from tidewell.sources.files import spread as over_all_cores
 
@@ -95,9 +96,15 @@ def build_text_index(
     tasks = index_tasks(df)
     buckets = buckets or min(MAX_BUCKETS, max(MIN_BUCKETS, tasks))
     spread = spread or max(MIN_SPREAD, -(-tasks // buckets))
+    _write_postings(over_all_cores(df.select(id_col, text)), id_col, text, path, buckets, spread)
+
+
+def _write_postings(
+    df: DataFrame, id_col: str, text: str, path: str, buckets: int, spread: int
+) -> None:
     part = F.pmod(F.xxhash64("doc_id"), F.lit(spread))
     (
-        postings(over_all_cores(df.select(id_col, text)), id_col, text)
+        postings(df, id_col, text)
         .withColumn("buckets", F.lit(buckets))
         .withColumn("bucket", term_bucket(F.col("term"), F.col("buckets")))
         .withColumn("_task", (F.col("bucket") * spread + part).cast("int"))
@@ -110,6 +117,26 @@ def build_text_index(
     )
 
 
+def index_sink(id_col: str, text: str, target: str, buckets: int = 64, spread: int = 1):
+    """A ``foreachBatch`` function that indexes a stream's texts as they arrive.
+
+    A micro-batch adds its own postings and replaces them if it is repeated. The
+    stream's ids must not repeat. Read the index with `read_index`.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        path = f"{target}/delta/batch={batch_id}"
+        _write_postings(batch.select(id_col, text), id_col, text, path, buckets, spread)
+
+    return write
+
+
+def read_index(spark: SparkSession, target: str) -> DataFrame:
+    """The postings of all complete batches of `index_sink`."""
+    paths, _ = part_paths(spark, target)
+    return spark.read.option("basePath", f"{target}/delta").parquet(*paths)
+
+
 def index_tasks(df: DataFrame) -> int:
     """How many tasks of about ``TASK_BYTES`` of table the postings should fill."""
     size = estimated_bytes(df)

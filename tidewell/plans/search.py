@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tidewell.operators import search
 from tidewell.operators.aggregates import topk_groups
-from tidewell.plans.tables import table
+from tidewell.plans.tables import stream, table
 from tidewell.session import new_dir
+from tidewell.streaming.runner import run_to_end, scratch, start_query
 
 TERM = "license"
 
@@ -63,11 +64,21 @@ def text_match_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_source(search.text_match_indexed(docs, index, "doc_id", TERM))
 
 
+def text_index_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents indexed as they arrive, then searched through that index."""
+    out, checkpoints = scratch(spark, "index-stream")
+    sink = search.index_sink("doc_id", "text", out, buckets=8)
+    run_to_end(start_query(stream(spark, sf_dir, "documents"), "index", sink, checkpoints))
+    docs = table(spark, sf_dir, "documents").filter("lang = 'en'")
+    index = search.read_index(spark, out)
+    return _by_source(search.text_match_indexed(docs, index, "doc_id", TERM))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         like_group_count, filter_eq_contains, filter_in_contains, text_match_scan,
-        build_text_index, text_match_indexed,
+        build_text_index, text_match_indexed, text_index_stream,
     )
 }
 
@@ -92,6 +103,7 @@ ORACLE = {
         GROUP BY source ORDER BY match_count DESC, source""",
     "text_match_scan": _TOKEN_MATCH,
     "text_match_indexed": _TOKEN_MATCH,
+    "text_index_stream": _TOKEN_MATCH,
     "build_text_index": """
         SELECT term, count(*) AS doc_count, CAST(sum(tf) AS BIGINT) AS term_count FROM (
             SELECT doc_id, term, count(*) AS tf FROM (

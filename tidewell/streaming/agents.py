@@ -37,9 +37,20 @@ def _remembered(state: GroupState) -> np.ndarray:
     return np.array(state.get[0] if state.exists else [], dtype="int64")
 
 
-def _judge_anomalies(history: int, min_n: int, ratio: float, floor_units: int):
+def _judge_anomalies(
+    history: int, min_n: int, ratio: float, floor_units: int, zscore: float | None
+):
     """State: the user's last ``history`` amounts, oldest first."""
 
+    def is_far(units, n, total, known, here, first):
+        # As in rules.above_zscore, in Python's integers: squares outgrow 64 bits.
+        squares = np.concatenate([[0], np.cumsum(known.astype(object) ** 2)])
+        n, total, units = n.astype(object), total.astype(object), units.astype(object)
+        gap, spread = n * units - total, n * (squares[here] - squares[first]) - total * total
+        z_squared = round(zscore * zscore * 10_000)
+        beyond = gap * gap * (n - 1) * 10_000 > z_squared * n * spread
+        return (n >= max(min_n, 2)) & (gap > 0) & beyond
+
     def judge(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         ids, at, units = _in_order(chunks)
         earlier = _remembered(state)
@@ -49,7 +60,10 @@ def _judge_anomalies(history: int, min_n: int, ratio: float, floor_units: int):
         here = np.arange(len(earlier), len(known))
         first = np.maximum(here - history, 0)
         n, total = here - first, sums[here] - sums[first]
-        flagged = (n >= min_n) & (units * n > ratio * total) & (units > floor_units)
+        if zscore is None:
+            flagged = (n >= min_n) & (units * n > ratio * total) & (units > floor_units)
+        else:
+            flagged = is_far(units, n, total, known, here, first).astype(bool)
         state.update((known[-history:].tolist(),))
         yield pd.DataFrame({
             "user_key": key[0],
@@ -128,13 +142,17 @@ def anomaly_stream(
     min_n: int = rules.MIN_HISTORY,
     ratio: float = rules.RATIO,
     floor: float = rules.FLOOR,
+    zscore: float | None = None,
     scale: int = 2,
 ) -> DataFrame:
-    """Judges each arriving row against the user's ``history`` earlier ones."""
+    """Judges each arriving row against the user's ``history`` earlier ones.
+
+    The rule is the ratio to their mean, or with ``zscore`` the distance from it.
+    """
     rows = _input(sdf, user, amount, ts, id_col, scale).drop("event_time")
     kind = rows.schema["user_key"].dataType.simpleString()
     judged = rows.groupBy("user_key").applyInPandasWithState(
-        _judge_anomalies(history, min_n, ratio, round(floor * 10**scale)),
+        _judge_anomalies(history, min_n, ratio, round(floor * 10**scale), zscore),
         outputStructType=(
             f"user_key {kind}, id long, at long, history_n long,"
             " history_sum long, is_anomaly boolean"
