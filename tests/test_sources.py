@@ -5,7 +5,7 @@ from conftest import SMALL, plan, rows
 from pyspark.sql import functions as F
 
 from tidewell.plans.tables import table
-from tidewell.session import list_dirs, new_dir, shared_root
+from tidewell.session import folder_bytes, list_dirs, new_dir, shared_root, size_shuffles
 from tidewell.sources import jdbc, topics
 from tidewell.sources.files import csv_scan, parquet_scan, parquet_stream, save_table
 from tidewell.sources.ids import assign_ids
@@ -135,3 +135,15 @@ def test_records_have_the_topic_columns(spark):
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_dir(spark, "a") != new_dir(spark, "a")
+
+
+def test_shuffle_partitions_follow_the_input(spark):
+    setting = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, folder_bytes(spark, SMALL)) == int(setting)
+        assert size_shuffles(spark, 1 << 40) == 8193
+        assert size_shuffles(spark, 100 << 40) == 20_000
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "20000"
+        assert size_shuffles(spark, 1) == 20_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", setting)

@@ -22,6 +22,7 @@ from tidewell.streaming.sinks import (
     latest_updates,
     read_batches,
     read_last_batch,
+    topic_records,
 )
 
 BASE = 1_768_142_570_000  # a multiple of ten seconds
@@ -328,6 +329,11 @@ def test_a_repeated_batch_is_written_once(spark):
     assert rows(read_batches(spark, out)) == [(2, 0), (2, 1), (3, 0)]
 
 
+def test_alerts_as_topic_records(spark):
+    got = topic_records(spark.range(2).withColumn("score", F.lit(90)), "id", 7)
+    assert rows(got) == [("0", '{"id":0,"score":90,"batch":7}'), ("1", '{"id":1,"score":90,"batch":7}')]
+
+
 def test_progress_and_console(spark, capfd):
     source = new_dir(spark, "topic")
     spark.range(10).write.parquet(source)

@@ -19,6 +19,8 @@ DEFAULTS = {
 }
 
 UNKNOWN_BYTES = 1 << 60
+SHUFFLE_BYTES = 128 * 1024 * 1024  # input bytes per shuffle partition
+MAX_SHUFFLE_PARTITIONS = 20_000
 
 
 def get_session(name: str = "tidewell", master: str | None = None, **extra) -> SparkSession:
@@ -71,6 +73,28 @@ def checkpointed(df):
     return df.checkpoint()
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under ``path``."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getContentSummary(hadoop_path).getLength()
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raises the session's shuffle partitions to suit an input; returns the setting.
+
+    Spark's default of 200 suits tens of gigabytes. AQE merges partitions that
+    turn out small but cannot make more, so the number must be high enough to
+    begin with. It is bounded, because the driver tracks every map task times
+    every partition, and a setting that is already higher is kept.
+    """
+    setting = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(MAX_SHUFFLE_PARTITIONS, input_bytes // SHUFFLE_BYTES + 1)
+    if wanted > setting:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(setting, wanted)
+
+
 def estimated_bytes(df) -> int | None:
     """Spark's size estimate of ``df`` before running it, or None where it has none.
 

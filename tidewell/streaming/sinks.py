@@ -42,6 +42,31 @@ def alert_sink(
     return write
 
 
+def topic_records(batch: DataFrame, key: str, batch_id: int) -> DataFrame:
+    """Rows as JSON records for a topic, each with the id of its batch."""
+    value = F.to_json(F.struct(*batch.columns, F.lit(batch_id).alias("batch")))
+    return batch.select(F.col(key).cast("string").alias("key"), value.alias("value"))
+
+
+def topic_sink(servers: str, topic: str, key: str) -> Callable[[DataFrame, int], None]:
+    """Sends each micro-batch to a topic, keyed so that a key's records stay in order.
+
+    A repeated batch is sent again. Its records carry the same batch id, by which
+    a reader can tell.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (
+            topic_records(batch, key, batch_id)
+            .write.format("kafka")
+            .option("kafka.bootstrap.servers", servers)
+            .option("topic", topic)
+            .save()
+        )
+
+    return write
+
+
 def read_batches(spark: SparkSession, target: str) -> DataFrame:
     """All rows written by `batch_sink` or `alert_sink`, with their ``batch``."""
     return spark.read.parquet(f"{target}/delta")
