@@ -126,7 +126,8 @@ def index_sink(id_col: str, text: str, target: str, buckets: int = 64, spread: i
 
     def write(batch: DataFrame, batch_id: int) -> None:
         path = f"{target}/delta/batch={batch_id}"
-        _write_postings(batch.select(id_col, text), id_col, text, path, buckets, spread)
+        texts = over_all_cores(batch.select(id_col, text))
+        _write_postings(texts, id_col, text, path, buckets, spread)
 
     return write
 
