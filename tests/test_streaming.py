@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewell.operators.detect import anomaly_batch, velocity_batch
 from tidewell.session import new_dir
 from tidewell.sources.files import parquet_stream
-from tidewell.streaming import agents, logs
+from tidewell.streaming import agents, carried, logs
 from tidewell.streaming.runner import (
     late_data_report,
     run_agents,
@@ -320,6 +320,30 @@ def test_agents_are_independent_and_alerts_are_forwarded(spark):
         assert rows(read_batches(spark, f"{forwarded}/{name}").select("id")) == ids
 
 
+@pytest.mark.parametrize("split_rows", [50, 2_000_000])
+def test_carried_anomalies_equal_batch(spark, split_rows):
+    df, out, state = sorted_payments(spark), new_dir(spark, "out"), new_dir(spark, "state")
+    sink = carried.anomaly_sink(out, state, split_rows=split_rows)
+    for number, part in enumerate(in_parts(df, 4)):
+        for _ in range(1 + number % 2):  # every other batch twice, as after a failure
+            sink(part, number)
+    columns = ["user_id", "id", "history_n", "history_avg", "is_anomaly"]
+    assert rows(read_batches(spark, out).select(*columns)) == rows(anomaly_batch(df).select(*columns))
+    kept = spark.read.parquet(f"{state}/delta/batch=3").groupBy("user_id").count()
+    assert kept.agg(F.max("count")).first()[0] == 50
+
+
+@pytest.mark.parametrize("dense_rows", [1, 5000])
+def test_carried_velocities_equal_batch(spark, dense_rows):
+    df, out, state = sorted_payments(spark), new_dir(spark, "out"), new_dir(spark, "state")
+    sink = carried.velocity_sink(out, state, delay="1 second", dense_rows=dense_rows)
+    for number, part in enumerate(in_parts(df, 3)):
+        sink(part, number)
+    columns = ["user_id", "id", "velocity", "score", "is_alert"]
+    assert rows(read_batches(spark, out).select(*columns)) == rows(velocity_batch(df).select(*columns))
+    assert spark.read.parquet(f"{state}/delta/batch=2").count() < 40
+
+
 def test_a_repeated_batch_is_written_once(spark):
     out = new_dir(spark, "alerts")
     sink = alert_sink(out, "id > 1")

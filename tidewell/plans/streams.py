@@ -13,7 +13,7 @@ from tidewell.plans.tables import as_double, instant, stream, table
 from tidewell.session import new_dir
 from tidewell.sources.files import parquet_stream
 from tidewell.sources.topics import as_records
-from tidewell.streaming import agents, logs
+from tidewell.streaming import agents, carried, logs
 from tidewell.streaming.runner import (
     late_data_report,
     run_agents,
@@ -32,6 +32,8 @@ from tidewell.streaming.sinks import (
 
 BATCH_BYTES = 1 << 30  # bounds a micro-batch of the detectors, which hold a user's rows
 
+CORE_BYTES = 64 << 20  # per core and micro-batch where a user's rows may be split
+
 
 def log_records(events: DataFrame) -> DataFrame:
     """The events as JSON log records in the shape of a topic."""
@@ -164,6 +166,32 @@ def velocity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(spark, sf_dir, _velocities, "velocity")
 
 
+def _carried(spark: SparkSession, sf_dir: str, sink_of, name: str) -> DataFrame:
+    out, checkpoints = scratch(spark, name)
+    cores = spark.sparkContext.defaultParallelism
+    events = stream(spark, sf_dir, "events", max_bytes=cores * CORE_BYTES)
+    run_to_end(start_query(events, name, sink_of(out, f"{checkpoints}/rows"), checkpoints))
+    return read_batches(spark, out).drop("batch", "ts", "value")
+
+
+def anomaly_stream_carried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same judgements by the batch operator, in micro-batches as large as the cluster."""
+
+    def sink_of(out: str, state: str):
+        return carried.anomaly_sink(out, state, "user_id", "value", "ts", "event_id", floor=FLOOR)
+
+    return _carried(spark, sf_dir, sink_of, "anomaly-carried")
+
+
+def velocity_stream_carried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def sink_of(out: str, state: str):
+        return carried.velocity_sink(
+            out, state, "user_id", "value", "ts", "event_id", FRAME, high_amount=HIGH_VALUE
+        )
+
+    return _carried(spark, sf_dir, sink_of, "velocity-carried")
+
+
 def agents_together(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both detectors on one stream, each writing only its alerts."""
     out, checkpoints = scratch(spark, "agents")
@@ -213,6 +241,8 @@ QUERIES = {
     "ingest_logs": ingest,
     "anomaly_stream": anomaly_stream,
     "velocity_stream": velocity_stream,
+    "anomaly_stream_carried": anomaly_stream_carried,
+    "velocity_stream_carried": velocity_stream_carried,
     "run_agents": agents_together,
     "alert_sink": alerts_only,
     "stream_progress": progress,
@@ -277,6 +307,8 @@ ORACLE = {
         FROM events""",
     "anomaly_stream": _ANOMALIES,
     "velocity_stream": _VELOCITY,
+    "anomaly_stream_carried": _ANOMALIES,
+    "velocity_stream_carried": _VELOCITY,
     "run_agents": f"""
         SELECT 'anomaly' AS agent, event_id FROM ({_ANOMALIES}) WHERE is_anomaly
         UNION ALL
