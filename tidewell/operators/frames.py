@@ -55,7 +55,8 @@ def trailing_rows(
 ) -> DataFrame:
     """Adds ``measures`` over the ``n`` rows of the key before each row, itself excluded.
 
-    ``order`` starts with the time column and must order a key's rows fully.
+    ``order`` starts with the time column and must order a key's rows fully. ``df``
+    is read more than once: write it to a table first where it is costly.
     """
     if split_rows < n:
         raise ValueError("split_rows must be at least n")

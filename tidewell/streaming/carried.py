@@ -19,7 +19,6 @@ from tidewell.functions import rules
 from tidewell.functions.times import duration_micros, micros
 from tidewell.operators.deltas import complete, write_delta
 from tidewell.operators.detect import anomaly_batch, velocity_batch
-from tidewell.session import checkpointed
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -37,7 +36,10 @@ def carrying_sink(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         # Several passes follow; written once, the source is read and decoded once.
-        rows = checkpointed(batch.select(*columns).withColumn("_new", F.lit(True)))
+        # Two folders in turn, so that no reader of the last one is disturbed.
+        copy = f"{state}/rows/{batch_id % 2}"
+        batch.select(*columns).write.mode("overwrite").parquet(copy)
+        rows = spark.read.parquet(copy).withColumn("_new", F.lit(True))
         earlier = [b for b in complete(spark, f"{state}/delta") if b < batch_id]
         if earlier:
             carried = spark.read.parquet(f"{state}/delta/batch={earlier[-1]}")
