@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators.deltas import complete, write_delta
-from tidewell.session import list_dirs
 
 
 def batch_sink(target: str) -> Callable[[DataFrame, int], None]:
@@ -68,8 +67,12 @@ def topic_sink(servers: str, topic: str, key: str) -> Callable[[DataFrame, int],
 
 
 def read_batches(spark: SparkSession, target: str) -> DataFrame:
-    """All rows written by `batch_sink` or `alert_sink`, with their ``batch``."""
-    return spark.read.parquet(f"{target}/delta")
+    """All rows written by `batch_sink` or `alert_sink`, with their ``batch``.
+
+    A batch that is still being written is left out.
+    """
+    paths = [f"{target}/delta/batch={b}" for b in complete(spark, f"{target}/delta")]
+    return spark.read.option("basePath", f"{target}/delta").parquet(*paths)
 
 
 def read_last_batch(spark: SparkSession, target: str) -> DataFrame:
@@ -84,7 +87,3 @@ def latest_updates(spark: SparkSession, target: str, keys: list[str]) -> DataFra
     values = F.struct(*[c for c in rows.columns if c not in (*keys, "batch")])
     newest = rows.groupBy(*keys).agg(F.max_by(values, "batch").alias("_v"))
     return newest.select(*keys, "_v.*")
-
-
-def has_batches(spark: SparkSession, target: str) -> bool:
-    return bool(list_dirs(spark, f"{target}/delta"))
