@@ -28,13 +28,16 @@ def avg_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nested_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written in SQL over a view, as the same query would be in a database."""
+    """Written in SQL over a view, as the same query would be in a database.
+
+    The means are decimals: a mean of doubles depends on the order of the rows, and
+    one in the middle between two results would be rounded now up, now down.
+    """
     table(spark, sf_dir, "customer").createOrReplaceTempView("tidewell_customer")
     return spark.sql("""
-        SELECT c_nationkey, round(avg(avg_bal), 4) AS avg_bal
+        SELECT c_nationkey, CAST(round(round(avg(avg_bal), 10), 4) AS double) AS avg_bal
         FROM (
-            SELECT c_nationkey, c_mktsegment,
-                   CAST(sum(CAST(c_acctbal AS decimal(18, 2))) AS double) / count(*) AS avg_bal
+            SELECT c_nationkey, c_mktsegment, avg(CAST(c_acctbal AS decimal(24, 12))) AS avg_bal
             FROM tidewell_customer
             GROUP BY c_nationkey, c_mktsegment
         )
