@@ -1,13 +1,19 @@
 """The operators as queries over the test tables, with SQL where it can express them."""
 
-from tidewell.llm import mixing, pii, secrets
+from tidewell.llm import minhash, mixing, neighbours, pii, secrets, topk
 
 QUERIES = {
+    "op1_neighbours": neighbours.op1_neighbours,
     "op2_mixing": mixing.op2_mixing,
     "op5_pii": pii.op5_pii,
+    "op7_topk": topk.op7_topk,
     "op8_secrets": secrets.op8_secrets,
+    "op10_minhash": minhash.op10_minhash,
 }
 
 ORACLE = {
+    "op1_neighbours": neighbours.ORACLE_OP1,
     "op2_mixing": mixing.ORACLE_OP2,
+    "op7_topk": topk.ORACLE_OP7,
+    "op10_minhash": minhash.ORACLE_OP10,
 }
