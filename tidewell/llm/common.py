@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.session import new_dir
@@ -13,6 +13,8 @@ from tidewell.session import new_dir
 SPACE = r"\x20\x09-\x0D"
 FIRST_LETTERS = rf"[{SPACE}]*+([^{SPACE}])[^{SPACE}]*+|[{SPACE}]++"
 
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1_000
+
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read again.
@@ -25,6 +27,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Lets Python tasks take texts in small batches, unless the session's are smaller.
+
+    Spark's default of 10,000 rows is much memory where rows are documents, for Python
+    and for the buffers that the JVM keeps beside its heap. Batches of long texts are
+    bounded in bytes by Spark itself.
+    """
+    if not 0 < int(spark.conf.get(BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once, however often ``body`` uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)

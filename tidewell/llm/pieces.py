@@ -12,6 +12,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.llm.common import bounded_batches
 from tidewell.plans.tables import table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -151,6 +152,7 @@ def _lists(ids: list[list[int]]) -> pa.Array:
 
 def _with_column(df: DataFrame, name: str, kind: str, made, model: str) -> DataFrame:
     """``df`` with one more column, made from each batch in parts of bounded size."""
+    bounded_batches(df.sparkSession)
     vocabulary = df.sparkSession.sparkContext.broadcast(Vocabulary(model))
 
     def run(batches):

@@ -10,17 +10,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.llm.common import bounded_batches
 from tidewell.llm.folds import fold, sampled_ids, texts_of
 from tidewell.plans.tables import table
 
 FOLDS, HELD_OUT = 3, 1
-POSITIVES = 4_000  # confirmed toxic documents learnt from, at most
-UNLABELLED = 12_000  # other documents learnt from, at most
+POSITIVES = 6_000  # confirmed toxic documents learnt from, at most
+UNLABELLED = 18_000  # other documents learnt from, at most
 BUCKETS = 1 << 18  # of word hashes
-RARE = 3  # sampled documents that must hold a word for it to count
+RARE = 5  # sampled documents that must hold a word for it to count
+EVIDENCE = 4.0  # standard deviations above its expected count among the toxic ones
 MEMBERS = 3  # classifiers whose log-odds are averaged, each without its share of the sample
-STEPS, RATE = 250, 0.3
-SPARSITY = 2e-4  # price of a unit of weight, which leaves words without evidence at zero
+STEPS, RATE = 250, 1.0
+SPARSITY = 2e-5  # price of a unit of weight, which leaves words without evidence at zero
 LIMIT = 0.7
 WORD = re.compile(r"\w+")
 
@@ -70,22 +72,43 @@ def risk_slopes(toxic, other, prior: float):
     return -prior * sigmoid(-toxic) / len(toxic) - down, other_down
 
 
+def telling(positive: list[np.ndarray], unlabelled: list[np.ndarray], n: int) -> np.ndarray:
+    """Which of ``n`` words are far more frequent among toxic documents than chance allows.
+
+    Only these get weights. Thousands of others would fit the sample by accident, and a
+    long document's many words would then add up to a verdict.
+    """
+    own, all_counts = np.zeros(n), np.zeros(n)
+    for words in positive:
+        own[words] += 1
+    for words in unlabelled:
+        all_counts[words] += 1
+    all_counts += own
+    expected = all_counts * len(positive) / (len(positive) + len(unlabelled))
+    return (all_counts >= RARE) & (own - expected > EVIDENCE * np.sqrt(expected))
+
+
 def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, n: int):
-    """Weights and bias of a linear classifier of ``n`` words, on log loss, by Adagrad with
+    """Weights of ``n`` words and bias of a linear classifier, on log loss, by Adagrad with
     soft thresholds."""
-    p, u = Rows(positive), Rows(unlabelled)
-    weights, bias = np.zeros(n), float(np.log(prior / (1 - prior)))
-    squares, bias_square = np.full(n, 1e-8), 1e-8
+    kept = telling(positive, unlabelled, n)
+    place, known = np.cumsum(kept) - 1, int(kept.sum())
+    p, u = (Rows([place[w[kept[w]]] for w in x]) for x in (positive, unlabelled))
+    weights, bias = np.zeros(known), float(np.log(prior / (1 - prior)))
+    squares, bias_square = np.full(known, 1e-8), 1e-8
     for _ in range(STEPS):
         p_slope, u_slope = risk_slopes(p.scores(weights, bias), u.scores(weights, bias), prior)
-        slope, down = p.gradient(p_slope, n) + u.gradient(u_slope, n), p_slope.sum() + u_slope.sum()
+        slope = p.gradient(p_slope, known) + u.gradient(u_slope, known)
+        down = p_slope.sum() + u_slope.sum()
         squares += slope * slope
         bias_square += down * down
         pace = RATE / np.sqrt(squares)
         weights = weights - pace * slope
         weights = np.sign(weights) * np.maximum(np.abs(weights) - pace * SPARSITY, 0)
         bias -= RATE * down / np.sqrt(bias_square)
-    return weights, bias
+    whole = np.zeros(n)
+    whole[kept] = weights
+    return whole, bias
 
 
 def calibrate(toxic, other, prior: float):
@@ -103,27 +126,18 @@ def calibrate(toxic, other, prior: float):
 
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float):
     """The mean of MEMBERS classifiers, calibrated. Each leaves out its share of the sample,
-    and the scores of what each left out calibrate them all. Words of fewer than RARE
-    sampled documents have no weight, so a long document's many rare words don't add up."""
-    counts = np.zeros(BUCKETS, np.int64)
-    for words in positive + unlabelled:
-        counts[words] += 1
-    common = counts >= RARE
-    place, n = np.cumsum(common) - 1, int(common.sum())
-    positive, unlabelled = ([place[w[common[w]]] for w in x] for x in (positive, unlabelled))
-    weights, bias, toxic, other = np.zeros(n), 0.0, [], []
+    and the scores of what each left out calibrate them all."""
+    weights, bias, toxic, other = np.zeros(BUCKETS), 0.0, [], []
     members = MEMBERS if min(len(positive), len(unlabelled)) >= 2 * MEMBERS else 1
     for m in range(members):
         p_in, u_in = ([w for i, w in enumerate(x) if members == 1 or i % members != m]
                       for x in (positive, unlabelled))
-        own, own_bias = train(p_in, u_in, prior, n)
+        own, own_bias = train(p_in, u_in, prior, BUCKETS)
         weights, bias = weights + own / members, bias + own_bias / members
         toxic.append(Rows(positive[m::members]).scores(own, own_bias))
         other.append(Rows(unlabelled[m::members]).scores(own, own_bias))
     scale, shift = calibrate(np.concatenate(toxic), np.concatenate(other), prior)
-    whole = np.zeros(BUCKETS)
-    whole[common] = scale * weights
-    return whole, scale * bias + shift
+    return scale * weights, scale * bias + shift
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame):
@@ -166,6 +180,7 @@ def with_toxicity(docs: DataFrame, labels: DataFrame, name: str = "score") -> Da
     Null and empty texts have the score of no words. Without a toxic document to learn from,
     all scores are 0. Rows and other columns stay as they are.
     """
+    bounded_batches(docs.sparkSession)
     model = toxicity_model(docs, labels)
     if model is None:
         return docs.withColumn(name, F.lit(0.0))

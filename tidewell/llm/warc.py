@@ -12,7 +12,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import written
+from tidewell.llm.common import bounded_batches, written
 from tidewell.plans.tables import table
 from tidewell.session import new_dir
 
@@ -135,6 +135,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         if out is not None:
             out.close()
 
+    bounded_batches(pages.sparkSession)
     store, place = fs.FileSystem.from_uri(folder)
     store.create_dir(place, recursive=True)
     return written(pages.mapInArrow(write, INDEX), "warc-index")
@@ -163,6 +164,7 @@ def read_records(selected: DataFrame) -> DataFrame:
     neighbours with at most GAP bytes between them become one read of up to READ_BYTES.
     Every response's length and digest are checked against what was read.
     """
+    bounded_batches(selected.sparkSession)
     piece = F.floor(F.col("offset") / SPLIT_BYTES)
     ordered = (
         selected.select("archive", "offset", "length").withColumn("_piece", piece)
