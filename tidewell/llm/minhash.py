@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import text_id, written
+from tidewell.llm.common import bounded_batches, text_id, written
 from tidewell.llm.components import components
 from tidewell.plans.tables import table
 
@@ -215,6 +215,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Rows that repeat an id are judged each by their own text. An empty table gives no rows,
     and further columns are ignored.
     """
+    bounded_batches(docs.sparkSession)
     rows = written(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                     text_id(F.col("doc_id"), F.col("text")).alias("id"), "text")
