@@ -1,5 +1,5 @@
 import base64
-from decimal import Decimal
+from decimal import Context, Decimal
 
 import pytest
 from conftest import rows
@@ -25,7 +25,7 @@ def test_base64_decimal_is_exact(spark, numbers):
     got = {r.i: r.d for r in df.select("i", base64_decimal(F.col("b"), 2).alias("d")).collect()}
     for i, n in enumerate(numbers):
         # 38 digits hold 36 before the point; a value beyond that is null, never wrong.
-        exact = Decimal(n).scaleb(-2)
+        exact = Decimal(n).scaleb(-2, Context(prec=50))
         assert got[i] == exact or (got[i] is None and abs(n) >= 10**36), n
 
 
