@@ -8,7 +8,12 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidewell.operators.detect import anomaly_batch, score_with_model, velocity_batch
-from tidewell.operators.frames import trailing_count, trailing_rows
+from tidewell.operators.frames import (
+    _sorted,
+    _with_earlier,
+    trailing_count,
+    trailing_rows,
+)
 from tidewell.plans.detection import LinearModel
 
 START = dt.datetime(2024, 1, 1)
@@ -127,11 +132,47 @@ def test_split_rows_equal_plain_rows(spark, entries, n, extra):
 
 
 @FEW
-@given(ENTRIES, st.sampled_from(["1 second", "7 seconds", "60 seconds", "1 hour"]))
+@given(
+    st.lists(st.tuples(
+        st.sampled_from([1, 1, 1, 2, None]),
+        st.one_of(st.none(), st.integers(0, 400).map(lambda n: n / 4), st.just(3e9)),
+        st.sampled_from([None, 1, 1, 2, 7]),
+    ), min_size=1, max_size=100),
+    st.sampled_from(["1 second", "7 seconds", "60 seconds", "1 hour"]),
+)
 def test_rank_counts_equal_frame_counts(spark, entries, window):
-    df = transactions(spark, entries)
-    args = (df, "user_id", "created_at", "id", window, "v")
-    assert rows(trailing_count(*args, dense_rows=1)) == rows(trailing_count(*args))
+    """Ids repeat or are null, times too, and some are far out."""
+    df = spark.createDataFrame(
+        [(i, user, Decimal(1), at if at is None else START + dt.timedelta(seconds=at))
+         for user, at, i in entries], SCHEMA)
+    args = (df, "user_id", "created_at", window, "v")
+    assert rows(trailing_count(*args, dense_rows=0)) == rows(trailing_count(*args))
+
+
+def test_a_far_out_time_does_not_join_the_pieces(spark):
+    df = transactions(spark, [(1, i / 100, 1) for i in range(900)] + [(2, 2e11, 1)])
+    pieces = _with_earlier(
+        _sorted(df, "user_id", [F.col("created_at"), F.col("id")]), "user_id", F.lit(1))
+    last = pieces.filter("user_id = 1").agg(
+        F.max(F.col("_before") + F.col("_row") - F.col("_first"))).first()
+    assert last[0] == 899
+    split = trailing_rows(df, "user_id", ("created_at", "id"), 3, {"n": F.count("id")}, split_rows=50)
+    whole = trailing_rows(df, "user_id", ("created_at", "id"), 3, {"n": F.count("id")})
+    assert rows(split) == rows(whole)
+
+
+def test_boundary_of_a_ratio_is_exact(spark):
+    assert not spend(spark, *["0.20"] * 5, "0.46", ratio=2.3, floor=0.1)[-1]
+    assert spend(spark, *["0.20"] * 5, "0.47", ratio=2.3, floor=0.1)[-1]
+    for bad in ({"ratio": 1 / 3}, {"zscore": 1 / 3}):
+        with pytest.raises(ValueError):
+            spend(spark, 1, 2, **bad)
+
+
+def test_velocity_amounts_keep_their_scale(spark):
+    df = transactions(spark, [(1, 0, 1)]).withColumn("amount", F.lit("4000.004"))
+    assert velocity_batch(df, scale=3).first().score == 50
+    assert velocity_batch(df).first().score == 0
 
 
 def test_one_user_with_most_rows_is_cut_into_pieces(spark):

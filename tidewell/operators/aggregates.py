@@ -96,9 +96,12 @@ def sum_by_lookup(
     """
     names = lookup.select(lookup_on, key)
     match = F.col(on) == F.col(lookup_on)
-    if _spark_broadcasts(names):
-        return topk_groups(facts.join(names, match), key, F.sum(amount), k, name)
     per_on = facts.groupBy(on).agg(F.sum(amount).alias("_part"))
+    # A sum of sums is the wider type, and both ways give that one.
+    kind = per_on.agg(F.sum("_part").alias("_total")).schema["_total"].dataType
+    if _spark_broadcasts(names):
+        total = F.sum(amount).cast(kind)
+        return topk_groups(facts.join(names, match), key, total, k, name)
     return topk_groups(per_on.join(names, match), key, F.sum("_part"), k, name)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from tidewell.functions import rules
-from tidewell.functions.numbers import from_minor_units, minor_units, money
+from tidewell.functions.numbers import from_minor_units, minor_units
 from tidewell.operators.frames import DENSE_ROWS, SPLIT_ROWS, trailing_count, trailing_rows
 
 
@@ -64,14 +64,17 @@ def velocity_batch(
     alert: int = rules.ALERT_ABOVE,
     split_rows: int = SPLIT_ROWS,
     dense_rows: int = DENSE_ROWS,
+    scale: int = 2,
 ) -> DataFrame:
     """Scores each row by the user's recent rows and its own amount.
 
-    Adds ``velocity``, ``score`` and ``is_alert``.
+    Adds ``velocity``, ``score`` and ``is_alert``. ``id_col`` is there as in the other
+    detectors; ids may repeat or be null, since every row counts.
     """
-    counted = trailing_count(df, user, ts, id_col, window, "velocity", split_rows, dense_rows)
+    counted = trailing_count(df, user, ts, window, "velocity", split_rows, dense_rows)
     score = rules.velocity_score(
-        F.col("velocity"), money(F.col(amount)), max_velocity, high_amount
+        F.col("velocity"), minor_units(F.col(amount), scale), max_velocity,
+        round(high_amount * 10**scale),
     )
     return counted.withColumn("score", score).withColumn("is_alert", F.col("score") > alert)
 

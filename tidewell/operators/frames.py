@@ -1,9 +1,10 @@
 """Trailing frames per key that stay balanced when one key holds much of the data.
 
 Spark computes a window partition in one task. That is right for ordinary keys,
-and the plain window is used while no key is large. A key above a size limit is
-cut into time-ordered pieces first, and each piece gets what it needs to know of
-the rows before it, so the results are the same as with one window per key.
+and the plain window is used while no key is large. The rows of larger keys are
+sorted over the whole cluster and numbered by their place, as `assign_ids` does,
+so they are cut by rank: a burst, or one row with a wrong time, moves no cut. The
+results are the same as with one window per key.
 """
 
 from __future__ import annotations
@@ -13,11 +14,11 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.times import duration_micros, micros
 from tidewell.session import checkpointed
+from tidewell.sources.ids import ROW_BITS
 
 SPLIT_ROWS = 2_000_000  # a key with more rows than this is cut into pieces
 DENSE_ROWS = 5_000  # more rows than this in one time frame: count by rank instead
-MAX_CELLS = 1_000_000  # time cells per key, which bounds the per-key bookkeeping
-BROADCAST_ROWS = 200_000  # a table of keys or cells up to this size may be broadcast
+BROADCAST_ROWS = 200_000  # a table of keys or offsets up to this size may be broadcast
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -26,11 +27,6 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(written) if written.count() <= BROADCAST_ROWS else written
 
 
-def _cell_micros(df: DataFrame, ts: str) -> int:
-    low, high = df.agg(F.min(micros(F.col(ts))), F.max(micros(F.col(ts)))).first()
-    return 1 if low is None else max(1, (high - low) // MAX_CELLS + 1)
-
-
 def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
     """Equality on ``columns`` in which null equals null."""
     match = F.lit(True)
@@ -45,6 +41,34 @@ def _matchable(df: DataFrame, columns: list[str]) -> DataFrame:
     return df
 
 
+def _parted(df: DataFrame, large: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of ordinary keys, and those of the ``large`` ones."""
+    large = _matchable(_small(large.select(key)), [key])
+    match = _same(df, large, [key])
+    return df.join(large, match, "left_anti"), df.join(large, match, "left_semi")
+
+
+def _sorted(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
+    """``df`` sorted over the cluster and written, each row with its partition ``_part``
+    and the number ``_row``. Written, so that a re-run task can't number rows anew."""
+    placed = checkpointed(
+        df.orderBy(key, *order).withColumn("_row", F.monotonically_increasing_id()))
+    return placed.withColumn("_part", F.shiftright(F.col("_row"), ROW_BITS))
+
+
+def _with_earlier(placed: DataFrame, key: str, counted: Column) -> DataFrame:
+    """Adds ``_first``, the key's first row in the partition, and ``_before``, the sum of
+    ``counted`` over the key's rows in earlier partitions. One row per key and partition
+    is summed, and few keys are in more than one."""
+    parts = placed.groupBy(key, "_part").agg(
+        F.min("_row").alias("_first"), F.sum(counted).alias("_sum"))
+    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(
+        key, "_part", "_first", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    offsets = _matchable(_small(offsets), [key, "_part"])
+    return placed.join(offsets, _same(placed, offsets, [key, "_part"])).drop(f"_{key}_r", "__part_r")
+
+
 def trailing_rows(
     df: DataFrame,
     key: str,
@@ -61,68 +85,31 @@ def trailing_rows(
     if split_rows < n:
         raise ValueError("split_rows must be at least n")
     large = df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > split_rows)
+    large = checkpointed(large)
+    frame = Window.partitionBy(key).orderBy(*order).rowsBetween(-n, -1)
     if large.isEmpty():
-        frame = Window.partitionBy(key).orderBy(*order).rowsBetween(-n, -1)
         return df.withColumns({name: m.over(frame) for name, m in measures.items()})
-
-    pieces = _pieces(df, large.select(key), key, order[0], split_rows)
-    cell = F.floor(micros(F.col(order[0])) / _cell_micros(df, order[0])).alias("_cell")
-    base = df.select("*", cell)
-    found = _matchable(pieces, [key, "_cell"])
-    tagged = base.join(found, _same(base, found, [key, "_cell"]), "left").drop(
-        f"_{key}_r", "__cell_r", "_cell"
-    )
-
-    # The last n rows of a piece also go, as context, to the next two pieces. Two
-    # pieces in a row always hold more than split_rows rows together, see _pieces.
-    last = Window.partitionBy(key, "_piece").orderBy(*[F.desc(c) for c in order])
-    context = (
-        tagged.filter(F.col("_piece").isNotNull())
-        .withColumn("_last", F.row_number().over(last))
-        .filter(F.col("_last") <= n)
-        .drop("_last")
-        .withColumn("_ahead", F.explode(F.array(F.lit(1), F.lit(2))))
-        .withColumn("_piece", F.col("_piece") + F.col("_ahead"))
-        .drop("_ahead")
-        .withColumn("_own", F.lit(False))
-    )
-    both = tagged.withColumn("_own", F.lit(True)).unionByName(context)
-    frame = Window.partitionBy(key, "_piece").orderBy(*order).rowsBetween(-n, -1)
-    judged = both.withColumns({name: m.over(frame) for name, m in measures.items()})
-    return judged.filter("_own").drop("_own", "_piece")
-
-
-def _pieces(df: DataFrame, large: DataFrame, key: str, ts: str, split_rows: int) -> DataFrame:
-    """``(key, _cell, _piece)`` for the large keys.
-
-    A cell belongs to the piece in which its first row falls when the key's rows
-    are counted off in steps of ``split_rows``; pieces are then numbered without
-    gaps. A piece can be short, but from the start of one piece to the start of
-    the next but one there are more than ``split_rows`` rows.
-    """
-    cell = F.floor(micros(F.col(ts)) / _cell_micros(df, ts)).alias("_cell")
-    keys = _matchable(_small(large), [key])
-    rows = df.select(key, cell)
-    cells = (
-        rows.join(keys, _same(rows, keys, [key]), "left_semi")
-        .groupBy(key, "_cell")
-        .agg(F.count("*").alias("_n"))
-    )
-    earlier = Window.partitionBy(key).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    step = F.floor(F.coalesce(F.sum("_n").over(earlier), F.lit(0)) / F.lit(split_rows))
-    numbered = Window.partitionBy(key).orderBy("_step")
-    return _small(
-        cells.withColumn("_step", step)
-        .withColumn("_piece", F.dense_rank().over(numbered))
-        .select(key, "_cell", "_piece")
-    )
+    usual, heavy = _parted(df, large, key)
+    usual = usual.withColumns({name: m.over(frame) for name, m in measures.items()})
+
+    placed = _with_earlier(_sorted(heavy, key, [F.col(c) for c in order]), key, F.lit(1))
+    place = F.col("_before") + F.col("_row") - F.col("_first")
+    pieces = placed.withColumn("_place", place).withColumn(
+        "_piece", F.floor(F.col("_place") / split_rows)).drop("_row", "_part", "_first", "_before")
+    # The last n rows of a piece, which all hold split_rows, also go to the next as context.
+    context = pieces.filter(F.pmod("_place", F.lit(split_rows)) >= split_rows - n).withColumn(
+        "_piece", F.col("_piece") + 1)
+    both = pieces.withColumn("_own", F.lit(True)).unionByName(
+        context.withColumn("_own", F.lit(False)))
+    in_piece = Window.partitionBy(key, "_piece").orderBy("_place").rowsBetween(-n, -1)
+    judged = both.withColumns({name: m.over(in_piece) for name, m in measures.items()})
+    return usual.unionByName(judged.filter("_own").drop("_own", "_piece", "_place"))
 
 
 def trailing_count(
     df: DataFrame,
     key: str,
     ts: str,
-    id_col: str,
     window: str,
     name: str,
     split_rows: int = SPLIT_ROWS,
@@ -131,13 +118,13 @@ def trailing_count(
     """Adds how many rows of the key lie within ``window`` up to each row's time.
 
     The row itself, rows exactly ``window`` old and rows with the same time all
-    count. ``id_col`` identifies a row.
+    count. Rows need no id: equal ones are rows of their own.
     """
     width = duration_micros(window)
     per_span = df.groupBy(key, F.floor(micros(F.col(ts)) / width).alias("_span")).agg(
         F.count("*").alias("_n")
     )
-    large = (
+    large = checkpointed(
         per_span.groupBy(key)
         .agg(F.sum("_n").alias("_total"), F.max("_n").alias("_densest"))
         .filter((F.col("_total") > split_rows) | (F.col("_densest") > dense_rows))
@@ -146,64 +133,35 @@ def trailing_count(
     frame = Window.partitionBy(key).orderBy(micros(F.col(ts))).rangeBetween(-width, 0)
     if large.isEmpty():
         return df.withColumn(name, F.count("*").over(frame))
-    large = _matchable(_small(large), [key])
-    usual = df.join(large, _same(df, large, [key]), "left_anti")
-    heavy = df.join(large, _same(df, large, [key]), "left_semi")
-    counted = _count_by_rank(heavy, key, ts, id_col, width, name)
+    usual, heavy = _parted(df, large, key)
+    counted = _count_by_rank(heavy, key, ts, width, name)
     return usual.withColumn(name, F.count("*").over(frame)).unionByName(counted)
 
 
-def _count_by_rank(
-    df: DataFrame, key: str, ts: str, id_col: str, width: int, name: str
-) -> DataFrame:
-    """The same count as ranks: rows up to a time, less the rows before its frame.
+def _count_by_rank(df: DataFrame, key: str, ts: str, width: int, name: str) -> DataFrame:
+    """The same count as a difference: rows up to a time, less those before its frame.
 
-    Every row is entered twice, at its time (counting 1) and at the start of its
-    frame (counting 0). The rank of an entry is the key's rows in earlier time
-    cells plus a running sum within its cell. So cells are computed apart, and
-    the work per row does not grow with the rows in its frame.
+    Every row is entered three times: before all rows at the start of its frame, at
+    its time, where it counts, and behind all rows at its time. In the sorted entries, the
+    rows counted before the last entry less those before the first are the count. A running
+    sum needs the entries of one sorted partition only, so neither a key nor a burst is
+    one task's work, and the work per row does not grow with the rows in its frame. Rows
+    without a time count each other, as in a window.
     """
-    payload = F.struct(*[F.col(c) for c in df.columns])
+    rows = checkpointed(df.withColumn("_id", F.monotonically_increasing_id()))
     at = micros(F.col(ts))
-    entries = df.select(
-        F.col(key),
-        F.explode(
-            F.array(
-                F.struct(
-                    at.alias("_at"), F.lit(1).alias("_w"), F.col(id_col).alias("_id"),
-                    payload.alias("_row"),
-                ),
-                F.struct(
-                    (at - width).alias("_at"), F.lit(0).alias("_w"), F.col(id_col).alias("_id"),
-                    F.lit(None).cast(df.schema).alias("_row"),
-                ),
-            )
-        ).alias("_e"),
-    ).select(key, "_e.*")
-    size = max(1, min(width, _cell_micros(df, ts)))
-    if size * MAX_CELLS < width:
-        size = width // MAX_CELLS + 1
-    entries = entries.withColumn("_cell", F.floor(F.col("_at") / size))
-
-    # Cells as rows of their own: their sums per key, placed before their entries.
-    cells = entries.groupBy(key, "_cell").agg(F.sum("_w").alias("_n"))
-    earlier = Window.partitionBy(key).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    before = cells.select(
-        key, "_cell", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
-    )
-    before = _matchable(before, [key, "_cell"])
-    placed = entries.join(before, _same(entries, before, [key, "_cell"])).drop(
-        f"_{key}_r", "__cell_r"
-    )
-    upto = (
-        Window.partitionBy(key, "_cell")
-        .orderBy("_at", "_w")
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ranked = placed.withColumn("_rank", F.col("_before") + F.sum("_w").over(upto))
-    signed = F.when(F.col("_w") == 1, F.col("_rank")).otherwise(-F.col("_rank"))
-    return (
-        ranked.groupBy(key, "_id")
-        .agg(F.any_value("_row", F.lit(True)).alias("_row"), F.sum(signed).alias(name))
-        .select("_row.*", name)
-    )
+
+    def entry(time: Column, turn: int) -> Column:
+        return F.struct(time.alias("_at"), F.lit(turn).alias("_turn"))
+
+    entries = rows.select(
+        key, "_id", F.explode(F.array(entry(at - width, 0), entry(at, 1), entry(at, 2))).alias("_e")
+    ).select(key, "_id", "_e._at", "_e._turn")
+    counts = (F.col("_turn") == 1).cast("long")
+    placed = _with_earlier(_sorted(entries, key, [F.col("_at"), F.col("_turn")]), key, counts)
+    upto = Window.partitionBy("_part", key).orderBy("_row").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ranked = placed.withColumn("_rank", F.col("_before") + F.sum(counts).over(upto))
+    signed = F.when(F.col("_turn") == 2, F.col("_rank")).when(F.col("_turn") == 0, -F.col("_rank"))
+    counted = ranked.groupBy("_id").agg(F.sum(signed).alias(name)).withColumnRenamed("_id", "_of")
+    return rows.join(counted, F.col("_id") == F.col("_of")).drop("_id", "_of")

@@ -56,6 +56,15 @@ def velocity_batch_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _velocity(spark, sf_dir, dense_rows=0)
 
 
+def velocity_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event twice, as a topic may deliver it: both count, by rank."""
+    events = table(spark, sf_dir, "events")
+    return detect.velocity_batch(
+        events.union(events), "user_id", "value", "ts", "event_id", FRAME,
+        high_amount=HIGH_VALUE, dense_rows=0,
+    ).select(*SCORED)
+
+
 class LinearModel:
     """A stand-in for a trained model: fixed weights for velocity and amount."""
 
@@ -76,7 +85,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         anomaly_batch, anomaly_batch_split, anomaly_zscore, velocity_batch,
-        velocity_batch_ranked, score_with_model,
+        velocity_batch_ranked, velocity_repeated_ids, score_with_model,
     )
 }
 
@@ -114,6 +123,8 @@ ORACLE = {
         FROM ({_FRAMED})""",
     "velocity_batch": VELOCITY,
     "velocity_batch_ranked": VELOCITY,
+    "velocity_repeated_ids": VELOCITY.replace(
+        "FROM events", "FROM (SELECT * FROM events UNION ALL SELECT * FROM events)"),
     "score_with_model": f"""
         SELECT event_id, round(0.125 * velocity + 0.25 * value, 4) AS model_score
         FROM ({VELOCITY})""",

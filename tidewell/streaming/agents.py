@@ -42,6 +42,8 @@ def _judge_anomalies(
 ):
     """State: the user's last ``history`` amounts, oldest first."""
 
+    p, q = rules.as_fraction(ratio)
+
     def is_far(units, n, total, known, here, first):
         # As in rules.above_zscore, in Python's integers: squares outgrow 64 bits.
         squares = np.concatenate([[0], np.cumsum(known.astype(object) ** 2)])
@@ -56,12 +58,14 @@ def _judge_anomalies(
         earlier = _remembered(state)
         known = np.concatenate([earlier, units])
         # sums[i] is the total of the first i known amounts.
-        sums = np.concatenate([[0], np.cumsum(known)])
+        sums = np.concatenate([[0], np.cumsum(known.astype(object))]).astype(object)
         here = np.arange(len(earlier), len(known))
         first = np.maximum(here - history, 0)
-        n, total = here - first, sums[here] - sums[first]
+        n, total = here - first, (sums[here] - sums[first]).astype("int64")
         if zscore is None:
-            flagged = (n >= min_n) & (units * n > ratio * total) & (units > floor_units)
+            # In Python's integers, as rules.above_ratio in wide decimals.
+            beyond = units.astype(object) * n * q > total.astype(object) * p
+            flagged = (n >= min_n) & beyond.astype(bool) & (units > floor_units)
         else:
             flagged = is_far(units, n, total, known, here, first).astype(bool)
         state.update((known[-history:].tolist(),))
