@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.text import contains, has_token, normal_term, tokens
-from tidewell.operators.deltas import part_paths
-from tidewell.session import estimated_bytes
+from tidewell.operators.deltas import complete, part_paths
+from tidewell.session import estimated_bytes, remove_dir
 from tidewell.sources.files import spread as over_all_cores
 
 TASK_BYTES = 64 * 1024 * 1024  # table bytes per index task
@@ -117,11 +119,13 @@ def _write_postings(
     )
 
 
-def index_sink(id_col: str, text: str, target: str, buckets: int = 64, spread: int = 1):
+def index_sink(id_col: str, text: str, target: str, buckets: int = 64, spread: int = MIN_SPREAD):
     """A ``foreachBatch`` function that indexes a stream's texts as they arrive.
 
     A micro-batch adds its own postings and replaces them if it is repeated. The
-    stream's ids must not repeat. Read the index with `read_index`.
+    stream's ids must not repeat. ``buckets`` stays for the life of the index; ``spread``
+    is how many tasks share a term that is in every document of a micro-batch. Read the
+    index with `read_index`, and fold its batches with `compact_index` now and then.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -133,15 +137,47 @@ def index_sink(id_col: str, text: str, target: str, buckets: int = 64, spread: i
 
 
 def read_index(spark: SparkSession, target: str) -> DataFrame:
-    """The postings of all complete batches of `index_sink`."""
+    """The postings of `index_sink`: the newest folded base and the batches after it."""
     paths, _ = part_paths(spark, target)
-    return spark.read.option("basePath", f"{target}/delta").parquet(*paths)
+    if not paths:
+        raise FileNotFoundError(f"nothing complete under {target}")
+    # Each part is a partitioned table of its own, so its buckets are still folder names.
+    parts = [spark.read.parquet(path) for path in paths]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def compact_index(spark: SparkSession, target: str, spread: int = MIN_SPREAD) -> None:
+    """Folds all complete batches of an index into one base, a folder per bucket.
+
+    Each bucket is dealt to ``spread`` tasks by document, so a term of very many documents
+    is not one task's work. Folders of older bases and folded batches are left to readers
+    that still have them open; the next compaction removes them.
+    """
+    paths, last = part_paths(spark, target)
+    folded = [n for n in complete(spark, f"{target}/base") if n != last]
+    if len(paths) > 1:
+        share = F.pmod(F.xxhash64("doc_id"), F.lit(spread))
+        (
+            read_index(spark, target)
+            .repartition("buckets", "bucket", share)
+            .sortWithinPartitions("buckets", "bucket", "term")
+            .write.mode("overwrite").partitionBy("buckets", "bucket")
+            .parquet(f"{target}/base/upto={last}")
+        )
+    for upto in folded[:-1]:
+        remove_dir(spark, f"{target}/base/upto={upto}")
+    if folded:
+        for batch in complete(spark, f"{target}/delta"):
+            if batch <= folded[-1]:
+                remove_dir(spark, f"{target}/delta/batch={batch}")
 
 
 def index_tasks(df: DataFrame) -> int:
     """How many tasks of about ``TASK_BYTES`` of table the postings should fill."""
     size = estimated_bytes(df)
-    return df.rdd.getNumPartitions() if size is None else size // TASK_BYTES + 1
+    if size is None:  # rows from elsewhere: as many as the session shuffles into
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return size // TASK_BYTES + 1
 
 
 def term_bucket(term: Column, buckets: Column) -> Column:

@@ -8,12 +8,18 @@ from pyspark.sql.types import DecimalType, LongType, StringType, StructField, St
 
 from tidewell.functions.numbers import minor_units, money
 from tidewell.operators import cdc, rollup
-from tidewell.plans.tables import instant, stream, table
+from tidewell.plans.tables import instant, table
 from tidewell.session import new_dir
-from tidewell.sources.files import spread
+from tidewell.sources.files import in_order_of, spread
 from tidewell.sources.topics import as_records
 from tidewell.streaming.runner import run_to_end, scratch, start_query
 
+
+def _replayed(spark: SparkSession, sf_dir: str, name: str, order: str) -> DataFrame:
+    """A table as a stream of several micro-batches, in order of one of its columns."""
+    return in_order_of(table(spark, sf_dir, name), order, new_dir(spark, f"{name}-in-order"))
+
+
 ROW = StructType([
     StructField("id", LongType()),
     StructField("customer", LongType()),
@@ -103,7 +109,7 @@ def cdc_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cdc_apply_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same mirror, kept by a stream and read after a compaction."""
     out, checkpoints = scratch(spark, "mirror")
-    changes = _decoded(stream(spark, sf_dir, "orders"))
+    changes = _decoded(_replayed(spark, sf_dir, "orders", "o_orderkey"))
     sink = cdc.mirror_sink(out, ["id"], ["offset"])
     run_to_end(start_query(changes, "mirror", sink, checkpoints, "append"))
     cdc.compact_mirror(spark, out, ["id"])
@@ -137,7 +143,8 @@ def rollup_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rollup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoints = scratch(spark, "rollup")
     sink = rollup.rollup_sink(out, KEYS, _aggs())
-    run_to_end(start_query(stream(spark, sf_dir, "events"), "rollup", sink, checkpoints))
+    run_to_end(start_query(
+        _replayed(spark, sf_dir, "events", "ts"), "rollup", sink, checkpoints))
     return rollup.read_rollup(spark, out, KEYS, _aggs())
 
 

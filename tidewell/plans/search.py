@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tidewell.operators import search
 from tidewell.operators.aggregates import topk_groups
-from tidewell.plans.tables import stream, table
+from tidewell.plans.tables import table
 from tidewell.session import new_dir
+from tidewell.sources.files import in_order_of
 from tidewell.streaming.runner import run_to_end, scratch, start_query
 
 TERM = "license"
@@ -67,8 +68,11 @@ def text_match_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_index_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents indexed as they arrive, then searched through that index."""
     out, checkpoints = scratch(spark, "index-stream")
-    sink = search.index_sink("doc_id", "text", out, buckets=8)
-    run_to_end(start_query(stream(spark, sf_dir, "documents"), "index", sink, checkpoints))
+    sink = search.index_sink("doc_id", "text", out)
+    arriving = in_order_of(
+        table(spark, sf_dir, "documents"), "doc_id", new_dir(spark, "documents-in-order"))
+    run_to_end(start_query(arriving, "index", sink, checkpoints))
+    search.compact_index(spark, out)
     docs = table(spark, sf_dir, "documents").filter("lang = 'en'")
     index = search.read_index(spark, out)
     return _by_source(search.text_match_indexed(docs, index, "doc_id", TERM))

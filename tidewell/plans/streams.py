@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import functools
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.numbers import money
 from tidewell.plans.detection import FLOOR, FRAME, HIGH_VALUE
-from tidewell.plans.tables import as_double, instant, stream, table
+from tidewell.plans.tables import as_double, instant, table
 from tidewell.session import new_dir
-from tidewell.sources.files import parquet_stream
+from tidewell.sources.files import in_order_of, parquet_stream
 from tidewell.sources.topics import as_records
 from tidewell.streaming import agents, carried, logs
 from tidewell.streaming.runner import (
+    ProgressLog,
     late_data_report,
     run_agents,
     run_to_end,
@@ -30,9 +32,10 @@ from tidewell.streaming.sinks import (
     read_last_batch,
 )
 
-BATCH_BYTES = 1 << 30  # bounds a micro-batch of the detectors, which hold a user's rows
 
-CORE_BYTES = 64 << 20  # per core and micro-batch where a user's rows may be split
+def events_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream of several micro-batches in order of time."""
+    return in_order_of(table(spark, sf_dir, "events"), "ts", new_dir(spark, "events-in-order"))
 
 
 def log_records(events: DataFrame) -> DataFrame:
@@ -54,7 +57,7 @@ def log_records(events: DataFrame) -> DataFrame:
 
 
 def _logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return logs.parse_logs(log_records(stream(spark, sf_dir, "events")))
+    return logs.parse_logs(log_records(events_in_order(spark, sf_dir)))
 
 
 def log_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +102,7 @@ def crash_monitor_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def temp_window_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoints = scratch(spark, "window-avg")
     means = logs.window_avg(
-        stream(spark, sf_dir, "events"), "ts", money(F.col("value")), ["event_type"],
+        events_in_order(spark, sf_dir), "ts", money(F.col("value")), ["event_type"],
         watermark="1 hour",
     )
     run_to_end(start_query(means, "window_avg", batch_sink(out), checkpoints, "update"))
@@ -136,7 +139,7 @@ def late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, checkpoints = scratch(spark, "ingest")
-    records = log_records(stream(spark, sf_dir, "events"))
+    records = log_records(events_in_order(spark, sf_dir))
     run_to_end(logs.ingest_logs(records, target, checkpoints, lower_content=True))
     return spark.read.parquet(target).drop("event_date")
 
@@ -153,7 +156,7 @@ def _velocities(sdf: DataFrame) -> DataFrame:
 
 def _judged(spark: SparkSession, sf_dir: str, agent, name: str) -> DataFrame:
     out, checkpoints = scratch(spark, name)
-    events = stream(spark, sf_dir, "events", max_bytes=BATCH_BYTES)
+    events = events_in_order(spark, sf_dir)
     run_to_end(start_query(agent(events), name, batch_sink(out), checkpoints))
     return read_batches(spark, out).drop("batch", "ts")
 
@@ -168,8 +171,7 @@ def velocity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _carried(spark: SparkSession, sf_dir: str, sink_of, name: str) -> DataFrame:
     out, checkpoints = scratch(spark, name)
-    cores = spark.sparkContext.defaultParallelism
-    events = stream(spark, sf_dir, "events", max_bytes=cores * CORE_BYTES)
+    events = events_in_order(spark, sf_dir)
     run_to_end(start_query(events, name, sink_of(out, f"{checkpoints}/rows"), checkpoints))
     return read_batches(spark, out).drop("batch", "ts", "value")
 
@@ -197,7 +199,7 @@ def agents_together(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoints = scratch(spark, "agents")
     rules = {"anomaly": (_anomalies, "is_anomaly"), "velocity": (_velocities, "is_alert")}
     queries = run_agents(
-        stream(spark, sf_dir, "events", max_bytes=BATCH_BYTES),
+        events_in_order(spark, sf_dir),
         {name: agent for name, (agent, _) in rules.items()},
         {name: alert_sink(f"{out}/{name}", flag) for name, (_, flag) in rules.items()},
         checkpoints,
@@ -216,7 +218,7 @@ def alerts_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoints = scratch(spark, "alerts")
     forwarded = new_dir(spark, "alerts-forwarded")
     sink = alert_sink(out, "is_anomaly", [batch_sink(forwarded)])
-    events = stream(spark, sf_dir, "events", max_bytes=BATCH_BYTES)
+    events = events_in_order(spark, sf_dir)
     run_to_end(start_query(_anomalies(events), "alerts", sink, checkpoints))
     return read_batches(spark, forwarded).select("event_id", "user_id", "history_n")
 
@@ -225,10 +227,14 @@ def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals over the progress reports; the rates in them differ from run to run."""
     out, checkpoints = scratch(spark, "progress")
     counts = logs.log_counts(_logs(spark, sf_dir), term="error", ordered=False)
-    query = start_query(counts, "progress", batch_sink(out), checkpoints, "complete")
-    return stream_progress(run_to_end(query)).agg(
+    name = f"progress-{os.path.basename(os.path.dirname(out))}"
+    reports = ProgressLog(spark, name, f"{checkpoints}/reports", every=2)
+    run_to_end(start_query(counts, name, batch_sink(out), checkpoints, "complete"))
+    totals = stream_progress(reports).agg(
         F.sum("input_rows").alias("input_rows"), F.max("state_rows").alias("state_rows")
     )
+    reports.close()
+    return totals
 
 
 QUERIES = {

@@ -114,6 +114,35 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory())
 
 
+def _hadoop(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = _hadoop(spark, path)
+    return fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isFile()
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the data files directly under ``path``, in order."""
+    fs, hadoop_path = _hadoop(spark, path)
+    names = (s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isFile())
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def set_changed(spark: SparkSession, path: str, millis: int) -> None:
+    """Sets a file's time of change, by which a stream of files orders them."""
+    fs, hadoop_path = _hadoop(spark, path)
+    fs.setTimes(hadoop_path, millis, -1)
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Removes a folder that this library wrote and nothing reads any more."""
+    fs, hadoop_path = _hadoop(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType, TimestampNTZType, TimestampType
 
+from tidewell.session import data_files, estimated_bytes, is_file, set_changed
+
+SLICE_BYTES = 512 * 1024 * 1024  # of a table in one micro-batch of a replay
+
 
 def csv_scan(
     spark: SparkSession, path: str, schema: StructType, header: bool = True, sep: str = ","
@@ -58,10 +62,14 @@ def spread(df: DataFrame) -> DataFrame:
     """A scan's rows over all cores where it has fewer partitions than there are.
 
     Meant for work that is costly per row. A large table has partitions enough
-    and is left alone; only a small one, in a few files, is moved.
+    and is left alone, and so are rows whose size Spark can't tell before running them;
+    only a small scan, in a few files, is moved.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    spark = df.sparkSession
+    cores, size = spark.sparkContext.defaultParallelism, estimated_bytes(df)
+    as_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    part = as_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return df.repartition(cores) if size is not None and size < cores * part else df
 
 
 def parquet_stream(
@@ -82,5 +90,32 @@ def parquet_stream(
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    # A stream wants a folder or a pattern; the trailing star makes one of a single file.
-    return reader.parquet(path if not path.endswith(".parquet") else path + "*")
+    if not is_file(spark, path):
+        return reader.parquet(path)
+    # A stream wants a folder: the file's own, of which it takes only that name.
+    folder, _, name = path.rpartition("/")
+    return reader.option("pathGlobFilter", name).parquet(folder)
+
+
+def in_order_of(
+    df: DataFrame, ts: str, path: str, slices: int = 4, slice_bytes: int = SLICE_BYTES
+) -> DataFrame:
+    """``df`` written in slices of time, and read as a stream of one slice per micro-batch.
+
+    A replay then meets its rows in order of ``ts``, whatever the order and number of
+    files that the table came in, and carries state from slice to slice. There are at least
+    ``slices``, more for a large table. Rows of one time are in one slice. A stream of
+    files goes by their times of change, which are set to follow the slices.
+    """
+    spark = df.sparkSession
+    n = max(slices, -(-(estimated_bytes(df) or 0) // slice_bytes))
+    coalescing = "spark.sql.adaptive.coalescePartitions.enabled"
+    earlier = spark.conf.get(coalescing)
+    spark.conf.set(coalescing, "false")
+    try:
+        df.repartitionByRange(n, ts).sortWithinPartitions(ts).write.parquet(path)
+    finally:
+        spark.conf.set(coalescing, earlier)
+    for i, name in enumerate(data_files(spark, path)):
+        set_changed(spark, f"{path}/{name}", 1_000_000_000_000 + 1000 * i)
+    return parquet_stream(spark, path, max_files=1, schema=_with_instants(df.schema))

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import rules
 from tidewell.functions.times import duration_micros, micros
-from tidewell.operators.deltas import complete, write_delta
+from tidewell.operators.deltas import write_delta
 from tidewell.operators.detect import anomaly_batch, velocity_batch
+from tidewell.session import path_exists, remove_dir
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -29,8 +30,9 @@ def carrying_sink(
     """A ``foreachBatch`` function: judge each batch with what was carried to it.
 
     The table under ``state`` has one folder per batch with all rows to carry on,
-    and a batch reads the newest one before its own. So a repeated batch starts
-    from the same state and replaces its own results.
+    and a batch reads that of the batch before it. So a repeated batch starts from the
+    same state and replaces its own results. Older folders are removed, so the storage
+    stays that of two batches, however long the stream.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -40,12 +42,13 @@ def carrying_sink(
         copy = f"{state}/rows/{batch_id % 2}"
         batch.select(*columns).write.mode("overwrite").parquet(copy)
         rows = spark.read.parquet(copy).withColumn("_new", F.lit(True))
-        earlier = [b for b in complete(spark, f"{state}/delta") if b < batch_id]
-        if earlier:
-            carried = spark.read.parquet(f"{state}/delta/batch={earlier[-1]}")
+        last = f"{state}/delta/batch={batch_id - 1}"
+        if path_exists(spark, f"{last}/_SUCCESS"):
+            carried = spark.read.parquet(last)
             rows = rows.unionByName(carried.withColumn("_new", F.lit(False)))
         write_delta(judge(rows).filter("_new").drop("_new"), target, batch_id)
         write_delta(carry(rows).drop("_new"), state, batch_id)
+        remove_dir(spark, f"{state}/delta/batch={batch_id - 2}")
 
     return write
 
@@ -90,15 +93,17 @@ def velocity_sink(
 ) -> Callable[[DataFrame, int], None]:
     """`velocity_batch` on a stream; ``rule`` are its other options.
 
-    Carried on are the rows within ``window`` and ``delay`` of the newest row.
-    Rows that arrive later than ``delay`` are judged too, but may miss some of
-    the rows before them.
+    Carried on are the rows from ``window`` and ``delay`` before the middle time of the
+    newest batch. The middle one, because a few rows with wrong times can't move it, so they
+    can't discard what other users' rows need. Rows that arrive later than ``delay``
+    behind it are judged too, but may miss some of the rows before them.
     """
     reach = duration_micros(window) + duration_micros(delay)
 
     def carry(rows: DataFrame) -> DataFrame:
-        newest = rows.agg(F.max(micros(F.col(ts)))).first()[0]
-        return rows.filter(micros(F.col(ts)) >= (newest or 0) - reach)
+        at = micros(F.col(ts))
+        middle = rows.filter("_new").agg(F.percentile_approx(at, 0.5)).first()[0]
+        return rows if middle is None else rows.filter(at >= middle - reach)
 
     def judge(rows: DataFrame) -> DataFrame:
         return velocity_batch(rows, user, amount, ts, id_col, window, **rule)

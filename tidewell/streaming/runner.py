@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import os
+import threading
 from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tidewell.session import new_dir
 
@@ -27,13 +30,17 @@ def _settings(spark: SparkSession, values: dict[str, str]):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+STATE_PARTITIONS = 64  # at most, unless a query is given its own number
+
+
 def state_partitions(spark: SparkSession) -> int:
     """Partitions for a query's state, fixed in its checkpoint at the first start.
 
-    At most two per core: each one commits its state in every micro-batch.
+    The session's setting up to STATE_PARTITIONS, since each one commits its state in
+    every micro-batch; the cores that happen to be there at the first start don't count.
+    Give `start_query` the number that a large stream will need.
     """
-    setting = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(setting, 2 * spark.sparkContext.defaultParallelism)
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), STATE_PARTITIONS)
 
 
 def start_query(
@@ -103,40 +110,96 @@ def run_agents(
 
 
 PROGRESS_SCHEMA = (
-    "batch_id long, timestamp string, batch_ms long, input_rows long,"
+    "run_id string, batch_id long, timestamp string, batch_ms long, input_rows long,"
     " input_rows_per_second double, processed_rows_per_second double,"
     " state_rows long, state_bytes long, late_rows_dropped long, watermark string"
 )
 
 
-def stream_progress(query: StreamingQuery) -> DataFrame:
+class ProgressLog(StreamingQueryListener):
+    """Keeps every progress report of the queries of some name in a table.
+
+    A query itself remembers only its last hundred reports. Reports are written ``every``
+    so many, and what is left when they are read.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, path: str, every: int = 100):
+        self.spark, self.name, self.path, self.every = spark, name, path, every
+        self._held: list[tuple] = []
+        self._lock = threading.RLock()
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        report = json.loads(event.progress.json)
+        if report.get("name") == self.name:
+            with self._lock:
+                self._held.append(_report_row(report))
+                if len(self._held) >= self.every:
+                    self._flush()
+
+    def _flush(self) -> None:
+        with self._lock:
+            rows, self._held = self._held, []
+            self.spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode(
+                "append").parquet(self.path)
+
+    def read(self) -> DataFrame:
+        """All reports so far. Spark delivers them behind the query, so this waits for it."""
+        self.spark._jsc.sc().listenerBus().waitUntilEmpty()
+        self._flush()
+        return self.spark.read.schema(PROGRESS_SCHEMA).parquet(self.path).distinct()
+
+    def close(self) -> None:
+        self.spark.streams.removeListener(self)
+
+
+def _report_row(report: dict) -> tuple:
+    state = report.get("stateOperators") or []
+    return (
+        report["runId"], int(report["batchId"]),
+        report["timestamp"],
+        int(report.get("batchDuration") or 0),
+        int(report.get("numInputRows") or 0),
+        _number(report.get("inputRowsPerSecond")),
+        _number(report.get("processedRowsPerSecond")),
+        sum(int(s["numRowsTotal"]) for s in state),
+        sum(int(s["memoryUsedBytes"]) for s in state),
+        sum(int(s["numRowsDroppedByWatermark"]) for s in state),
+        (report.get("eventTime") or {}).get("watermark"),
+    )
+
+
+def stream_progress(reports: StreamingQuery | ProgressLog) -> DataFrame:
     """Per micro-batch: input against processing rate, state size and late rows.
 
-    Spark keeps the last hundred or so reports of a query; this is that list.
+    Of a `ProgressLog` all reports. Of a query those that it still has, and if Spark has
+    dropped some, an error rather than a part.
     """
-    rows = []
-    for report in query.recentProgress:
-        state = report.get("stateOperators") or []
-        rows.append((
-            int(report["batchId"]),
-            report["timestamp"],
-            int(report.get("batchDuration") or 0),
-            int(report.get("numInputRows") or 0),
-            _number(report.get("inputRowsPerSecond")),
-            _number(report.get("processedRowsPerSecond")),
-            sum(int(s["numRowsTotal"]) for s in state),
-            sum(int(s["memoryUsedBytes"]) for s in state),
-            sum(int(s["numRowsDroppedByWatermark"]) for s in state),
-            (report.get("eventTime") or {}).get("watermark"),
-        ))
-    return SparkSession.active().createDataFrame(rows, PROGRESS_SCHEMA)
+    if isinstance(reports, ProgressLog):
+        return reports.read()
+    spark = SparkSession.active()
+    recent = reports.recentProgress
+    kept = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates"))
+    if len(recent) >= kept:
+        raise ValueError(f"only the last {kept} reports are there; use a ProgressLog")
+    return spark.createDataFrame(
+        [_report_row(json.loads(report.json)) for report in recent], PROGRESS_SCHEMA)
 
 
 def _number(value) -> float | None:
     return None if value is None else float(value)
 
 
-def late_data_report(query: StreamingQuery) -> DataFrame:
+def late_data_report(query: StreamingQuery | ProgressLog) -> DataFrame:
     """Per micro-batch that read rows or dropped late ones: how many, and the watermark.
 
     Spark counts the dropped rows behind its partial aggregation, so for an
