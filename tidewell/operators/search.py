@@ -95,9 +95,8 @@ def build_text_index(
     two of them meet in one task while another has none.
     Both numbers follow the size of the table unless given.
     """
-    tasks = index_tasks(df)
-    buckets = buckets or min(MAX_BUCKETS, max(MIN_BUCKETS, tasks))
-    spread = spread or max(MIN_SPREAD, -(-tasks // buckets))
+    buckets = buckets or bucket_count(df)
+    spread = spread or max(MIN_SPREAD, -(-index_tasks(df) // buckets))
     _write_postings(over_all_cores(df.select(id_col, text)), id_col, text, path, buckets, spread)
 
 
@@ -172,6 +171,11 @@ def compact_index(spark: SparkSession, target: str, spread: int = MIN_SPREAD) ->
                 remove_dir(spark, f"{target}/delta/batch={batch}")
 
 
+def bucket_count(df: DataFrame) -> int:
+    """Buckets that suit a table of this size, also where it arrives as a stream."""
+    return min(MAX_BUCKETS, max(MIN_BUCKETS, index_tasks(df)))
+
+
 def index_tasks(df: DataFrame) -> int:
     """How many tasks of about ``TASK_BYTES`` of table the postings should fill."""
     size = estimated_bytes(df)

@@ -21,6 +21,11 @@ def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agg.preview(table(spark, sf_dir, "customer"), 10, ("c_custkey",))
 
 
+def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some ten rows without an order; which ones is Spark's choice, how many is not."""
+    return agg.row_count(agg.preview(table(spark, sf_dir, "lineitem"), 10))
+
+
 def avg_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     price = money(F.col("p_retailprice"))
@@ -130,7 +135,7 @@ def avg_recent_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        row_count, preview, avg_by_key, nested_avg, nested_avg_frame, topk_rows, top1_price,
+        row_count, preview, preview_rows, avg_by_key, nested_avg, nested_avg_frame, topk_rows, top1_price,
         top3_quantity, revenue_by_category, revenue_by_key, top_spenders, self_join_count,
         join_count, pair_count_rewrite, avg_latest_n, avg_recent_minutes,
     )
@@ -139,6 +144,7 @@ QUERIES = {
 ORACLE = {
     "row_count": "SELECT count(*) AS row_count FROM lineitem",
     "preview": "SELECT * FROM customer ORDER BY c_custkey LIMIT 10",
+    "preview_rows": "SELECT least(10, count(*)) AS row_count FROM lineitem",
     "avg_by_key": """
         SELECT p_brand,
                CAST((2 * sum(u) + count(*)) // (2 * count(*)) AS DOUBLE) / 100 AS avg_price

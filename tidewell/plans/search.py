@@ -68,9 +68,9 @@ def text_match_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_index_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents indexed as they arrive, then searched through that index."""
     out, checkpoints = scratch(spark, "index-stream")
-    sink = search.index_sink("doc_id", "text", out)
-    arriving = in_order_of(
-        table(spark, sf_dir, "documents"), "doc_id", new_dir(spark, "documents-in-order"))
+    docs = table(spark, sf_dir, "documents")
+    sink = search.index_sink("doc_id", "text", out, search.bucket_count(docs))
+    arriving = in_order_of(docs, "doc_id", new_dir(spark, "documents-in-order"))
     run_to_end(start_query(arriving, "index", sink, checkpoints))
     search.compact_index(spark, out)
     docs = table(spark, sf_dir, "documents").filter("lang = 'en'")

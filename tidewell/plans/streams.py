@@ -13,6 +13,7 @@ from tidewell.plans.detection import FLOOR, FRAME, HIGH_VALUE
 from tidewell.plans.tables import as_double, instant, table
 from tidewell.session import new_dir
 from tidewell.sources.files import in_order_of, parquet_stream
+from tidewell.sources.ids import assign_ids
 from tidewell.sources.topics import as_records
 from tidewell.streaming import agents, carried, logs
 from tidewell.streaming.runner import (
@@ -67,6 +68,18 @@ def log_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_last_batch(spark, out).orderBy(F.desc("match_count"), "source_ip")
 
 
+def log_counts_sorted_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts that the stream itself sorts, with each row's place in its last output."""
+    out, checkpoints = scratch(spark, "log-counts-sorted")
+
+    def placed(batch: DataFrame, batch_id: int) -> None:
+        batch_sink(out)(assign_ids(batch, "place"), batch_id)
+
+    counts = logs.log_counts(_logs(spark, sf_dir), term="error")
+    run_to_end(start_query(counts, "log_counts_sorted", placed, checkpoints, "complete"))
+    return read_last_batch(spark, out)
+
+
 def log_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same counts over a finished table: one function serves both."""
     return logs.log_counts(
@@ -144,6 +157,18 @@ def ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target).drop("event_date")
 
 
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth record is cut short: those are kept as they came."""
+    target, checkpoints = scratch(spark, "quarantine")
+    records = log_records(events_in_order(spark, sf_dir))
+    text = F.col("value").cast("string")
+    cut = F.when(F.col("offset") % 10 == 0, F.substring(text, 1, 20)).otherwise(text)
+    broken = records.withColumn("value", cut.cast("binary"))
+    run_to_end(logs.quarantine_logs(broken, target, checkpoints))
+    return spark.read.parquet(target).select(
+        "offset", F.col("value").cast("string").alias("record"))
+
+
 def _anomalies(sdf: DataFrame) -> DataFrame:
     return agents.anomaly_stream(sdf, "user_id", "value", "ts", "event_id", floor=FLOOR)
 
@@ -240,11 +265,13 @@ def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "log_counts": log_counts,
     "log_counts_stream": log_counts_stream,
+    "log_counts_sorted_stream": log_counts_sorted_stream,
     "crash_monitor_update": crash_monitor_update,
     "crash_monitor_append": crash_monitor_append,
     "temp_window_avg": temp_window_avg,
     "late_data_report": late_data,
     "ingest_logs": ingest,
+    "quarantine_logs": quarantine,
     "anomaly_stream": anomaly_stream,
     "velocity_stream": velocity_stream,
     "anomaly_stream_carried": anomaly_stream_carried,
@@ -285,6 +312,9 @@ _VELOCITY = """
 ORACLE = {
     "log_counts": _LOG_COUNTS,
     "log_counts_stream": _LOG_COUNTS,
+    "log_counts_sorted_stream": f"""
+        SELECT *, row_number() OVER (ORDER BY match_count DESC, source_ip) AS place
+        FROM ({_LOG_COUNTS})""",
     "crash_monitor_update": _CRASHES,
     "crash_monitor_append": f"""
         SELECT * FROM ({_CRASHES})
@@ -311,6 +341,10 @@ ORACLE = {
                upper(event_type[1]) || event_type[2:] || ' reported ' || props AS content,
                event_type || ' reported ' || lower(props) AS content_lower
         FROM events""",
+    "quarantine_logs": """
+        SELECT event_id AS "offset",
+               substr('{"timestamp":' || CAST(epoch_us(ts) // 1000 AS VARCHAR), 1, 20) AS record
+        FROM events WHERE event_id % 10 = 0""",
     "anomaly_stream": _ANOMALIES,
     "velocity_stream": _VELOCITY,
     "anomaly_stream_carried": _ANOMALIES,

@@ -27,9 +27,12 @@ INPUT = ["row_id", "row_at", "units"]
 
 def _in_order(chunks: Iterator[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids, times and amounts of a group's rows, sorted by time and id."""
-    parts = [tuple(chunk[c].to_numpy(dtype="int64") for c in INPUT) for chunk in chunks]
+    parts = [
+        (c["row_id"].to_numpy(), *(c[n].to_numpy(dtype="int64") for n in INPUT[1:])) for c in chunks
+    ]
     ids, at, units = (np.concatenate(column) for column in zip(*parts))
-    order = np.lexsort((ids, at))
+    order = np.argsort(ids, kind="stable")  # ids may be texts
+    order = order[np.argsort(at[order], kind="stable")]
     return ids[order], at[order], units[order]
 
 
@@ -119,10 +122,14 @@ def _judge_velocity(
 
 
 def _input(sdf: DataFrame, user: str, amount: str, ts: str, id_col: str, scale: int) -> DataFrame:
-    """The columns a detector needs. Rows without id, time or amount are not judged."""
-    rows = sdf.select(
+    """The columns a detector needs. Rows without id, time or amount are not judged, and
+    are counted in the query's progress as ``detector.rejected``."""
+    missing = F.greatest(*[F.col(c).isNull().cast("int") for c in (id_col, ts, amount)])
+    counted = sdf.observe(
+        "detector", F.count("*").alias("records"), F.sum(missing).alias("rejected"))
+    rows = counted.select(
         F.col(user).alias("user_key"),
-        F.col(id_col).cast("long").alias("row_id"),
+        F.col(id_col).alias("row_id"),
         micros(F.col(ts)).alias("row_at"),
         minor_units(F.col(amount), scale).alias("units"),
         F.col(ts).cast("timestamp").alias("event_time"),
@@ -154,11 +161,11 @@ def anomaly_stream(
     The rule is the ratio to their mean, or with ``zscore`` the distance from it.
     """
     rows = _input(sdf, user, amount, ts, id_col, scale).drop("event_time")
-    kind = rows.schema["user_key"].dataType.simpleString()
+    kind, id_kind = (rows.schema[c].dataType.simpleString() for c in ("user_key", "row_id"))
     judged = rows.groupBy("user_key").applyInPandasWithState(
         _judge_anomalies(history, min_n, ratio, round(floor * 10**scale), zscore),
         outputStructType=(
-            f"user_key {kind}, id long, at long, history_n long,"
+            f"user_key {kind}, id {id_kind}, at long, history_n long,"
             " history_sum long, is_anomaly boolean"
         ),
         stateStructType="units array<long>",
@@ -203,14 +210,15 @@ def velocity_stream(
     elif watermark is not None:
         rows = rows.withWatermark("event_time", watermark)
         timeout = GroupStateTimeout.EventTimeTimeout
-    kind = rows.schema["user_key"].dataType.simpleString()
+    kind, id_kind = (rows.schema[c].dataType.simpleString() for c in ("user_key", "row_id"))
     judge = _judge_velocity(
         duration_micros(window), max_velocity, round(high_amount * 10**scale), alert, timeout
     )
     judged = rows.groupBy("user_key").applyInPandasWithState(
         judge,
         outputStructType=(
-            f"user_key {kind}, id long, at long, velocity long, score int, is_alert boolean"
+            f"user_key {kind}, id {id_kind}, at long, velocity long, score int,"
+            " is_alert boolean"
         ),
         stateStructType="at array<long>",
         outputMode="append",

@@ -115,7 +115,7 @@ def ingest_logs(
     """Appends the records of a topic to a Parquet table with one folder per day.
 
     Records without a readable time are left out and counted in the query's
-    progress as ``ingest.rejected``. ``lower_content`` also stores the text in
+    progress as ``ingest.rejected``; `quarantine_logs` keeps them. ``lower_content`` also stores the text in
     lower case, on which a search in any case can be pushed to the reader.
     """
     parsed = parse_logs(records, keep_corrupt=True).observe(
@@ -135,3 +135,23 @@ def ingest_logs(
         partition_by=["event_date"],
         options={"maxRecordsPerFile": str(max_records_per_file)},
     )
+
+
+def quarantine_logs(
+    records: DataFrame,
+    target: str,
+    checkpoint_root: str,
+    trigger: str | None = None,
+    name: str = "quarantine_logs",
+) -> StreamingQuery:
+    """Appends the records that `ingest_logs` leaves out to a table, as they came.
+
+    A query of its own on the same topic, so that neither table waits for the other.
+    """
+    record = parsed_once(F.col("value").cast("string"), LOGS)
+    refused = (
+        records.select("*", record.alias("_record"))
+        .filter(F.col("_record.timestamp").isNull())
+        .drop("_record")
+    )
+    return start_query(refused, name, "parquet", checkpoint_root, "append", trigger, path=target)

@@ -189,8 +189,8 @@ def stream_progress(reports: StreamingQuery | ProgressLog) -> DataFrame:
     spark = SparkSession.active()
     recent = reports.recentProgress
     kept = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates"))
-    if len(recent) >= kept:
-        raise ValueError(f"only the last {kept} reports are there; use a ProgressLog")
+    if len(recent) >= kept - 1:  # Spark drops one as soon as it has that many
+        raise ValueError(f"only the last {len(recent)} reports are there; use a ProgressLog")
     return spark.createDataFrame(
         [_report_row(json.loads(report.json)) for report in recent], PROGRESS_SCHEMA)
 

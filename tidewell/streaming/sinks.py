@@ -72,13 +72,17 @@ def read_batches(spark: SparkSession, target: str) -> DataFrame:
     A batch that is still being written is left out.
     """
     paths = [f"{target}/delta/batch={b}" for b in complete(spark, f"{target}/delta")]
+    if not paths:
+        raise FileNotFoundError(f"no complete batch under {target}")
     return spark.read.option("basePath", f"{target}/delta").parquet(*paths)
 
 
 def read_last_batch(spark: SparkSession, target: str) -> DataFrame:
     """The newest batch: in complete mode that is the whole result."""
-    last = complete(spark, f"{target}/delta")[-1]
-    return spark.read.parquet(f"{target}/delta/batch={last}")
+    written = complete(spark, f"{target}/delta")
+    if not written:
+        raise FileNotFoundError(f"no complete batch under {target}")
+    return spark.read.parquet(f"{target}/delta/batch={written[-1]}")
 
 
 def latest_updates(spark: SparkSession, target: str, keys: list[str]) -> DataFrame:
