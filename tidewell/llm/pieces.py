@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 # than the worst piece.
 SPACE, UNKNOWN_COST = "▁", 10.0
 CACHED = 1 << 18  # distinct words whose ids a worker keeps
+LOWEST = float("-inf")
 YIELD_IDS = 1 << 20  # ids in an output batch, about
 
 
@@ -49,6 +50,9 @@ class Vocabulary:
             elif not model.is_unused(i):
                 self.pieces.append((self.surface[i], model.get_score(i), i))
         self.unknown = None if any(self.byte_ids) else model.unk_id()
+        self.raw_lengths = np.array([len(r) for r in self.raw], np.int64)
+        self.raw_starts = np.cumsum(self.raw_lengths) - self.raw_lengths
+        self.raw_bytes = np.frombuffer(b"".join(self.raw), np.uint8)
 
 
 class Coder:
@@ -70,36 +74,28 @@ class Coder:
         inner = any(SPACE in p.lstrip(SPACE) for p in names)
         words = f"[^{ends}]+" if inner else f"{SPACE}+[^{SPACE}{ends}]*|[^{SPACE}{ends}]+"
         self.cut = re.compile(f"{words}|[{ends}]" if ends else words, re.DOTALL)
-        self.kept: dict[str, tuple[int, ...]] = {}
+        self.single = frozenset(n for n in names if len(n) == 1)
+        self.kept: dict[str, bytes] = {}
 
-    def best_path(self, text: str) -> tuple[int, ...]:
+    def best_path(self, text: str) -> list[int]:
         """Ids of the segmentation with the largest sum of scores, in one pass.
 
         At each position the automaton's state and its output links give every piece that
         ends there, longest first; each relaxes the best score so far. Of equal sums the
-        longer last piece stays. A character without a piece of its own may also be unknown.
+        longer last piece stays. A character without a piece of its own is unknown.
         """
         n = len(text)
-        best, start, piece = [0.0] + [float("-inf")] * n, [0] * (n + 1), [-1] * (n + 1)
-        alone = [False] * (n + 1)
-        settled = 0
-
-        def settle(upto):
-            nonlocal settled
-            while settled < upto:
-                settled += 1
-                score = best[settled - 1] + self.unknown_score
-                if not alone[settled] and score > best[settled]:
-                    best[settled], start[settled], piece[settled] = score, settled - 1, -1
-
+        best, start, piece = [0.0] + [LOWEST] * n, [0] * (n + 1), [-1] * (n + 1)
+        settled = n if self.single.issuperset(text) else 0
         for last, (length, score, i) in self.automaton.iter(text):
+            if settled < last:
+                self._settle(text, best, start, settled, last)
+                settled = last
             end = last + 1
-            settle(last)
             score += best[end - length]
-            alone[end] = alone[end] or length == 1
             if score > best[end]:
                 best[end], start[end], piece[end] = score, end - length, i
-        settle(n)
+        self._settle(text, best, start, settled, n)
         path, at = [], n
         while at:
             if piece[at] >= 0:
@@ -110,27 +106,50 @@ class Coder:
                 raw = text[start[at]:at].encode("utf-8", "surrogatepass")
                 path.extend(self.vocabulary.byte_ids[b] for b in reversed(raw))
             at = start[at]
-        return tuple(reversed(path))
-
-    def encode(self, text: str | None) -> list[int]:
-        ids: list[int] = []
+        path.reverse()
+        return path
+
+    def _settle(self, text, best, start, settled, upto):
+        """Lets unknown characters up to a position count, where they are the best way."""
+        for at in range(settled + 1, upto + 1):
+            score = best[at - 1] + self.unknown_score
+            if score > best[at] and text[at - 1] not in self.single:
+                best[at], start[at] = score, at - 1
+
+    def encoded(self, text: str | None) -> bytes:
+        """A text's ids, as int32 one after the other."""
         if not text:
-            return ids
+            return b""
+        words = self.cut.findall(SPACE + text.replace(" ", SPACE))
         kept = self.kept
-        for word in self.cut.findall(SPACE + text.replace(" ", SPACE)):
-            found = kept.get(word)
-            if found is None:
-                found = self.best_path(word)
-                if len(kept) >= CACHED:
-                    kept.clear()
-                kept[word] = found
-            ids.extend(found)
-        return ids
-
-    def decode(self, ids: Iterable[int]) -> str:
-        """The text of ids: pieces and bytes joined, without the space put in front."""
-        raw = b"".join(map(self.vocabulary.raw.__getitem__, ids))
-        return raw.decode("utf-8", "replace").removeprefix(" ")
+        found = list(map(kept.get, words))
+        if None in found:
+            for at, word in enumerate(words):
+                if found[at] is None:
+                    ids = kept.get(word)
+                    if ids is None:
+                        ids = np.array(self.best_path(word), np.int32).tobytes()
+                        if len(kept) >= CACHED:
+                            kept.clear()
+                        kept[word] = ids
+                    found[at] = ids
+        return b"".join(found)
+
+    def encode(self, text: str | None) -> list[int]:
+        return np.frombuffer(self.encoded(text), np.int32).tolist()
+
+    def decode_all(self, ids: np.ndarray, sizes: np.ndarray) -> list[str]:
+        """The texts of lists of ids, given one after the other with their sizes: pieces and
+        bytes joined, without the space put in front."""
+        own = self.vocabulary
+        lengths = own.raw_lengths[ids]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        places = np.repeat(own.raw_starts[ids] - (ends - lengths), lengths) + np.arange(total)
+        raw = own.raw_bytes[places].tobytes()
+        cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
+        return [raw[a:b].decode("utf-8", "replace").removeprefix(" ")
+                for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 _CODERS: dict[str, Coder] = {}
@@ -143,11 +162,11 @@ def _coder(name: str, vocabulary) -> Coder:
     return _CODERS[name]
 
 
-def _lists(ids: list[list[int]]) -> pa.Array:
+def _lists(ids: list[bytes]) -> pa.Array:
     offsets = np.zeros(len(ids) + 1, np.int32)
-    np.cumsum([len(x) for x in ids], out=offsets[1:])
-    flat = np.fromiter((i for x in ids for i in x), np.int32, int(offsets[-1]))
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+    np.cumsum([len(x) // 4 for x in ids], out=offsets[1:])
+    return pa.ListArray.from_arrays(
+        pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), np.int32)))
 
 
 def _with_column(df: DataFrame, name: str, kind: str, made, model: str) -> DataFrame:
@@ -170,23 +189,23 @@ def _with_column(df: DataFrame, name: str, kind: str, made, model: str) -> DataF
 def _encoded(coder, batch):
     texts, ids, start, held = batch.column("text"), [], 0, 0
     for i in range(batch.num_rows):
-        ids.append(coder.encode(texts[i].as_py()))
-        held += len(ids[-1])
+        ids.append(coder.encoded(texts[i].as_py()))
+        held += len(ids[-1]) // 4
         if held >= YIELD_IDS or i + 1 == batch.num_rows:
             yield start, _lists(ids)
             ids, start, held = [], i + 1, 0
 
 
 def _decoded(coder, batch):
+    """Lists are decoded together, up to YIELD_IDS ids and one list more at a time."""
     lists = batch.column("ids")
-    texts, start, held = [], 0, 0
-    for i in range(batch.num_rows):
-        ids = lists[i]
-        texts.append(coder.decode(ids.values.to_pylist()) if ids.is_valid else None)
-        held += len(texts[-1] or "")
-        if held >= 4 * YIELD_IDS or i + 1 == batch.num_rows:
-            yield start, pa.array(texts, pa.string())
-            texts, start, held = [], i + 1, 0
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+    group = (np.cumsum(sizes) - sizes) // YIELD_IDS
+    for start in np.flatnonzero(np.r_[True, group[1:] != group[:-1]][:len(group)]):
+        end = int(np.searchsorted(group, group[start], side="right"))
+        part = lists.slice(int(start), end - int(start))
+        texts = coder.decode_all(part.flatten().to_numpy(zero_copy_only=False), sizes[start:end])
+        yield int(start), pa.array(texts, pa.string(), mask=part.is_null().to_numpy(zero_copy_only=False))
 
 
 def encode(rows: DataFrame, model: str = MODEL) -> DataFrame:
