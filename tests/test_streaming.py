@@ -341,7 +341,8 @@ def test_carried_velocities_equal_batch(spark, dense_rows):
         sink(part, number)
     columns = ["user_id", "id", "velocity", "score", "is_alert"]
     assert rows(read_batches(spark, out).select(*columns)) == rows(velocity_batch(df).select(*columns))
-    assert spark.read.parquet(f"{state}/delta/batch=2").count() < 40
+    # Half of a batch, and what its middle row can still see.
+    assert spark.read.parquet(f"{state}/delta/batch=2").count() < df.count() / 3 / 2 + 40
 
 
 def test_a_repeated_batch_is_written_once(spark):
