@@ -22,7 +22,7 @@ HASHES = BANDS * ROWS
 # the share has a standard deviation of 0.038, so this is four of them below.
 SIGNATURE = 0.6
 SPLIT = 256  # documents compared with one text in a task
-TILE = 512  # documents of a bucket on each side of a task
+TILE = 1024  # documents of a bucket on each side of a task
 CHUNK = 1024  # shingles hashed at a time
 
 
@@ -178,7 +178,7 @@ def _tile_links(rows: pa.Table) -> pa.Table:
                      "b": pa.array([y for _, y in links], pa.int64())})
 
 
-def rest_links(buckets: DataFrame, classes: DataFrame, texts: DataFrame, joined: DataFrame) -> DataFrame:
+def rest_links(buckets: DataFrame, texts: DataFrame, joined: DataFrame) -> DataFrame:
     """Links in buckets that still hold several components, as ``a, b``.
 
     The hubs are done, so buckets of two are. Large buckets are cut into TILE by TILE
@@ -196,7 +196,7 @@ def rest_links(buckets: DataFrame, classes: DataFrame, texts: DataFrame, joined:
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select("key", "cls", "hub", "component", "block",
                 F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-        .join(classes.select("cls", "n_shingles", "bands", "low"), "cls").join(texts, "cls"))
+        .join(texts, "cls"))
     return rows.groupBy("key", "i", "j").applyInArrow(_tile_links, "a long, b long")
 
 
@@ -229,13 +229,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     keys = classes.select("cls", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("cls").alias("hub")).where("n > 1")
     buckets = written(keys.join(shared, "key"), "minhash-buckets")
-    wanted = buckets.select("cls").distinct().join(classes.select("cls", "id"), "cls")
+    kept = ["n_shingles", "bands", "low"]
+    wanted = classes.join(buckets.select("cls").distinct(), "cls", "left_semi").select(
+        "cls", "id", *kept)
     texts = written(
         docs.select(text_id(F.col("doc_id"), F.col("text")).alias("id"), "text")
-        .join(wanted, "id").groupBy("cls").agg(F.first("text").alias("text")), "minhash-texts")
-    links = written(hub_links(_hub_edges(buckets, classes), texts), "minhash-links")
+        .join(wanted, "id").groupBy("cls")
+        .agg(*[F.first(c).alias(c) for c in ("text", *kept)]), "minhash-texts")
+    links = written(
+        hub_links(_hub_edges(buckets, classes), texts.select("cls", "text")), "minhash-links")
     joined = written(components(links), "minhash-joined")
-    more = written(rest_links(buckets, classes, texts, joined), "minhash-links")
+    more = written(rest_links(buckets, texts, joined), "minhash-links")
     groups = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
                         .union(more))
     in_group = written(
