@@ -103,6 +103,15 @@ def test_revealing_terms_are_found_and_others_left(spark):
     assert pii.sanitised(docs).columns == docs.columns and pii.sanitised(docs).count() == 302
 
 
+def test_terms_far_from_an_entity_are_weighed_and_marked_wherever_they_stand(spark):
+    far = "and so on " * 20
+    docs = spark.createDataFrame(
+        [(i, f"number{i} Vexley {far} v.vexley@post.org {far} VEXLEY {far}" if i % 10 == 0 else far, "s")
+         for i in range(300)], SCHEMA)
+    got = {r.doc_id: sorted(s.match for s in r.spans if s.kind == "term") for r in pii.find_pii(docs).collect()}
+    assert got == {i: ["VEXLEY", "Vexley"] if i % 10 == 0 else [] for i in range(300)}
+
+
 def test_overlapping_spans_are_overwritten_once(spark):
     df = spark.createDataFrame([(0, "ab +1 4111 1111 1111 cd 𝄞 m@n.o", "s"), (1, "", "s"), (2, None, "s")], SCHEMA)
     got = {r.doc_id: r.text for r in pii.sanitised(df).collect()}

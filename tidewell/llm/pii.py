@@ -19,10 +19,8 @@ PATTERNS = {
     "card": r"(?<![0-9])[0-9](?:[\x20-]?+[0-9]){11,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-REACH = 64  # characters on each side of an entity in which terms are looked at
-TERM = r"[\p{L}\p{N}]{3,}"
 WORD = r"[\p{L}\p{N}]{3,}+"
-SUPPORT = 3  # different surroundings in which a term must stand by an entity
+SUPPORT = 3  # different texts in which a term must stand with the entity
 DISCLOSURE = 0.8  # share of an entity's information that a term may not give away
 
 
@@ -75,50 +73,50 @@ def base_spans(text: Column) -> Column:
     return F.concat(*found)
 
 
-def _surroundings(text: Column, base: Column) -> Column:
-    """Each entity with the terms near it: (entity, around, terms), positions in text.
-
-    A term that touches protected data is that data, and a term cut by the edge of the
-    window is dropped with the characters around it.
-    """
-
-    def side(begin, finish):
-        part = F.substring(text, begin + 1, finish - begin)
-        return F.transform(matches(part, WORD), lambda t: F.struct(
-            (t["start"] + begin).alias("start"), (t["end"] + begin).alias("end"),
-            t["match"].alias("match")))
-
-    def near(s):
-        begin = F.greatest(s["start"] - REACH, F.lit(0))
-        finish = F.least(s["end"] + REACH, F.length(text))
-        terms = F.filter(
-            F.concat(side(begin, s["start"]), side(s["end"], finish)),
-            lambda t: ((t["start"] > begin) | (begin == 0))
-            & ((t["end"] < finish) | (finish == F.length(text)))
-            & ~F.exists(base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+def _entities(base: Column) -> Column:
+    """Distinct entities of labelled spans, as ``kind:value``."""
+    def named(s):
         value = F.when(s["kind"] == "email", F.lower(s["match"])).when(
             s["kind"] == "ip", s["match"]).otherwise(_digits(s["match"]))
-        around = F.concat_ws("|", F.substring(text, begin + 1, s["start"] - begin),
-                             F.substring(text, s["end"] + 1, finish - s["end"]))
-        return F.struct(F.concat_ws(":", s["kind"], value).alias("entity"),
-                        F.md5(around).alias("around"), terms.alias("terms"))
+        return F.concat_ws(":", s["kind"], value)
 
-    return F.transform(base, near)
+    return F.array_distinct(F.transform(base, named))
 
 
 def _terms(text: Column) -> Column:
     """Distinct terms of a text, in lower case."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
+    words = F.array_distinct(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
+    return F.array_distinct(F.transform(words, lambda w: F.lower(w)))
+
+
+def _places(text: Column, base: Column) -> Column:
+    """All places of terms in a text, as spans with the ``term`` in lower case. A word that
+    touches protected data is that data."""
+    words = F.filter(matches(text, WORD), lambda t: ~F.exists(
+        base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    return F.transform(words, lambda t: F.struct(
+        t["start"].alias("start"), t["end"].alias("end"), t["match"].alias("match"),
+        F.lower(t["match"]).alias("term")))
 
 
 def find_entities(docs: DataFrame) -> DataFrame:
-    """One row per document, without its text: ``doc_id, _id, base, near``. Written."""
+    """One row per document, without its text: ``doc_id, _id, base``, and for those with an
+    entity ``copy`` (equal for equal texts), ``entities``, ``places`` and ``hidden``, the
+    terms that stand in protected data only. Written."""
     text = F.coalesce(F.col("text"), F.lit(""))
     found = docs.select("doc_id", text_id(F.col("doc_id"), F.col("text")).alias("_id"),
                         text.alias("_text"), base_spans(text).alias("base"))
+
     # Rows without an entity, nearly all, skip the second step.
-    near = F.when(F.size("base") > 0, _surroundings(F.col("_text"), F.col("base")))
-    return written(found.withColumn("near", near).drop("_text"), "pii-entities")
+    def held(value):
+        return F.when(F.size("base") > 0, value)
+
+    found = found.withColumn("places", held(_places(F.col("_text"), F.col("base"))))
+    return written(found.select(
+        "doc_id", "_id", "base", "places", held(F.md5("_text")).alias("copy"),
+        held(_entities(F.col("base"))).alias("entities"),
+        held(F.array_except(_terms(F.col("_text")), F.col("places.term"))).alias("hidden"),
+    ), "pii-entities")
 
 
 def revealing_terms(docs: DataFrame, entities: DataFrame) -> DataFrame:
@@ -126,44 +124,50 @@ def revealing_terms(docs: DataFrame, entities: DataFrame) -> DataFrame:
 
     With p as shares of documents, a term t tells log2(p(t, e) / (p(t) p(e))) bits about
     an entity e that holds -log2 p(e) bits. It reveals e if that is DISCLOSURE of them or
-    more. Counts of a handful of copies prove nothing, so the term must stand by the entity
-    in SUPPORT different surroundings. Everything is counted, and counted before it is
-    shuffled; no pairs are made beyond the terms within REACH of an entity.
+    more. Counts of a handful of copies prove nothing, so SUPPORT different texts must hold
+    both. Documents are rows, terms are those outside protected data, wherever in a text
+    they stand. Equal texts make pairs once, weighted, and pairs are counted before they
+    are shuffled.
     """
-    near = entities.where(F.size("base") > 0).select("_id", F.explode("near").alias("n"))
-    seen = near.select("_id", F.col("n.entity").alias("entity"), F.col("n.around").alias("around"),
-                       F.explode(F.array_distinct(F.transform("n.terms", lambda t: F.lower(
-                           t["match"])))).alias("term"))
-    spread = (
-        seen.groupBy("entity", "term", "around").agg(F.lit(1))
-        .groupBy("entity", "term").agg(F.count("*").alias("around"))
-        .where(F.col("around") >= SUPPORT))
-    both = (seen.select("_id", "entity", "term").distinct()
-            .groupBy("entity", "term").agg(F.count("*").alias("n_both")))
-    alone = (near.select("_id", F.col("n.entity").alias("entity")).distinct()
-             .groupBy("entity").agg(F.count("*").alias("n_entity")))
-    all_rows = docs.agg(F.count("*").alias("n"))
-    suspects = written(
-        spread.join(both, ["entity", "term"]).join(alone, "entity"), "pii-suspects")
-    in_docs = (docs.select(F.explode(_terms(F.col("text"))).alias("term"))
-               .groupBy("term").agg(F.count("*").alias("n_term")))
-    n = F.lit(float(all_rows.first()["n"]))
+    held = written(
+        entities.where(F.size("base") > 0).groupBy("copy").agg(
+            F.count("*").alias("rows"), F.first("entities").alias("entities"),
+            F.first(F.array_distinct("places.term")).alias("terms"),
+            F.first("hidden").alias("hidden")), "pii-held")
+    all_rows = docs.agg(F.count("*").alias("n")).first()["n"]
+    n = F.lit(float(all_rows))
+    both = (held.select("rows", "terms", F.explode("entities").alias("entity"))
+            .select("rows", "entity", F.explode("terms").alias("term"))
+            .groupBy("entity", "term")
+            .agg(F.sum("rows").alias("n_both"), F.count("*").alias("copies")))
+    alone = (held.select("rows", F.explode("entities").alias("entity"))
+             .groupBy("entity").agg(F.sum("rows").alias("n_entity")))
+    suspects = written(both.where(F.col("copies") >= SUPPORT).join(alone, "entity")
+                       .where(F.col("n_entity") < n), "pii-suspects")
+    in_docs = (docs.select(F.explode(_terms(F.col("text"))).alias("term"), F.lit(1).alias("one"))
+               .union(held.select(F.explode("hidden").alias("term"), -F.col("rows")))
+               .groupBy("term").agg(F.sum("one").alias("n_term")))
     told = F.log2(n * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
     return written(
         in_docs.join(suspects, "term")
         .where(told >= DISCLOSURE * F.log2(n / F.col("n_entity")))
-        .where(F.col("n_entity") < n).select("entity", "term"), "pii-revealing")
+        .select("entity", "term"), "pii-revealing")
 
 
 def term_spans(entities: DataFrame, revealing: DataFrame) -> DataFrame:
-    """Spans of revealing terms by row: ``_id, terms``. One entity's rows may be many, so
-    the join is on the pair, whose rows AQE can split."""
-    near = entities.where(F.size("base") > 0).select("_id", F.explode("near").alias("n"))
-    places = near.select("_id", F.col("n.entity").alias("entity"), F.explode("n.terms").alias("t"))
-    places = places.withColumn("term", F.lower(F.col("t.match")))
+    """Spans of revealing terms by row: ``_id, terms``. Every place in a text of a term that
+    reveals one of the text's entities counts. One entity's rows may be many, so the joins
+    are on the pair and on the row's id and term, whose rows AQE can split."""
+    rows = entities.where(F.size("base") > 0).dropDuplicates(["_id"])
+    known = (
+        rows.select("_id", F.explode("entities").alias("entity"),
+                    F.array_distinct("places.term").alias("terms"))
+        .select("_id", "entity", F.explode("terms").alias("term"))
+        .join(revealing, ["entity", "term"]).select("_id", "term").distinct())
+    places = rows.select("_id", F.explode("places").alias("t")).withColumn("term", F.col("t.term"))
     return (
-        places.join(revealing, ["entity", "term"])
-        .groupBy("_id").agg(F.collect_set("t").alias("terms")))
+        places.join(known, ["_id", "term"])
+        .groupBy("_id").agg(F.collect_set(F.struct("t.start", "t.end", "t.match")).alias("terms")))
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
