@@ -112,6 +112,26 @@ def test_terms_far_from_an_entity_are_weighed_and_marked_wherever_they_stand(spa
     assert got == {i: ["VEXLEY", "Vexley"] if i % 10 == 0 else [] for i in range(300)}
 
 
+def test_support_is_counted_by_texts_and_short_names_are_terms(spark):
+    same = "and so on " * 20
+    def text(i):
+        if i % 10 == 0:  # a passage that is repeated in other texts
+            return f"note{i} {same} Li j@post.org {same}"
+        if i % 10 == 1:  # a text that is repeated
+            return f"{same} Zorn k@post.org {same}"
+        if i in (2, 3, 4):  # few, but all that there are
+            return f"{same} {i}th Vex l@post.org {same}"
+        return f"other{i} {same} only{i}@post.org {same}"
+
+    docs = spark.createDataFrame([(i, text(i), "s") for i in range(600)], SCHEMA)
+    got = {r.doc_id: sorted(s.match for s in r.spans if s.kind == "term") for r in pii.find_pii(docs).collect()}
+    assert got == {i: ["Li"] if i % 10 == 0 else [] for i in range(600)}
+    more = docs.union(spark.range(1000, 8000).select("id", F.lit("and so on"), F.lit("s")))
+    rare = {r.doc_id: [s.match for s in r.spans if s.kind == "term"]
+            for r in pii.find_pii(more).where("doc_id in (2, 3, 4)").collect()}
+    assert rare == {2: ["Vex"], 3: ["Vex"], 4: ["Vex"]}
+
+
 def test_overlapping_spans_are_overwritten_once(spark):
     df = spark.createDataFrame([(0, "ab +1 4111 1111 1111 cd 𝄞 m@n.o", "s"), (1, "", "s"), (2, None, "s")], SCHEMA)
     got = {r.doc_id: r.text for r in pii.sanitised(df).collect()}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +21,9 @@ PATTERNS = {
     "card": r"(?<![0-9])[0-9](?:[\x20-]?+[0-9]){11,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-WORD = r"[\p{L}\p{N}]{3,}+"
-SUPPORT = 3  # different texts in which a term must stand with the entity
+WORD = r"[\p{L}\p{N}]++"
+SHORT_NUMBER = r"^\p{N}{1,2}$"  # not a term: it counts or orders things
+DOUBT = 0.01  # chance at which a term that gives away less passes for revealing
 DISCLOSURE = 0.8  # share of an entity's information that a term may not give away
 
 
@@ -86,13 +89,14 @@ def _entities(base: Column) -> Column:
 def _terms(text: Column) -> Column:
     """Distinct terms of a text, in lower case."""
     words = F.array_distinct(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
-    return F.array_distinct(F.transform(words, lambda w: F.lower(w)))
+    return F.array_distinct(F.transform(
+        F.filter(words, lambda w: ~w.rlike(SHORT_NUMBER)), lambda w: F.lower(w)))
 
 
 def _places(text: Column, base: Column) -> Column:
     """All places of terms in a text, as spans with the ``term`` in lower case. A word that
     touches protected data is that data."""
-    words = F.filter(matches(text, WORD), lambda t: ~F.exists(
+    words = F.filter(matches(text, WORD), lambda t: ~t["match"].rlike(SHORT_NUMBER) & ~F.exists(
         base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
     return F.transform(words, lambda t: F.struct(
         t["start"].alias("start"), t["end"].alias("end"), t["match"].alias("match"),
@@ -119,15 +123,26 @@ def find_entities(docs: DataFrame) -> DataFrame:
     ), "pii-entities")
 
 
+def _proven(copies: Column, share: Column, least: Column) -> Column:
+    """Whether ``share`` of some texts, ``copies`` of them counted, shows that more than
+    ``least`` of all such texts have the entity, but for a chance of DOUBT (Chernoff's
+    bound; where every text has it, the exact chance ``least ** copies``)."""
+    rest = F.when(share < 1, (1 / share - 1) * F.log((1 - share) / (1 - least))).otherwise(0.0)
+    return (share > least) & (copies * (F.log(share / least) + rest) >= -math.log(DOUBT))
+
+
 def revealing_terms(docs: DataFrame, entities: DataFrame) -> DataFrame:
     """Pairs (entity, term) of which the term gives the entity away, over the corpus.
 
     With p as shares of documents, a term t tells log2(p(t, e) / (p(t) p(e))) bits about
     an entity e that holds -log2 p(e) bits. It reveals e if that is DISCLOSURE of them or
-    more. Counts of a handful of copies prove nothing, so SUPPORT different texts must hold
-    both. Documents are rows, terms are those outside protected data, wherever in a text
-    they stand. Equal texts make pairs once, weighted, and pairs are counted before they
-    are shuffled.
+    more, which is the case if e is in (n_entity / n) ** (1 - DISCLOSURE) of the documents
+    with t. A few documents prove little, so their count must exclude a smaller share
+    but for DOUBT. Equal texts are one piece of evidence. Documents are rows, terms are
+    those outside protected data, wherever in a text they stand.
+
+    Equal texts make pairs once, weighted, and pairs are counted before they are shuffled.
+    Where too few texts have a pair for any count of the term, the term's is not looked up.
     """
     held = written(
         entities.where(F.size("base") > 0).groupBy("copy").agg(
@@ -142,15 +157,21 @@ def revealing_terms(docs: DataFrame, entities: DataFrame) -> DataFrame:
             .agg(F.sum("rows").alias("n_both"), F.count("*").alias("copies")))
     alone = (held.select("rows", F.explode("entities").alias("entity"))
              .groupBy("entity").agg(F.sum("rows").alias("n_entity")))
-    suspects = written(both.where(F.col("copies") >= SUPPORT).join(alone, "entity")
-                       .where(F.col("n_entity") < n), "pii-suspects")
+
+    def least(n_entity):
+        return F.pow(n_entity / n, F.lit(1 - DISCLOSURE))
+
+    # A term in no other document is the best case, and n_entity is n_both or more.
+    suspects = written(
+        both.where(_proven(F.col("copies"), F.lit(1.0), least(F.col("n_both"))))
+        .join(alone, "entity").where(F.col("n_entity") < n)
+        .where(_proven(F.col("copies"), F.lit(1.0), least(F.col("n_entity")))), "pii-suspects")
     in_docs = (docs.select(F.explode(_terms(F.col("text"))).alias("term"), F.lit(1).alias("one"))
                .union(held.select(F.explode("hidden").alias("term"), -F.col("rows")))
                .groupBy("term").agg(F.sum("one").alias("n_term")))
-    told = F.log2(n * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
     return written(
         in_docs.join(suspects, "term")
-        .where(told >= DISCLOSURE * F.log2(n / F.col("n_entity")))
+        .where(_proven(F.col("copies"), F.col("n_both") / F.col("n_term"), least(F.col("n_entity"))))
         .select("entity", "term"), "pii-revealing")
 
 
