@@ -1,6 +1,7 @@
 """Mixing, personal data and secrets: small tables against plain Python."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -152,6 +153,16 @@ def test_random_tokens_are_secrets_and_words_are_not(spark):
     assert found >= 18 and wrong == 0
 
 
+def test_all_symbols_of_long_tokens_are_tested(spark):
+    rng = random.Random(9)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    keys = ["".join(rng.choices(letters, k=5000 + i)) for i in range(4)]
+    doubled = ["".join(2 * c for c in rng.choices(letters, k=2500 + i)) for i in range(4)]
+    docs = spark.createDataFrame([(i, f"see {t} here", "s") for i, t in enumerate(keys + doubled)], SCHEMA)
+    got = {r.doc_id: sum(s.kind == "random" for s in r.spans) for r in secrets.find_secrets(docs).collect()}
+    assert got == {i: int(i < 4) for i in range(8)}
+
+
 def reference_mix(rows):
     def size(t):
         return len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
