@@ -163,6 +163,22 @@ def test_all_symbols_of_long_tokens_are_tested(spark):
     assert got == {i: int(i < 4) for i in range(8)}
 
 
+def test_keys_without_digits_or_letters_or_with_mixed_signs_are_secrets(spark):
+    rng = random.Random(12)
+    upper, digit = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    letters = upper + upper.lower()
+    keys = ["".join(rng.choices(alphabet, k=48)) for alphabet in (
+        letters + "+/", letters, upper, upper.lower(), digit) for _ in range(4)]
+    keys += ["prod-" + "".join(rng.choices(letters + digit + "+/", k=44)) + "/+1a" for _ in range(4)]
+    dull = ["a" * 48, "abc" * 16, "1234567890" * 5, "the-name-of/the-thing_" * 3, "AB" * 24, "Ab" * 24]
+    docs = spark.createDataFrame(
+        [(i, f"see {t} here", "s") for i, t in enumerate(keys + dull)], SCHEMA)
+    got = {r.doc_id: {s.kind for s in r.spans} for r in secrets.find_secrets(docs).collect()}
+    for first in range(0, len(keys), 4):  # digits alone are of the pattern of hex already
+        assert sum(bool(got[i] & {"random", "hex"}) for i in range(first, first + 4)) >= 3, keys[first]
+    assert not any("random" in got[i] for i in range(len(keys), len(keys) + len(dull)))
+
+
 def reference_mix(rows):
     def size(t):
         return len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))

@@ -19,13 +19,18 @@ PATTERNS = {"assign": ASSIGN, "access": "AKIA[A-Z0-9]{14,}+", "hex": "(?<![0-9a-
 ASSIGN_LENGTH = 12
 TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}+"
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-ENCODINGS = {
+ENCODINGS = {  # the smaller ones first; the last holds every token
+    "decimal": (DIGITS, "^[0-9]+$"),
     "hex": (DIGITS + "abcdef", "^[0-9a-f]+$"),
     "hex_upper": (DIGITS + "ABCDEF", "^[0-9A-F]+$"),
+    "lower": (LOWER, "^[a-z]+$"),
+    "upper": (UPPER, "^[A-Z]+$"),
     "base32": (UPPER + "234567", "^[A-Z2-7]+$"),
     "base36": (LOWER + DIGITS, "^[a-z0-9]+$"),
+    "letters": (UPPER + LOWER, "^[A-Za-z]+$"),
     "base64": (UPPER + LOWER + DIGITS + "+/", "^[A-Za-z0-9+/]+$"),
     "base64_url": (UPPER + LOWER + DIGITS + "-_", "^[A-Za-z0-9_-]+$"),
+    "mixed": (UPPER + LOWER + DIGITS + "+/-_", "^[A-Za-z0-9+/_-]+$"),
 }
 LEVEL = 0.05  # share of wrong calls allowed among tokens that are called not random
 STEPS = 50  # steps per power of ten in which probabilities are counted
@@ -86,7 +91,7 @@ def _pairs(array: Column, f) -> Column:
     return F.zip_with(F.slice(array, 1, less), F.slice(array, 2, less), f)
 
 
-def _even_counts(values: Column, n: Column, size: int) -> Column:
+def _even_counts(values: Column, n: Column, size: Column) -> Column:
     """Chi-squared: probability of symbol counts as uneven as these, or more."""
     squares = F.aggregate(
         F.array_sort(values),
@@ -100,7 +105,7 @@ def _even_counts(values: Column, n: Column, size: int) -> Column:
     return let(z, _upper_tail)
 
 
-def _runs(values: Column, n: Column, size: int) -> Column:
+def _runs(values: Column, n: Column, size: Column) -> Column:
     """Probability of so many or so few changes between the halves of the alphabet."""
 
     def judged(ones, changes):
@@ -117,7 +122,7 @@ def _runs(values: Column, n: Column, size: int) -> Column:
         _total(_pairs(h, lambda x, y: F.abs(x - y))), lambda changes: judged(ones, changes))))
 
 
-def _serial(values: Column, n: Column, size: int) -> Column:
+def _serial(values: Column, n: Column, size: Column) -> Column:
     """Probability of so strong a correlation between neighbours."""
     middle, spread = (size - 1) / 2.0, (size * size - 1) / 12.0
     products = _total(_pairs(values, lambda x, y: (x - middle) * (y - middle)))
@@ -147,30 +152,30 @@ def not_random(token: Column) -> Column:
         ten = let(half, lambda h: (h - F.log(1 + h + h * h / 2)) / math.log(10))
         return F.least(F.greatest(F.floor(ten * STEPS), F.lit(0)), F.lit(LAST)).cast("int")
 
-    def by_kind(kind):
-        result = F.lit(None).cast("int")
-        for name, (alphabet, _) in ENCODINGS.items():
-            own = let(_symbols(alphabet, body), _sized(steps, len(alphabet)))
-            result = F.when(kind == name, own).otherwise(result)
-        return result
+    def judged(alphabet):
+        return let(F.length(alphabet).cast("double"), lambda size: let(
+            _symbols(alphabet, body), lambda values: steps(values, size)))
 
-    return let(encoding(token), by_kind)
+    return let(_alphabet(encoding(token)), judged)
 
 
-def _sized(steps, size: int):
-    return lambda values: steps(values, size)
+def _alphabet(kind: Column) -> Column:
+    found = F.lit(None).cast("string")
+    for name, (alphabet, _) in ENCODINGS.items():
+        found = F.when(kind == name, alphabet).otherwise(found)
+    return found
 
 
-def _symbols(alphabet: str, body: Column) -> Column:
+def _symbols(alphabet: Column, body: Column) -> Column:
     """Places of all of a token's symbols in an alphabet, in linear time."""
-    return F.transform(F.split(body, ""), lambda c: F.instr(F.lit(alphabet), c) - 1)
+    return F.transform(F.split(body, ""), lambda c: F.instr(alphabet, c) - 1)
 
 
 def candidates(text: Column, base: Column) -> Column:
-    """Tokens outside the base spans that could be keys: (start, end, match, steps)."""
-    tokens = F.filter(matches(text, TOKEN), lambda t: t["match"].rlike("[0-9]")
-                      & t["match"].rlike("[A-Za-z]") & encoding(t["match"]).isNotNull()
-                      & ~F.exists(base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    """All tokens outside the base spans: (start, end, match, stratum, steps). Words and
+    numbers are among them; the tests and their limits leave them out."""
+    tokens = F.filter(matches(text, TOKEN), lambda t: ~F.exists(
+        base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
     return F.transform(tokens, lambda t: F.struct(
         t["start"].alias("start"), t["end"].alias("end"), t["match"].alias("match"),
         _stratum(t["match"]).alias("stratum"), not_random(t["match"]).alias("steps")))
@@ -197,7 +202,7 @@ def discovery_limits(scanned: DataFrame) -> DataFrame:
     Benjamini and Hochberg's rule on the distinct tokens of the corpus: the largest
     probability p with p <= LEVEL * (tokens at p or below) / (all tokens). Probabilities
     are rounded up to steps, which keeps the rule valid, so a count for each step replaces
-    a sort of all tokens. There are at most LAST steps in some dozens of strata.
+    a sort of all tokens. There are at most LAST steps in some hundreds of strata at most.
     """
     tokens = scanned.select(F.explode("tokens").alias("t")).select("t.match", "t.stratum", "t.steps")
     counts = (tokens.distinct().groupBy("stratum", "steps").agg(F.count("*").alias("n")))
@@ -218,7 +223,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     rows, and further columns are ignored.
     """
     scanned = scan(docs)
-    # At most some dozens of strata, one limit each.
+    # At most some hundreds of strata, one limit each.
     limits = dict(discovery_limits(scanned).agg(
         F.collect_list(F.struct("stratum", "limit")).alias("all")).first()["all"])
     named = F.map_from_entries(F.array(*[
