@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidewell.llm import components, minhash
 
 SCHEMA = "doc_id long, text string, id string, n_shingles int"
@@ -83,6 +84,20 @@ def test_groups_match_brute_force(spark, monkeypatch, tile):
     assert left.count() == len(kept)
 
 
+def test_one_row_of_each_group_stays_in_the_pipeline(spark):
+    text = "one text of some words that is here " * 3
+    rows = [(1, "twice the row", "x", 0), (1, "twice the row", "x", 0), (1, "twice the row", "y", 0),
+            (2, text + "first", "x", 0), (2, text + "other", "x", 0), (3, text + "first", "x", 0),
+            (4, "same id", "x", 0), (4, "another text", "x", 0), (None, "null ids alone", "x", 0),
+            (None, "NULL ids alone", "x", 0), (5, None, "x", 0), (5, None, "x", 0), (6, None, "x", 0)]
+    left = corpus_pipeline.dedup_stage(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), "")
+    assert left.columns == ["doc_id", "text", "id", "n_shingles"]
+    got = [(r.doc_id, (r.text or "").lower()[:8]) for r in left.collect()]
+    assert sorted(got, key=str) == sorted([(1, "twice th"), (2, "one text"), (4, "same id"), (4, "another "),
+                                           (None, "null ids"), (5, ""), (6, "")], key=str)
+    assert minhash.single_documents(left.limit(0)).count() == 0
+
+
 def test_empty_and_blank_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert minhash.near_duplicates(empty).count() == 0 and minhash.unique_documents(empty).count() == 0

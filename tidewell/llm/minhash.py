@@ -215,6 +215,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Rows that repeat an id are judged each by their own text. An empty table gives no rows,
     and further columns are ignored.
     """
+    return _grouped(docs).drop("group")
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """``near_duplicates`` with each row's ``group``, which groups of null ids have too."""
     bounded_batches(docs.sparkSession)
     rows = written(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"),
@@ -247,14 +252,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .join(groups.withColumnRenamed("node", "cls"), "cls", "left")
         .withColumn("component", F.coalesce("component", "cls")), "minhash-groups")
     smallest = in_group.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_set = in_group.join(smallest, "component").select("set_id", "component_id")
+    by_set = in_group.join(smallest, "component").select("set_id", "component", "component_id")
     component_id = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     # Rows without a set match nothing; their key is their own, so they are not one group.
     key = F.coalesce("set_id", F.concat(F.lit("none "), "id"))
     return (
         rows.select("doc_id", "id", "n_shingles", key.alias("set_id"))
         .join(by_set, "set_id", "left")
-        .select("doc_id", "id", "n_shingles", component_id.alias("component_id"))
+        .select("doc_id", "id", "n_shingles", component_id.alias("component_id"),
+                F.coalesce(F.col("component").cast("string"), "set_id").alias("group"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
@@ -292,6 +298,30 @@ def unique_documents(docs: DataFrame) -> DataFrame:
     return rows.join(gone, F.col("_id") == F.col("id"), "left_anti").select("_row.*")
 
 
+def single_documents(docs: DataFrame) -> DataFrame:
+    """One row of each group of ``docs``; columns unchanged.
+
+    Of the rows that near_duplicates keeps in a group (repeated rows, rows that repeat an
+    id with like texts, rows of null ids) the one with the smallest text id stays, and of
+    rows equal in id and text the one with the smallest hash of all columns. Texts without
+    shingles are linked with nothing, but of equal rows of them one stays too.
+    """
+    counts = written(_grouped(docs).groupBy("group", "id").agg(
+        F.count("*").alias("n"), F.first("kept").alias("kept")), "minhash-single")
+    chosen = counts.where("kept").groupBy("group").agg(F.min("id").alias("id"))
+    gone = counts.join(chosen, ["group", "id"], "left_anti").select("id")
+    repeated = written(counts.join(chosen, ["group", "id"], "left_semi").where("n > 1").select("id"),
+                       "minhash-repeated")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"),
+                       text_id(F.col("doc_id"), F.col("text")).alias("_id"))
+    own = F.col("_id") == F.col("id")
+    single = rows.join(written(gone.union(repeated), "minhash-gone"), own, "left_anti")
+    # Only rows that are repeated are grouped, and within tasks first.
+    first = rows.join(repeated, own, "left_semi").groupBy("_id").agg(
+        F.min_by("_row", F.xxhash64(F.to_json("_row"))).alias("_row"))
+    return single.select("_row.*").union(first.select("_row.*"))
+
+
 def op10_minhash(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("id")
 
