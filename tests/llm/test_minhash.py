@@ -1,5 +1,6 @@
 """Near-duplicates and connected components against brute force."""
 
+import math
 import random
 import re
 
@@ -115,6 +116,12 @@ def test_bands_find_pairs_at_the_limit():
     assert missed == 0
 
 
+def test_signatures_lose_fewer_pairs_at_the_limit_than_bands():
+    n, p = minhash.HASHES, minhash.SHARED / 100
+    low = sum(math.comb(n, i) * p**i * (1 - p)**(n - i) for i in range(n) if i / n < minhash.SIGNATURE)
+    assert low < (1 - p**minhash.ROWS)**minhash.BANDS
+
+
 @pytest.mark.parametrize("shape", ["path", "star", "random", "none"])
 def test_components(spark, shape):
     rng = random.Random(2)
