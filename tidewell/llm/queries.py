@@ -4,10 +4,13 @@ from tidewell.llm import (
     minhash,
     mixing,
     neighbours,
+    overlap,
+    phrases,
     pieces,
     pii,
     quality,
     secrets,
+    spelling,
     topk,
     toxicity,
     warc,
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_quality": quality.op9_quality,
     "op10_minhash": minhash.op10_minhash,
+    "op11_spelling": spelling.op11_spelling,
+    "op12_phrases": phrases.op12_phrases,
+    "op13_overlap": overlap.op13_overlap,
 }
 
 ORACLE = {
@@ -32,4 +38,7 @@ ORACLE = {
     "op6_warc": warc.ORACLE_OP6,
     "op7_topk": topk.ORACLE_OP7,
     "op10_minhash": minhash.ORACLE_OP10,
+    "op11_spelling": spelling.ORACLE_OP11,
+    "op12_phrases": phrases.ORACLE_OP12,
+    "op13_overlap": overlap.ORACLE_OP13,
 }
