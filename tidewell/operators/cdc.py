@@ -10,6 +10,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidewell.functions.numbers import any_decimal
 from tidewell.functions.text import parsed_once
+from tidewell.operators.buckets import BUCKETS, merge_batch, read_buckets
 from tidewell.operators.deltas import fold, read_parts, write_delta
 
 # How a time column may be encoded inside a change record.
@@ -157,3 +158,23 @@ def read_mirror(spark: SparkSession, target: str, keys: list[str]) -> DataFrame:
 def compact_mirror(spark: SparkSession, target: str, keys: list[str]) -> None:
     """Folds all parts into one, so that reading stays cheap. Run it now and then."""
     fold(spark, target, lambda parts: _latest(parts, keys))
+
+
+def bucketed_mirror_sink(target: str, keys: list[str], order: list[str], buckets: int = BUCKETS):
+    """A ``foreachBatch`` function that keeps the mirror itself up to date, in buckets of keys.
+
+    A batch rewrites the buckets of its keys and no others, so that reading costs no merging
+    and nothing is ever folded as a whole. Deleted keys stay as marks, by which a change that
+    arrives after its key's deletion is told from a new row.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        changes = latest_changes(batch, keys, order)
+        merge_batch(changes, target, keys, lambda rows: _latest(rows, keys), batch_id, buckets)
+
+    return write
+
+
+def read_bucketed_mirror(spark: SparkSession, target: str) -> DataFrame:
+    """The mirrored table; each key has one row there already."""
+    return _present(read_buckets(spark, target))

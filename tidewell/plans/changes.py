@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, LongType, StringType, StructField, StructType
@@ -116,6 +118,15 @@ def cdc_apply_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _amount_as_double(cdc.read_mirror(spark, out, ["id"]))
 
 
+def cdc_apply_stream_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mirror itself kept up to date: each micro-batch rewrites the buckets of its keys."""
+    out, checkpoints = scratch(spark, "mirror-buckets")
+    changes = _decoded(_replayed(spark, sf_dir, "orders", "o_orderkey"))
+    sink = cdc.bucketed_mirror_sink(out, ["id"], ["offset"], buckets=16)
+    run_to_end(start_query(changes, "mirror_buckets", sink, checkpoints, "append"))
+    return _amount_as_double(cdc.read_bucketed_mirror(spark, out))
+
+
 KEYS = ["event_type", "user_id"]
 
 
@@ -148,10 +159,42 @@ def rollup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.read_rollup(spark, out, KEYS, _aggs())
 
 
+def _level_rows(spark: SparkSession, target: str, aggs: rollup.Aggregates) -> DataFrame:
+    def level(name: str) -> DataFrame:
+        return rollup.read_level(spark, target, name, ["event_type"], aggs).select(
+            F.lit(name).alias("level"), rollup.PERIOD, "event_type",
+            F.col("amounts.n").alias("n"), rollup.mean_of("amounts", 2).alias("mean"),
+            rollup.deviation_of("amounts", 2).alias("deviation"))
+
+    return functools.reduce(DataFrame.unionByName, [level(name) for name in rollup.LEVELS])
+
+
+def rollup_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means and deviations by hour, day and month, in two batches of which the second is sent
+    twice; then a compaction of every level."""
+    events, target = table(spark, sf_dir, "events"), new_dir(spark, "levels")
+    aggs = {"amounts": ("moments", minor_units(F.col("value")))}
+    middle = F.col("ts") < instant("2024-01-16 12:30:00")
+    for batch_id, rows in ((0, middle), (1, ~middle), (1, ~middle)):
+        rollup.levels_refresh(events.filter(rows), target, "ts", ["event_type"], aggs, batch_id)
+    rollup.compact_levels(spark, target, ["event_type"], aggs)
+    return _level_rows(spark, target, aggs)
+
+
+def rollup_levels_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, checkpoints = scratch(spark, "levels")
+    aggs = {"amounts": ("moments", minor_units(F.col("value")))}
+    sink = rollup.levels_sink(out, "ts", ["event_type"], aggs)
+    run_to_end(start_query(
+        _replayed(spark, sf_dir, "events", "ts"), "levels", sink, checkpoints))
+    return _level_rows(spark, out, aggs)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         cdc_decode, cdc_rows, cdc_apply, cdc_apply_stream, rollup_refresh, rollup_stream,
+        cdc_apply_stream_bucketed, rollup_levels, rollup_levels_stream,
     )
 }
 
@@ -178,7 +221,21 @@ _ROLLUP = """
     FROM (SELECT *, CAST(CAST(value AS DECIMAL(18, 2)) * 100 AS BIGINT) AS u FROM events)
     GROUP BY event_type, user_id"""
 
+_LEVELS = """
+    SELECT level, period_start, event_type, count(*) AS n,
+           CAST(sum(u) AS DOUBLE) / count(*) / 100 AS mean,
+           CASE WHEN count(*) > 1 THEN
+             sqrt(CAST(count(*) * sum(u * u) - sum(u) * sum(u) AS DOUBLE)
+                  / (CAST(count(*) AS DOUBLE) * (count(*) - 1))) / 100 END AS deviation
+    FROM (SELECT event_type, CAST(CAST(value AS DECIMAL(18, 2)) * 100 AS HUGEINT) AS u, level,
+                 CAST(epoch(date_trunc(level, ts)) AS BIGINT) AS period_start
+          FROM events, (VALUES ('hour'), ('day'), ('month')) l(level))
+    GROUP BY ALL"""
+
 ORACLE = {
+    "cdc_apply_stream_bucketed": _MIRROR,
+    "rollup_levels": _LEVELS,
+    "rollup_levels_stream": _LEVELS,
     "cdc_decode": f"""SELECT "offset", op, malformed, id, amount, status FROM ({_CHANGES})""",
     "cdc_rows": f"""
         SELECT "offset", id, customer, amount, status FROM ({_CHANGES}) WHERE op <> 'd'""",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import os
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from tidewell.session import new_dir
 from tidewell.sources.files import in_order_of, parquet_stream
 from tidewell.sources.ids import assign_ids
 from tidewell.sources.topics import as_records
-from tidewell.streaming import agents, carried, logs
+from tidewell.streaming import agents, carried, late, logs, segments, sliced
 from tidewell.streaming.runner import (
     ProgressLog,
     late_data_report,
@@ -28,12 +29,19 @@ from tidewell.streaming.runner import (
 from tidewell.streaming.sinks import (
     alert_sink,
     batch_sink,
+    fan_out_sink,
     latest_updates,
     read_batches,
     read_last_batch,
+    read_served,
+    read_top,
+    serving_sink,
 )
 
 
+REPLAY_SLICES = 4
+
+
 def events_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a stream of several micro-batches in order of time."""
     return in_order_of(table(spark, sf_dir, "events"), "ts", new_dir(spark, "events-in-order"))
@@ -248,6 +256,181 @@ def alerts_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_batches(spark, forwarded).select("event_id", "user_id", "history_n")
 
 
+def _with_hot_user(events: DataFrame) -> DataFrame:
+    """Half of the events are those of one user."""
+    hot = F.col("event_id") % 2 == 0
+    return events.withColumn("user_id", F.when(hot, F.lit(-1).cast("long")).otherwise(F.col("user_id")))
+
+
+def _judged_sliced(spark: SparkSession, sf_dir: str, agent, name: str) -> DataFrame:
+    return _judged(spark, sf_dir, lambda events: agent(_with_hot_user(events)), name)
+
+
+def anomaly_stream_hot_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the rows are one user's, whose slices are many tasks' work."""
+    return _judged_sliced(spark, sf_dir, lambda events: sliced.anomaly_sliced(
+        events, "user_id", "value", "ts", "event_id", "6 hours", floor=FLOOR), "anomaly-hot")
+
+
+def velocity_stream_hot_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _judged_sliced(spark, sf_dir, lambda events: sliced.velocity_sliced(
+        events, "user_id", "value", "ts", "event_id", "6 hours", FRAME, high_amount=HIGH_VALUE),
+        "velocity-hot")
+
+
+def _served_counts(spark: SparkSession, sf_dir: str) -> str:
+    out, checkpoints = scratch(spark, "log-counts-served")
+    counts = logs.log_counts(_logs(spark, sf_dir), term="error", ordered=False)
+    sink = serving_sink(out, ["source_ip"], top=10, by="match_count", buckets=16)
+    run_to_end(start_query(counts, "log_counts_served", sink, checkpoints, "update"))
+    return out
+
+
+def log_counts_served(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts as a table to which each micro-batch brings the keys that it changed."""
+    return read_served(spark, _served_counts(spark, sf_dir))
+
+
+def log_counts_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten most frequent keys, kept from batch to batch without the whole table."""
+    return read_top(spark, _served_counts(spark, sf_dir))
+
+
+def _arrivals(spark: SparkSession, sf_dir: str):
+    """The events in three steps, of which the last brings sign-ups of the first days."""
+    events = table(spark, sf_dir, "events")
+    early = F.col("ts") < instant("2024-01-11 00:00:00")
+    held_back = early & (F.col("event_type") == "signup")
+    arrivals = new_dir(spark, "arrivals")
+    for rows in (early & ~held_back, ~early, held_back):
+        events.filter(rows).write.mode("append").parquet(arrivals)
+        yield parquet_stream(spark, arrivals, schema=events.schema)
+
+
+def late_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The late sign-ups themselves, split off before the counting of days."""
+    out, checkpoints = scratch(spark, "late-records")
+    sink = late.split_sink(out, "ts", "10 seconds", window="1 day")
+    for arriving in _arrivals(spark, sf_dir):
+        run_to_end(start_query(arriving, "late_records", sink, checkpoints))
+    return late.split_rows(spark, out, late=True).drop("batch", "ts")
+
+
+def late_record_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, checkpoints = scratch(spark, "late-counts")
+    sink = late.split_sink(out, "ts", "10 seconds", window="1 day")
+    for arriving in _arrivals(spark, sf_dir):
+        run_to_end(start_query(arriving, "late_counts", sink, checkpoints))
+    return late.late_counts(spark, out).select(F.col("batch").cast("long").alias("step"), "records", "late_records")
+
+
+SEGMENT_BYTES, SINCE, UNTIL = 1 << 18, "2024-01-10 00:00:00", "2024-01-20 00:00:00"
+
+
+def _segments(spark: SparkSession, sf_dir: str) -> str:
+    target, checkpoints = scratch(spark, "segments")
+    records = log_records(events_in_order(spark, sf_dir))
+    run_to_end(logs.ingest_segments(
+        records, target, checkpoints, lower_content=True, segment_bytes=SEGMENT_BYTES))
+    return target
+
+
+def _in_days(spark: SparkSession, target: str) -> DataFrame:
+    rows = segments.read_segments(spark, target, "event_time", SINCE, UNTIL)
+    return rows.drop("event_time")
+
+
+def ingest_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten days of the ingested records, from closed segments and what is open."""
+    return _in_days(spark, _segments(spark, sf_dir))
+
+
+def ingest_segments_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same once all is closed and small segments are merged."""
+    target = _segments(spark, sf_dir)
+    segments.roll(spark, target, "event_time", SEGMENT_BYTES)
+    return _in_days(spark, target)
+
+
+def agents_from_one_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both carried detectors on one reading of the stream, each with its own mark per batch."""
+    out, checkpoints = scratch(spark, "fan-out")
+    columns = ("user_id", "value", "ts", "event_id")
+    sinks = {
+        "anomaly": carried.anomaly_sink(
+            f"{out}/anomaly", f"{out}/anomaly-state", *columns, floor=FLOOR),
+        "velocity": carried.velocity_sink(
+            f"{out}/velocity", f"{out}/velocity-state", *columns, FRAME, high_amount=HIGH_VALUE),
+    }
+    run_to_end(start_query(
+        events_in_order(spark, sf_dir), "fan_out", fan_out_sink(out, sinks), checkpoints))
+    flags = {"anomaly": "is_anomaly", "velocity": "is_alert"}
+    alerts = [
+        read_batches(spark, f"{out}/{name}").filter(flag).select(
+            F.lit(name).alias("agent"), "event_id")
+        for name, flag in flags.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, alerts)
+
+
+def alert_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts to two receivers that keep all they get, of which one fails in every batch at
+    first. The query is resumed until it ends; each alert arrives once at each."""
+    out, checkpoints = scratch(spark, "outbox")
+    arrived, failed = new_dir(spark, "arrived"), set()
+
+    def receive(name: str):
+        def send(rows: DataFrame, batch_id: int) -> None:
+            if name == "second" and batch_id not in failed:
+                failed.add(batch_id)
+                raise ConnectionError(f"receiver of batch {batch_id} is away")
+            rows.write.mode("append").parquet(f"{arrived}/{name}")
+        return send
+
+    sink = alert_sink(out, "is_anomaly", {n: receive(n) for n in ("first", "second")})
+    events = events_in_order(spark, sf_dir)
+    for _ in range(2 * REPLAY_SLICES):
+        query = start_query(_anomalies(events), "outbox", sink, checkpoints)
+        try:
+            run_to_end(query)
+            break
+        except StreamingQueryException as error:
+            if "is away" not in str(error):
+                raise
+    return functools.reduce(DataFrame.unionByName, [
+        spark.read.parquet(f"{arrived}/{name}").select(F.lit(name).alias("receiver"), "event_id")
+        for name in ("first", "second")])
+
+
+def polling_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of ten minutes by a query that looks for new rows at an interval until stopped."""
+    out, checkpoints = scratch(spark, "polling")
+    means = logs.window_avg(
+        events_in_order(spark, sf_dir), "ts", money(F.col("value")), ["event_type"],
+        watermark="1 hour",
+    )
+    query = start_query(means, "polling", batch_sink(out), checkpoints, "update", "1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    final = latest_updates(spark, out, ["window_start", "window_end", "event_type"])
+    return _window_as_text(as_double(final, "avg_value"))
+
+
+def console_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a query into the console reads and holds, by its reports."""
+    _, checkpoints = scratch(spark, "console")
+    counts = logs.log_counts(_logs(spark, sf_dir), term="error", ordered=False)
+    name = f"console-{os.path.basename(os.path.dirname(checkpoints))}"
+    reports = ProgressLog(spark, name, f"{checkpoints}/reports")
+    run_to_end(start_query(counts, name, "console", checkpoints, "complete", options={"numRows": "5"}))
+    totals = stream_progress(reports).agg(
+        F.sum("input_rows").alias("input_rows"), F.max("state_rows").alias("state_rows"))
+    reports.close()
+    return totals
+
+
 def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals over the progress reports; the rates in them differ from run to run."""
     out, checkpoints = scratch(spark, "progress")
@@ -279,6 +462,18 @@ QUERIES = {
     "run_agents": agents_together,
     "alert_sink": alerts_only,
     "stream_progress": progress,
+    "anomaly_stream_hot_user": anomaly_stream_hot_user,
+    "velocity_stream_hot_user": velocity_stream_hot_user,
+    "log_counts_served": log_counts_served,
+    "log_counts_top": log_counts_top,
+    "late_records": late_records,
+    "late_record_counts": late_record_counts,
+    "ingest_segments": ingest_segments,
+    "ingest_segments_merged": ingest_segments_merged,
+    "agents_from_one_read": agents_from_one_read,
+    "alert_outbox": alert_outbox,
+    "polling_avg": polling_avg,
+    "console_counts": console_counts,
 }
 
 _IP = "'10.0.' || CAST(user_id // 256 AS VARCHAR) || '.' || CAST(user_id % 256 AS VARCHAR)"
@@ -309,7 +504,49 @@ _VELOCITY = """
                     RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW) AS velocity
                 FROM events))"""
 
+_HOT = "(SELECT * REPLACE (CASE WHEN event_id % 2 = 0 THEN -1 ELSE user_id END AS user_id) FROM events)"
+_AGENTS = f"""
+        SELECT 'anomaly' AS agent, event_id FROM ({_ANOMALIES}) WHERE is_anomaly
+        UNION ALL
+        SELECT 'velocity', event_id FROM ({_VELOCITY}) WHERE is_alert"""
+_WINDOW_AVG = """
+        SELECT w * 600 AS window_start, (w + 1) * 600 AS window_end, event_type,
+               CAST((2 * sum(u) + count(*)) // (2 * count(*)) AS DOUBLE) / 100 AS avg_value
+        FROM (SELECT *, epoch_us(ts) // 600000000 AS w,
+                     CAST(CAST(value AS DECIMAL(18, 2)) * 100 AS BIGINT) AS u FROM events)
+        GROUP BY w, event_type"""
+_INGESTED = f"""
+        SELECT epoch_us(ts) // 1000 AS "timestamp", event_type AS status, {_SEVERITY} AS severity,
+               {_IP} AS source_ip, 'user_' || CAST(user_id AS VARCHAR) AS user_id,
+               upper(event_type[1]) || event_type[2:] || ' reported ' || props AS content,
+               event_type || ' reported ' || lower(props) AS content_lower
+        FROM events"""
+_INGESTED_DAYS = f"{_INGESTED} WHERE ts >= TIMESTAMP '{SINCE}' AND ts < TIMESTAMP '{UNTIL}'"
+_PROGRESS = f"""
+        SELECT (SELECT count(*) FROM events) AS input_rows,
+               (SELECT count(*) FROM ({_LOG_COUNTS})) AS state_rows"""
+
 ORACLE = {
+    "anomaly_stream_hot_user": _ANOMALIES.replace("FROM events", f"FROM {_HOT}"),
+    "velocity_stream_hot_user": _VELOCITY.replace("FROM events", f"FROM {_HOT}"),
+    "log_counts_served": _LOG_COUNTS,
+    "log_counts_top": f"{_LOG_COUNTS} LIMIT 10",
+    "late_records": """
+        SELECT event_id, user_id, event_type, value, props FROM events
+        WHERE ts < TIMESTAMP '2024-01-11' AND event_type = 'signup'""",
+    "late_record_counts": """
+        SELECT CASE WHEN ts >= TIMESTAMP '2024-01-11' THEN 1
+                    WHEN event_type = 'signup' THEN 2 ELSE 0 END AS step, count(*) AS records,
+               count(*) FILTER (ts < TIMESTAMP '2024-01-11' AND event_type = 'signup') AS late_records
+        FROM events GROUP BY 1""",
+    "ingest_segments": _INGESTED_DAYS,
+    "ingest_segments_merged": _INGESTED_DAYS,
+    "agents_from_one_read": _AGENTS,
+    "alert_outbox": f"""
+        SELECT receiver, event_id FROM ({_ANOMALIES}), (VALUES ('first'), ('second')) r(receiver)
+        WHERE is_anomaly""",
+    "polling_avg": _WINDOW_AVG,
+    "console_counts": _PROGRESS,
     "log_counts": _LOG_COUNTS,
     "log_counts_stream": _LOG_COUNTS,
     "log_counts_sorted_stream": f"""
@@ -320,12 +557,7 @@ ORACLE = {
         SELECT * FROM ({_CRASHES})
         WHERE window_end * 1000 <= (SELECT max(epoch_us(ts) // 1000) - 10000 FROM events
                                     WHERE event_type = 'error' AND value >= 5)""",
-    "temp_window_avg": """
-        SELECT w * 600 AS window_start, (w + 1) * 600 AS window_end, event_type,
-               CAST((2 * sum(u) + count(*)) // (2 * count(*)) AS DOUBLE) / 100 AS avg_value
-        FROM (SELECT *, epoch_us(ts) // 600000000 AS w,
-                     CAST(CAST(value AS DECIMAL(18, 2)) * 100 AS BIGINT) AS u FROM events)
-        GROUP BY w, event_type""",
+    "temp_window_avg": _WINDOW_AVG,
     "late_data_report": """
         SELECT CASE WHEN ts >= TIMESTAMP '2024-01-11' THEN 1
                     WHEN event_type = 'signup' THEN 2 ELSE 0 END AS step,
@@ -335,12 +567,7 @@ ORACLE = {
                    THEN user_id * 1000 + epoch_us(ts) // 1000 // 86400000 % 1000 END) AS BIGINT)
                    AS late_groups_dropped
         FROM events GROUP BY 1""",
-    "ingest_logs": f"""
-        SELECT epoch_us(ts) // 1000 AS "timestamp", event_type AS status, {_SEVERITY} AS severity,
-               {_IP} AS source_ip, 'user_' || CAST(user_id AS VARCHAR) AS user_id,
-               upper(event_type[1]) || event_type[2:] || ' reported ' || props AS content,
-               event_type || ' reported ' || lower(props) AS content_lower
-        FROM events""",
+    "ingest_logs": _INGESTED,
     "quarantine_logs": """
         SELECT event_id AS "offset",
                substr('{"timestamp":' || CAST(epoch_us(ts) // 1000 AS VARCHAR), 1, 20) AS record
@@ -349,13 +576,8 @@ ORACLE = {
     "velocity_stream": _VELOCITY,
     "anomaly_stream_carried": _ANOMALIES,
     "velocity_stream_carried": _VELOCITY,
-    "run_agents": f"""
-        SELECT 'anomaly' AS agent, event_id FROM ({_ANOMALIES}) WHERE is_anomaly
-        UNION ALL
-        SELECT 'velocity', event_id FROM ({_VELOCITY}) WHERE is_alert""",
+    "run_agents": _AGENTS,
     "alert_sink": f"""
         SELECT event_id, user_id, history_n FROM ({_ANOMALIES}) WHERE is_anomaly""",
-    "stream_progress": f"""
-        SELECT (SELECT count(*) FROM events) AS input_rows,
-               (SELECT count(*) FROM ({_LOG_COUNTS})) AS state_rows""",
+    "stream_progress": _PROGRESS,
 }

@@ -137,6 +137,17 @@ def set_changed(spark: SparkSession, path: str, millis: int) -> None:
     fs.setTimes(hadoop_path, millis, -1)
 
 
+def changed_at(spark: SparkSession, path: str) -> int:
+    """A file's time of change, in milliseconds since 1970."""
+    fs, hadoop_path = _hadoop(spark, path)
+    return fs.getFileStatus(hadoop_path).getModificationTime()
+
+
+def make_dir(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _hadoop(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Removes a folder that this library wrote and nothing reads any more."""
     fs, hadoop_path = _hadoop(spark, path)

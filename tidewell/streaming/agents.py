@@ -40,38 +40,44 @@ def _remembered(state: GroupState) -> np.ndarray:
     return np.array(state.get[0] if state.exists else [], dtype="int64")
 
 
+def flag_anomalies(
+    earlier: np.ndarray, units: np.ndarray,
+    history: int, min_n: int, ratio: float, floor_units: int, zscore: float | None,
+):
+    """Number and sum of the ``history`` amounts before each of ``units``, which follow
+    ``earlier``, and whether each is an anomaly by them."""
+    p, q = rules.as_fraction(ratio)
+    known = np.concatenate([earlier, units])
+    # sums[i] is the total of the first i known amounts.
+    sums = np.concatenate([[0], np.cumsum(known.astype(object))]).astype(object)
+    here = np.arange(len(earlier), len(known))
+    first = np.maximum(here - history, 0)
+    n, total = here - first, (sums[here] - sums[first]).astype("int64")
+    if zscore is None:
+        # In Python's integers, as rules.above_ratio in wide decimals.
+        beyond = units.astype(object) * n * q > total.astype(object) * p
+        return n, total, (n >= min_n) & beyond.astype(bool) & (units > floor_units)
+    # As in rules.above_zscore, in Python's integers: squares outgrow 64 bits.
+    squares = np.concatenate([[0], np.cumsum(known.astype(object) ** 2)])
+    count, whole, units = n.astype(object), total.astype(object), units.astype(object)
+    gap, spread = count * units - whole, count * (squares[here] - squares[first]) - whole * whole
+    z_squared = round(zscore * zscore * 10_000)
+    beyond = gap * gap * (count - 1) * 10_000 > z_squared * count * spread
+    flagged = (count >= max(min_n, 2)) & (gap > 0) & beyond
+    return n, total, flagged.astype(bool)
+
+
 def _judge_anomalies(
     history: int, min_n: int, ratio: float, floor_units: int, zscore: float | None
 ):
     """State: the user's last ``history`` amounts, oldest first."""
 
-    p, q = rules.as_fraction(ratio)
-
-    def is_far(units, n, total, known, here, first):
-        # As in rules.above_zscore, in Python's integers: squares outgrow 64 bits.
-        squares = np.concatenate([[0], np.cumsum(known.astype(object) ** 2)])
-        n, total, units = n.astype(object), total.astype(object), units.astype(object)
-        gap, spread = n * units - total, n * (squares[here] - squares[first]) - total * total
-        z_squared = round(zscore * zscore * 10_000)
-        beyond = gap * gap * (n - 1) * 10_000 > z_squared * n * spread
-        return (n >= max(min_n, 2)) & (gap > 0) & beyond
-
     def judge(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         ids, at, units = _in_order(chunks)
         earlier = _remembered(state)
-        known = np.concatenate([earlier, units])
-        # sums[i] is the total of the first i known amounts.
-        sums = np.concatenate([[0], np.cumsum(known.astype(object))]).astype(object)
-        here = np.arange(len(earlier), len(known))
-        first = np.maximum(here - history, 0)
-        n, total = here - first, (sums[here] - sums[first]).astype("int64")
-        if zscore is None:
-            # In Python's integers, as rules.above_ratio in wide decimals.
-            beyond = units.astype(object) * n * q > total.astype(object) * p
-            flagged = (n >= min_n) & beyond.astype(bool) & (units > floor_units)
-        else:
-            flagged = is_far(units, n, total, known, here, first).astype(bool)
-        state.update((known[-history:].tolist(),))
+        n, total, flagged = flag_anomalies(
+            earlier, units, history, min_n, ratio, floor_units, zscore)
+        state.update((np.concatenate([earlier, units])[-history:].tolist(),))
         yield pd.DataFrame({
             "user_key": key[0],
             "id": ids,
@@ -121,7 +127,7 @@ def _judge_velocity(
     return judge
 
 
-def _input(sdf: DataFrame, user: str, amount: str, ts: str, id_col: str, scale: int) -> DataFrame:
+def detector_input(sdf: DataFrame, user: str, amount: str, ts: str, id_col: str, scale: int) -> DataFrame:
     """The columns a detector needs. Rows without id, time or amount are not judged, and
     are counted in the query's progress as ``detector.rejected``."""
     missing = F.greatest(*[F.col(c).isNull().cast("int") for c in (id_col, ts, amount)])
@@ -137,7 +143,14 @@ def _input(sdf: DataFrame, user: str, amount: str, ts: str, id_col: str, scale:
     return rows.dropna(subset=["row_id", "row_at", "units"])
 
 
-def _named(judged: DataFrame, user: str, ts: str, id_col: str) -> DataFrame:
+def with_history_avg(judged: DataFrame, scale: int) -> DataFrame:
+    """``history_avg`` for ``history_sum``; a user without history gets null as in batch."""
+    n = F.col("history_n")
+    mean = F.when(n > 0, from_minor_units(F.col("history_sum"), scale) / n.cast("double"))
+    return judged.select("user_key", "id", "at", "history_n", mean.alias("history_avg"), "is_anomaly")
+
+
+def named_result(judged: DataFrame, user: str, ts: str, id_col: str) -> DataFrame:
     return judged.withColumn("at", F.timestamp_micros("at")).withColumnsRenamed(
         {"user_key": user, "id": id_col, "at": ts}
     )
@@ -160,7 +173,7 @@ def anomaly_stream(
 
     The rule is the ratio to their mean, or with ``zscore`` the distance from it.
     """
-    rows = _input(sdf, user, amount, ts, id_col, scale).drop("event_time")
+    rows = detector_input(sdf, user, amount, ts, id_col, scale).drop("event_time")
     kind, id_kind = (rows.schema[c].dataType.simpleString() for c in ("user_key", "row_id"))
     judged = rows.groupBy("user_key").applyInPandasWithState(
         _judge_anomalies(history, min_n, ratio, round(floor * 10**scale), zscore),
@@ -172,11 +185,7 @@ def anomaly_stream(
         outputMode="append",
         timeoutConf=GroupStateTimeout.NoTimeout,
     )
-    # Divided here, so that a user without history gets null as in batch.
-    n = F.col("history_n")
-    mean = F.when(n > 0, from_minor_units(F.col("history_sum"), scale) / n.cast("double"))
-    judged = judged.select("user_key", "id", "at", "history_n", mean.alias("history_avg"), "is_anomaly")
-    return _named(judged, user, ts, id_col)
+    return named_result(with_history_avg(judged, scale), user, ts, id_col)
 
 
 def velocity_stream(
@@ -204,7 +213,7 @@ def velocity_stream(
     """
     if time_mode not in ("event", "processing"):
         raise ValueError(f"unknown time mode {time_mode!r}")
-    rows, timeout = _input(sdf, user, amount, ts, id_col, scale), GroupStateTimeout.NoTimeout
+    rows, timeout = detector_input(sdf, user, amount, ts, id_col, scale), GroupStateTimeout.NoTimeout
     if time_mode == "processing":
         rows, timeout = rows.drop("event_time"), GroupStateTimeout.ProcessingTimeTimeout
     elif watermark is not None:
@@ -224,4 +233,4 @@ def velocity_stream(
         outputMode="append",
         timeoutConf=timeout,
     )
-    return _named(judged, user, ts, id_col)
+    return named_result(judged, user, ts, id_col)

@@ -11,6 +11,7 @@ from tidewell.functions.text import contains, parsed_once
 from tidewell.functions.times import event_time
 from tidewell.sources.schemas import LOGS
 from tidewell.streaming.runner import start_query
+from tidewell.streaming.segments import SEGMENT_AGE, SEGMENT_BYTES, segment_sink
 
 CORRUPT = "_corrupt"
 
@@ -118,18 +119,8 @@ def ingest_logs(
     progress as ``ingest.rejected``; `quarantine_logs` keeps them. ``lower_content`` also stores the text in
     lower case, on which a search in any case can be pushed to the reader.
     """
-    parsed = parse_logs(records, keep_corrupt=True).observe(
-        "ingest",
-        F.count("*").alias("records"),
-        F.count_if(F.col("timestamp").isNull()).alias("rejected"),
-    )
-    rows = (
-        parsed.filter(F.col("timestamp").isNotNull())
-        .drop(CORRUPT)
-        .withColumn("event_date", F.to_date(event_time(F.col("timestamp"))))
-    )
-    if lower_content:
-        rows = rows.withColumn("content_lower", F.lower("content"))
+    rows = _accepted(records, lower_content).withColumn(
+        "event_date", F.to_date(event_time(F.col("timestamp"))))
     return start_query(
         rows, name, "parquet", checkpoint_root, "append", trigger, path=target,
         partition_by=["event_date"],
@@ -137,6 +128,36 @@ def ingest_logs(
     )
 
 
+def _accepted(records: DataFrame, lower_content: bool) -> DataFrame:
+    parsed = parse_logs(records, keep_corrupt=True).observe(
+        "ingest",
+        F.count("*").alias("records"),
+        F.count_if(F.col("timestamp").isNull()).alias("rejected"),
+    )
+    rows = parsed.filter(F.col("timestamp").isNotNull()).drop(CORRUPT)
+    return rows.withColumn("content_lower", F.lower("content")) if lower_content else rows
+
+
+def ingest_segments(
+    records: DataFrame,
+    target: str,
+    checkpoint_root: str,
+    trigger: str | None = None,
+    name: str = "ingest_segments",
+    lower_content: bool = False,
+    segment_bytes: int = SEGMENT_BYTES,
+    segment_age: str = SEGMENT_AGE,
+) -> StreamingQuery:
+    """`ingest_logs` into segments by ``event_time`` that roll by size and age.
+
+    The table's files so have the size asked for, however small or large micro-batches are,
+    and a search in a range of time opens those only whose times it can match.
+    """
+    rows = _accepted(records, lower_content).withColumn("event_time", event_time(F.col("timestamp")))
+    sink = segment_sink(target, "event_time", segment_bytes, segment_age)
+    return start_query(rows, name, sink, checkpoint_root, "append", trigger)
+
+
 def quarantine_logs(
     records: DataFrame,
     target: str,
