@@ -20,7 +20,7 @@ WINDOW = 10  # words
 # ASCII letters and digits, and all bytes of other characters.
 WORD = byte_class((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
 SHARD_BYTES = 1 << 24  # of text in a suffix array, and one document more
-BLOCK_BYTES = 1 << 24  # of benchmark text that is sent to the tasks at a time
+BLOCK_BYTES = 1 << 22  # of benchmark text that is sent to the tasks at a time
 
 NEW = ("n_words long, items array<string>, spans array<struct<start:int,end:int>>")
 
@@ -167,19 +167,39 @@ class Shard:
         return self.order[base + np.arange(len(which))], which
 
     def longest(self, tests: Tests):
-        """Per test suffix the most words found here, and a place that has them."""
+        """Per item its first suffix with the most words found here, and how many these are."""
         at = np.flatnonzero(tests.left > 0)
-        if not len(self.order):
-            return at, np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-        where = _search(self.ids, self.order, tests, at, tests.left[at], False)
-        best, place = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-        # The suffixes with most in common stand next to where it would be inserted.
-        for beside in (where - 1, where):
-            near = self.order[np.clip(beside, 0, len(self.order) - 1)]
-            same = _compared(self.ids, near, tests, at, tests.left[at])[1]
-            better = same > best
-            best[better], place[better] = same[better], near[better]
-        return at, best, place
+        best = np.zeros(len(at), np.int64)
+        if len(self.order):
+            where = _search(self.ids, self.order, tests, at, tests.left[at], False)
+            # The suffixes with most in common stand next to where it would be inserted.
+            for beside in (where - 1, where):
+                near = self.order[np.clip(beside, 0, len(self.order) - 1)]
+                best = np.maximum(best, _compared(self.ids, near, tests, at, tests.left[at])[1])
+        by = np.lexsort((at, -best, tests.item[at]))
+        item = tests.item[at][by]
+        by = by[np.r_[True, item[1:] != item[:-1]][:len(by)]]
+        by = by[best[by] > 0]
+        return at[by], best[by]
+
+    def first_places(self, tests: Tests, at: np.ndarray, sizes: np.ndarray, rank: np.ndarray):
+        """Of the places that have ``sizes`` words from ``at`` on, the first by the documents'
+        ``rank``. Ranges of one size are disjoint, so the work is a shard's for each size."""
+        key = rank[self.doc] * (len(self.ids) + 1) + np.arange(len(self.doc))
+        first = np.zeros(len(at), np.int64)
+        for size in np.unique(sizes):
+            own = np.flatnonzero(sizes == size)
+            low, high = (_search(self.ids, self.order, tests, at[own], sizes[own], after)
+                         for after in (False, True))
+            low, inverse = np.unique(low, return_inverse=True)
+            ends = np.zeros(len(low), np.int64)
+            ends[inverse] = high
+            counts = ends - low
+            starts = np.cumsum(counts) - counts
+            inside = np.arange(counts.sum()) + np.repeat(low - starts, counts)
+            least = np.minimum.reduceat(key[self.order[inside]], starts)
+            first[own] = (least % (len(self.ids) + 1))[inverse]
+        return first
 
 
 def _intervals(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -232,11 +252,11 @@ def _blocks(benchmark: DataFrame, window: int):
         yield tests_of(rows["id"].combine_chunks(), rows["text"].combine_chunks(), window)
 
 
-def _shards(rows: DataFrame, column: str, tests: Tests, schema: str, made) -> DataFrame:
+def _shards(rows: DataFrame, tests: Tests, schema, made) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast(tests)
 
     def run(batches):
-        for shard in chunks(batches, column, SHARD_BYTES):
+        for shard in chunks(batches, "_text", SHARD_BYTES):
             yield from made(shard, sent.value)
 
     return rows.mapInArrow(run, schema)
@@ -260,7 +280,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     rows = docs.select(own, F.col("text").cast("string").alias("_text"))
     for name, kind in (part.split(" ", 1) for part in NEW.split(", ")):
         rows = rows.withColumn(name, F.lit(None).cast(kind))
-    schema = f"_row {docs.select(own).schema[0].dataType.simpleString()}, _text string, {NEW}"
+    schema = rows.schema
 
     def made(shard: pa.Table, tests: Tests):
         columns = _marked(shard, tests, window)
@@ -271,7 +291,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     for number, tests in enumerate(_blocks(benchmark, window)):
         if number:
             rows = written(rows, "overlap-block")
-        rows = _shards(rows, "_text", tests, schema, made)
+        rows = _shards(rows, tests, schema, made)
     kept = [F.col("_text" if c == "text" else f"_row.`{c}`").alias(c) for c in docs.columns
             if c not in ("n_words", "items", "spans")]
     return rows.select(*kept, "n_words", "items", "spans")
@@ -297,23 +317,21 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def made(shard_rows: pa.Table, tests: Tests):
         shard = Shard(shard_rows.column("_text").combine_chunks(), tests, WINDOW)
-        at, best, place = shard.longest(tests)
-        item = tests.item[at]
-        by = np.lexsort((at, -best, item))
-        by = by[np.r_[True, item[by][1:] != item[by][:-1]][:len(by)]]
-        by = by[best[by] > 0]
-        at, best, place, item = at[by], best[by], place[by], item[by]
+        at, best = shard.longest(tests)
+        ids = shard_rows.column("doc_id").combine_chunks()
+        rank = pc.rank(ids, null_placement="at_start", tiebreaker="dense").to_numpy().astype(np.int64)
+        place, item = shard.first_places(tests, at, best, rank), tests.item[at]
         begin = np.searchsorted(tests.item, item)
         yield pa.RecordBatch.from_arrays([
             pa.array([tests.names[i] for i in item], pa.string()),
             pa.array(best.astype(np.int32)), pa.array((at - begin).astype(np.int32)),
-            shard_rows.column("doc_id").combine_chunks().take(pa.array(shard.doc[place])),
+            ids.take(pa.array(shard.doc[place])),
             pa.array((place - shard.begin[shard.doc[place]]).astype(np.int32)),
         ], names=["item_id", "n_words", "item_at", "doc_id", "doc_at"])
 
     found = None
     for tests in _blocks(benchmark, WINDOW):
-        part = _shards(rows, "_text", tests, schema, made)
+        part = _shards(rows, tests, schema, made)
         found = part if found is None else found.unionByName(part)
     best = F.struct((-F.col("n_words")).alias("size"), "item_at", "doc_id", "doc_at")
     return found.groupBy("item_id").agg(F.min(best).alias("best")).select(
