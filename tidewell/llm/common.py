@@ -38,6 +38,11 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one, whatever their names."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once, however often ``body`` uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import bounded_batches, text_id, written
+from tidewell.llm.common import bounded_batches, text_id, whole_row, written
 from tidewell.llm.components import components
 from tidewell.plans.tables import table
 
@@ -293,7 +293,7 @@ def _hub_edges(buckets: DataFrame, classes: DataFrame) -> DataFrame:
 def unique_documents(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that near_duplicates does not keep; columns unchanged."""
     gone = written(near_duplicates(docs).where(~F.col("kept")).select("id").distinct(), "minhash-gone")
-    rows = docs.select(F.struct(*docs.columns).alias("_row"),
+    rows = docs.select(whole_row(docs).alias("_row"),
                        text_id(F.col("doc_id"), F.col("text")).alias("_id"))
     return rows.join(gone, F.col("_id") == F.col("id"), "left_anti").select("_row.*")
 
@@ -312,7 +312,7 @@ def single_documents(docs: DataFrame) -> DataFrame:
     gone = counts.join(chosen, ["group", "id"], "left_anti").select("id")
     repeated = written(counts.join(chosen, ["group", "id"], "left_semi").where("n > 1").select("id"),
                        "minhash-repeated")
-    rows = docs.select(F.struct(*docs.columns).alias("_row"),
+    rows = docs.select(whole_row(docs).alias("_row"),
                        text_id(F.col("doc_id"), F.col("text")).alias("_id"))
     own = F.col("_id") == F.col("id")
     single = rows.join(written(gone.union(repeated), "minhash-gone"), own, "left_anti")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewell.llm.common import text_id, word_count, written
+from tidewell.llm.common import text_id, whole_row, word_count, written
 from tidewell.plans.tables import table
 from tidewell.sources.ids import assign_ids
 
@@ -106,18 +106,22 @@ def mix_plan(measured: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataF
     )
     in_edge = placed.join(
         ranges, F.col("source").eqNullSafe(F.col("_s")) & (F.col("bucket") == F.col("edge")))
-    # The frame takes in all equal rows, so these are chosen together or not at all.
+    # Rows equal in id, source and text count as copies of one, of which any number is taken.
     in_order = Window.partitionBy("source").orderBy("_key", "_tie")
-    peers = Window.partitionBy("source", "_key", "_tie")
+    words = F.col("_size") * F.col("_copies")
+    room = F.col("rest") - (F.col("before") + F.col("_upto") - words)
+    # The copy in which the budget ends is taken if that comes nearer to the budget.
+    nearest = F.when(F.col("_size") > 0, F.floor((2 * room + F.col("_size")) / (2 * F.col("_size"))))
+    taken = F.least("_copies", F.coalesce(nearest, F.when(room >= 0, F.col("_copies")).otherwise(0)))
     cut = (
-        in_edge.withColumn("_upto", F.col("before") + F.sum("_size").over(in_order))
-        .withColumn("_from", F.col("_upto") - F.sum("_size").over(peers))
-        # The row in which the budget ends is taken if that comes nearer to the budget.
-        .withColumn("_taken", F.col("_upto") + F.col("_from") <= 2 * F.col("rest"))
+        in_edge.groupBy("source", "edge", "before", "rest", "_key", "_tie", "_size")
+        .agg(F.count("*").alias("_copies"))
+        .withColumn("_upto", F.sum(words).over(in_order))
+        .withColumn("_taken", taken.cast("long"))
         .groupBy("source", "edge")
-        .agg(F.max(F.when(F.col("_taken"), F.struct("_key", "_tie"))).alias("_last"))
+        .agg(F.max(F.when(F.col("_taken") > 0, F.struct("_key", "_tie", "_taken"))).alias("_last"))
         .select(F.col("source").alias("_s"), "edge", F.col("_last._key").alias("last_key"),
-                F.col("_last._tie").alias("last_tie"))
+                F.col("_last._tie").alias("last_tie"), F.col("_last._taken").alias("last_copies"))
     )
     joined = plan.join(cut, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
     return written(joined, "mix-cut")
@@ -137,39 +141,69 @@ def on_source(rows: DataFrame, per_source: DataFrame) -> DataFrame:
 
 
 def times_taken() -> Column:
-    """Copies of a row in the mix: complete epochs, and one if the partial one has it."""
+    """Copies of a row in the mix: complete epochs, and one if the partial one has it.
+    Of rows that are the `last` of the partial one, `last_copies` have one more."""
     key, tie = F.col("_key"), F.col("_tie")
-    upto = (key < F.col("last_key")) | ((key == F.col("last_key")) & (tie <= F.col("last_tie")))
-    partial = (bucket() < F.col("edge")) | ((bucket() == F.col("edge")) & upto)
+    before = (key < F.col("last_key")) | ((key == F.col("last_key")) & (tie < F.col("last_tie")))
+    partial = (bucket() < F.col("edge")) | ((bucket() == F.col("edge")) & before)
     return F.col("epochs") + F.when(F.coalesce(partial, F.lit(False)), 1).otherwise(0)
 
 
+def is_last() -> Column:
+    """Whether a row is one of those in which its source's partial epoch ends."""
+    same = (F.col("_key") == F.col("last_key")) & (F.col("_tie") == F.col("last_tie"))
+    return F.coalesce(same, F.lit(False))
+
+
 def mix_report(docs: DataFrame, quality: Column | None = None) -> DataFrame:
     """What the mix takes of each document: ``doc_id, size, source_size, target, taken``.
 
-    Null text has size 0, a null source is a source of its own and comes last, rows equal
-    in id, source and text share a fate, an empty table gives no rows, and further columns
-    are ignored. Where no word is in any text, all targets are 0.
+    Null text has size 0, a null source is a source of its own and comes last, an empty table
+    gives no rows, and further columns are ignored. Rows equal in id, source and text are
+    copies, of which as many have an epoch more as the budget holds. Where no word is in any
+    text, all targets are 0.
     """
     kept = measure(docs.select("doc_id", "source", "text"), quality)
     measured = written(kept.drop("text"), "mix-measured")
-    return on_source(measured, mix_plan(measured)).select(
+    placed = on_source(measured, mix_plan(measured)).select(
         "doc_id", F.col("_size").alias("size"), "source_size", "target",
-        (F.col("_size") * times_taken()).cast("long").alias("taken"))
+        times_taken().cast("long").alias("_n"),
+        F.when(is_last(), F.col("last_copies")).alias("_more"))
+    # The last ones of a source are alike in all that is reported: counted, then told apart.
+    last = placed.where("_more is not null").groupBy(*placed.columns).agg(F.count("*").alias("_copies"))
+    numbered = last.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
+    last = numbered.withColumn("_n", F.col("_n") + (F.col("_copy") <= F.col("_more")).cast("long"))
+    rows = placed.where("_more is null").unionByName(last.drop("_copies", "_copy"))
+    return rows.select("doc_id", "size", "source_size", "target",
+                       (F.col("size") * F.col("_n")).cast("long").alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, quality: Column | None = None) -> DataFrame:
     """The mix itself: each document's row as often as it is taken, columns unchanged.
 
-    Texts are not moved: the plan has one row per source, and each row decides by its key.
+    Texts are not moved: the plan has one row per source, and each row decides by its key. Only
+    copies in which a source's partial epoch ends are numbered, in the order of a hash of all
+    their columns, over the cluster.
     """
     measured = written(
         measure(docs.select("doc_id", "source", "text"), quality).drop("text"), "mix-measured")
     plan = mix_plan(measured).withColumnRenamed("source", "_source")
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "source", "text")
+    rows = docs.select(whole_row(docs).alias("_whole"), "doc_id", "source", "text")
     joined = measure(rows, quality).join(plan, F.col("source").eqNullSafe(F.col("_source")))
-    copies = joined.select("_row", times_taken().cast("int").alias("_n")).where("_n > 0")
-    return copies.select("_row", F.explode(F.sequence(F.lit(1), "_n"))).select("_row.*")
+    taken = joined.select(
+        "_whole", "_source", times_taken().cast("long").alias("_times"),
+        F.when(is_last(), F.col("last_copies")).alias("_more"))
+    last = written(taken.where("_more is not null"), "mix-last")
+    # Rows alike in all columns are interchangeable, so any order among them will do.
+    number = assign_ids(
+        last.withColumn("_any", F.monotonically_increasing_id()), "_at",
+        order_by=("_source", F.xxhash64(F.to_json("_whole")), "_any"))
+    first = number.groupBy(F.col("_source").alias("_s")).agg(F.min("_at").alias("_first"))
+    number = number.join(first, F.col("_source").eqNullSafe(F.col("_s")))
+    last = number.withColumn("_times", F.col("_times") + (F.col("_at") - F.col("_first") < F.col("_more")).cast("long"))
+    rows = taken.where("_more is null").select("_whole", "_times").unionByName(last.select("_whole", "_times"))
+    return rows.where("_times > 0").select(
+        "_whole", F.explode(F.sequence(F.lit(1).cast("long"), "_times"))).select("_whole.*")
 
 
 def op2_mixing(spark, sf_dir: str) -> DataFrame:
@@ -211,11 +245,10 @@ e AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM t),
 c AS (
   SELECT k.*, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size AS rest,
-         sum(size) OVER (PARTITION BY k.source ORDER BY key, tie) AS upto,
-         sum(size) OVER (PARTITION BY k.source, key, tie) AS own
+         sum(size) OVER (PARTITION BY k.source ORDER BY key, tie ROWS UNBOUNDED PRECEDING) AS upto
   FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source)
 SELECT doc_id, size, source_size, target,
-       CAST(size * (epochs + CASE WHEN rest > 0 AND 2 * upto - own <= 2 * rest THEN 1 ELSE 0 END)
+       CAST(size * (epochs + CASE WHEN rest > 0 AND 2 * upto - size <= 2 * rest THEN 1 ELSE 0 END)
             AS BIGINT) AS taken
 FROM c
 """

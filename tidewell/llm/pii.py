@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import let, text_id, written
+from tidewell.llm.common import let, text_id, whole_row, written
 from tidewell.llm.spans import counted, described, labelled, matches, overwritten
 from tidewell.plans.tables import table
 
@@ -219,7 +219,7 @@ def sanitised(docs: DataFrame) -> DataFrame:
     entities = find_entities(docs)
     added = written(term_spans(entities, revealing_terms(docs, entities)), "pii-terms")
     rows = docs.select(
-        F.struct(*docs.columns).alias("_row"), "text",
+        whole_row(docs).alias("_row"), "text",
         text_id(F.col("doc_id"), F.col("text")).alias("_key"),
         base_spans(F.coalesce(F.col("text"), F.lit(""))).alias("_base"))
     # Rows without an entity can't have terms. They don't take part in the join's skew:
@@ -229,7 +229,7 @@ def sanitised(docs: DataFrame) -> DataFrame:
     spans = F.concat("_base", labelled(terms, len(PATTERNS), "term"))
     clean = joined.select("_row", overwritten(F.col("text"), spans, _label).alias("_clean"))
     return clean.select(*[
-        F.col("_clean").alias(c) if c == "text" else F.col("_row")[c].alias(c)
+        F.col("_clean").alias(c) if c == "text" else F.col("_row").getField(c).alias(c)
         for c in docs.columns])
 
 

@@ -214,7 +214,7 @@ def quality_model(docs: DataFrame, labels: DataFrame):
     def measured(text: pd.Series) -> pd.Series:
         return text.map(lambda t: features(t, vectors))
 
-    rows = texts_of(docs, sample).groupBy("doc_id", "quality").agg(F.first("text").alias("text"))
+    rows = texts_of(docs, sample).groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
     found = rows.select("doc_id", F.col("quality").cast("double").alias("quality"),
                         measured("text").alias("x")).toArrow()
     order = np.argsort(found["doc_id"].to_numpy(), kind="stable")

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import bounded_batches
+from tidewell.llm.common import bounded_batches, whole_row
 from tidewell.llm.folds import fold, sampled_ids, texts_of
 from tidewell.plans.tables import table
 
@@ -163,7 +163,7 @@ def toxicity_model(docs: DataFrame, labels: DataFrame):
         return text.map(word_buckets)
 
     def sets(sample):
-        rows = texts_of(docs, sample).groupBy("doc_id").agg(F.first("text").alias("text"))
+        rows = texts_of(docs, sample).groupBy("doc_id").agg(F.min("text").alias("text"))
         found = rows.select("doc_id", buckets("text").alias("words")).toArrow()
         order = np.argsort(found["doc_id"].to_numpy(), kind="stable")
         return [found["words"][int(i)].values.to_numpy() for i in order]
@@ -197,7 +197,7 @@ def with_toxicity(docs: DataFrame, labels: DataFrame, name: str = "score") -> Da
 
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without those called toxic; columns unchanged."""
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text")
+    rows = docs.select(whole_row(docs).alias("_row"), "doc_id", "text")
     return with_toxicity(rows, labels).where(F.col("score") < LIMIT).select("_row.*")
 
 
