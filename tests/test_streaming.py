@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tidewell.operators.buckets import read_buckets
 from tidewell.operators.detect import anomaly_batch, velocity_batch
 from tidewell.session import new_dir
 from tidewell.sources.files import parquet_stream
@@ -323,13 +324,13 @@ def test_agents_are_independent_and_alerts_are_forwarded(spark):
 @pytest.mark.parametrize("split_rows", [50, 2_000_000])
 def test_carried_anomalies_equal_batch(spark, split_rows):
     df, out, state = sorted_payments(spark), new_dir(spark, "out"), new_dir(spark, "state")
-    sink = carried.anomaly_sink(out, state, split_rows=split_rows)
+    sink = carried.anomaly_sink(out, state, split_rows=split_rows, buckets=4)
     for number, part in enumerate(in_parts(df, 4)):
         for _ in range(1 + number % 2):  # every other batch twice, as after a failure
             sink(part, number)
     columns = ["user_id", "id", "history_n", "history_avg", "is_anomaly"]
     assert rows(read_batches(spark, out).select(*columns)) == rows(anomaly_batch(df).select(*columns))
-    kept = spark.read.parquet(f"{state}/delta/batch=3").groupBy("user_id").count()
+    kept = read_buckets(spark, f"{state}/users").groupBy("user_id").count()
     assert kept.agg(F.max("count")).first()[0] == 50
 
 

@@ -8,7 +8,7 @@ import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from tidewell.operators import buckets, cdc, rollup
+from tidewell.operators import buckets, cdc, manifest, rollup
 from tidewell.session import folder_bytes, new_dir
 from tidewell.sources.files import parquet_stream
 from tidewell.streaming import late, segments
@@ -149,7 +149,7 @@ def test_segments_roll_by_age_merge_when_small_and_repeat(spark):
 
 
 def test_manifest_is_folded(spark, monkeypatch):
-    monkeypatch.setattr(segments, "FOLD_EVERY", 3)
+    monkeypatch.setattr(manifest, "FOLD_EVERY", 3)
     target = new_dir(spark, "segments")
     sink = segments.segment_sink(target, "at", 3_000)
     for batch in range(9):
@@ -290,3 +290,27 @@ def test_bucketed_mirror_of_a_stream_reads_without_merging(spark):
     mirror = cdc.read_bucketed_mirror(spark, target)
     assert rows(mirror) == [(2, "B")]
     assert "Exchange" not in plan(mirror) and "Aggregate" not in plan(mirror)
+
+
+def test_a_detector_carries_on_the_users_of_a_batch_only(spark):
+    """Bytes written per batch follow its users, however many there have been."""
+    from tidewell.streaming import carried
+
+    out, state = new_dir(spark, "out"), new_dir(spark, "state")
+    sink = carried.anomaly_sink(out, state, buckets=32)
+    schema = "id long, user_id int, amount double, created_at timestamp"
+
+    def batch(number, users):
+        rows = spark.range(len(users) * 20).select(
+            (F.col("id") + number * 10**6).alias("id"),
+            F.element_at(F.array(*map(F.lit, users)), (F.col("id") % len(users) + 1).cast("int")).alias("user_id"),
+            (F.col("id") % 9 + 1.5).alias("amount"),
+            F.timestamp_seconds(F.col("id") + number * 100_000).alias("created_at"))
+        sink(spark.createDataFrame(rows.collect(), schema), number)
+        return written_bytes(spark, f"{state}/users", number)
+
+    first = batch(0, list(range(200)))
+    later = [batch(number, [number, 500 + number]) for number in range(1, 6)]
+    assert max(later) < first / 4
+    got = read_batches(spark, out).filter("batch > 0 and user_id < 500")
+    assert got.agg(F.min("history_n"), F.max("history_n")).first()[:] == (20, 39)

@@ -13,6 +13,7 @@ table is a few hundred megabytes at most.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -110,6 +111,26 @@ def read_buckets(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(*_paths(target, manifest))
 
 
+def read_of_keys(
+    rows: DataFrame, target: str, keys: list[str], batch_id: int, buckets: int = BUCKETS
+) -> DataFrame | None:
+    """What the table held before a batch for the keys of ``rows``, or None if nothing yet.
+
+    Only the buckets of these keys are opened.
+    """
+    spark = rows.sparkSession
+    manifest = _manifest(spark, target, batch_id)
+    wanted = rows.select(*keys).distinct()
+    touched = wanted.select(bucket_of(keys, buckets).alias("b")).distinct().toArrow()["b"].to_pylist()
+    own = {k: manifest[k] for k in touched if k in manifest}
+    if not own:
+        return None
+    held = spark.read.parquet(*_paths(target, own))
+    named = wanted.toDF(*[f"_key{i}" for i in range(len(keys))])
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
+    return held.join(named, functools.reduce(lambda a, b: a & b, same), "left_semi")
+
+
 def read_changes(spark: SparkSession, target: str) -> DataFrame:
     """The reduced rows of the newest batch."""
     last = complete(spark, f"{target}/manifest")[-1]

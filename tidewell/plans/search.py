@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.operators import search
+from tidewell.operators import index_levels, search
 from tidewell.operators.aggregates import topk_groups
 from tidewell.plans.tables import table
 from tidewell.session import new_dir
@@ -78,11 +78,23 @@ def text_index_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_source(search.text_match_indexed(docs, index, "doc_id", TERM))
 
 
+def text_index_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents indexed in levels, of which the last micro-batch merges one; then searched."""
+    out, checkpoints = scratch(spark, "index-levels")
+    docs = table(spark, sf_dir, "documents")
+    arriving = in_order_of(docs, "doc_id", new_dir(spark, "documents-in-order"))
+    sink = index_levels.leveled_index_sink("doc_id", "text", out)
+    run_to_end(start_query(arriving, "index_levels", sink, checkpoints))
+    docs = table(spark, sf_dir, "documents").filter("lang = 'en'")
+    return _by_source(index_levels.match_by_blocks(docs, out, "doc_id", TERM))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         like_group_count, filter_eq_contains, filter_in_contains, text_match_scan,
         build_text_index, text_match_indexed, text_index_stream,
+        text_index_levels,
     )
 }
 
@@ -108,6 +120,7 @@ ORACLE = {
     "text_match_scan": _TOKEN_MATCH,
     "text_match_indexed": _TOKEN_MATCH,
     "text_index_stream": _TOKEN_MATCH,
+    "text_index_levels": _TOKEN_MATCH,
     "build_text_index": """
         SELECT term, count(*) AS doc_count, CAST(sum(tf) AS BIGINT) AS term_count FROM (
             SELECT doc_id, term, count(*) AS tf FROM (

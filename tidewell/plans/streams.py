@@ -213,7 +213,8 @@ def anomaly_stream_carried(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same judgements by the batch operator, in micro-batches as large as the cluster."""
 
     def sink_of(out: str, state: str):
-        return carried.anomaly_sink(out, state, "user_id", "value", "ts", "event_id", floor=FLOOR)
+        return carried.anomaly_sink(
+            out, state, "user_id", "value", "ts", "event_id", buckets=16, floor=FLOOR)
 
     return _carried(spark, sf_dir, sink_of, "anomaly-carried")
 
@@ -358,7 +359,7 @@ def agents_from_one_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ("user_id", "value", "ts", "event_id")
     sinks = {
         "anomaly": carried.anomaly_sink(
-            f"{out}/anomaly", f"{out}/anomaly-state", *columns, floor=FLOOR),
+            f"{out}/anomaly", f"{out}/anomaly-state", *columns, buckets=16, floor=FLOOR),
         "velocity": carried.velocity_sink(
             f"{out}/velocity", f"{out}/velocity-state", *columns, FRAME, high_amount=HIGH_VALUE),
     }

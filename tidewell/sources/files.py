@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType, TimestampNTZType, TimestampType
 
-from tidewell.session import data_files, estimated_bytes, is_file, set_changed
+from tidewell.session import changed_at, data_files, estimated_bytes, is_file, set_changed
 
 SLICE_BYTES = 512 * 1024 * 1024  # of a table in one micro-batch of a replay
 
@@ -105,7 +105,8 @@ def in_order_of(
     A replay then meets its rows in order of ``ts``, whatever the order and number of
     files that the table came in, and carries state from slice to slice. There are at least
     ``slices``, more for a large table. Rows of one time are in one slice. A stream of
-    files goes by their times of change, which are set to follow the slices.
+    files goes by their times of change, which are set to follow the slices; storage that
+    does not keep them, as object stores, raises.
     """
     spark = df.sparkSession
     n = max(slices, -(-(estimated_bytes(df) or 0) // slice_bytes))
@@ -117,5 +118,8 @@ def in_order_of(
     finally:
         spark.conf.set(coalescing, earlier)
     for i, name in enumerate(data_files(spark, path)):
-        set_changed(spark, f"{path}/{name}", 1_000_000_000_000 + 1000 * i)
+        millis = 1_000_000_000_000 + 1000 * i
+        set_changed(spark, f"{path}/{name}", millis)
+        if changed_at(spark, f"{path}/{name}") != millis:
+            raise OSError(f"the storage of {path} keeps no times that are set, so slices have no order")
     return parquet_stream(spark, path, max_files=1, schema=_with_instants(df.schema))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import rules
 from tidewell.functions.times import duration_micros, micros
+from tidewell.operators.buckets import BUCKETS, merge_batch, read_of_keys
 from tidewell.operators.deltas import write_delta
 from tidewell.operators.detect import anomaly_batch, velocity_batch
 from tidewell.session import path_exists, remove_dir
@@ -61,23 +62,37 @@ def anomaly_sink(
     ts: str = "created_at",
     id_col: str = "id",
     history: int = rules.HISTORY,
+    buckets: int = BUCKETS,
     **rule,
 ) -> Callable[[DataFrame, int], None]:
     """`anomaly_batch` on a stream; ``rule`` are its other options.
 
-    Carried on are each user's last ``history`` rows. Spark finds them per task
-    before the shuffle, so a user of many rows sends few.
+    Carried on are each user's last ``history`` rows, in buckets of users. A batch reads those of
+    its own users and rewrites their buckets; other users', however many there have ever
+    been, are not touched. Spark finds the last rows per task before the shuffle, so a user of
+    many rows sends few. ``buckets`` stays for the life of the state.
     """
+    columns = [user, id_col, ts, amount]
     last = Window.partitionBy(user).orderBy(F.desc(ts), F.desc(id_col))
 
     def carry(rows: DataFrame) -> DataFrame:
-        ranked = rows.withColumn("_last", F.row_number().over(last))
+        ranked = rows.select(*columns).withColumn("_last", F.row_number().over(last))
         return ranked.filter(F.col("_last") <= history).drop("_last")
 
-    def judge(rows: DataFrame) -> DataFrame:
-        return anomaly_batch(rows, user, amount, (ts, id_col), history, **rule)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        copy = f"{state}/rows/{batch_id % 2}"
+        batch.select(*columns).write.mode("overwrite").parquet(copy)
+        new = spark.read.parquet(copy)
+        held = read_of_keys(new, f"{state}/users", [user], batch_id, buckets)
+        rows = new.withColumn("_new", F.lit(True))
+        if held is not None:
+            rows = rows.unionByName(held.select(*columns, F.lit(False).alias("_new")))
+        judged = anomaly_batch(rows, user, amount, (ts, id_col), history, **rule)
+        write_delta(judged.filter("_new").drop("_new"), target, batch_id)
+        merge_batch(new, f"{state}/users", [user], carry, batch_id, buckets)
 
-    return carrying_sink(target, state, [user, id_col, ts, amount], judge, carry)
+    return write
 
 
 def velocity_sink(

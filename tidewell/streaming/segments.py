@@ -20,23 +20,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.times import duration_micros
-from tidewell.operators.deltas import complete, fold, part_paths, write_delta
+from tidewell.operators.deltas import complete
+from tidewell.operators.manifest import commit, entries, fold_now_and_then
 from tidewell.session import changed_at, folder_bytes, path_exists, remove_dir
 
 SEGMENT_BYTES = 50 * 1024 * 1024
 SEGMENT_AGE = "24 hours"
-FOLD_EVERY = 50  # rolls whose entries are folded into one part of the manifest
 
-# An entry of the manifest. ``upto`` is the last batch whose rows are in closed segments.
-ENTRY = ("path string, present boolean, commit long, upto long, file_rows long,"
-         " file_bytes long, min_at long, max_at long")
-
-
-def _merged_entries(entries: DataFrame) -> DataFrame:
-    """The last entry of each file; those of removed files go."""
-    values = [c for c in entries.columns if c != "path"]
-    last = entries.groupBy("path").agg(F.max_by(F.struct(*values), "commit").alias("_v"))
-    return last.select("path", "_v.*").filter("present OR path = ''")
+# What the manifest says of a file. ``upto`` is the last batch whose rows are in closed segments.
+EXTRA = "upto long, file_rows long, file_bytes long, min_at long, max_at long"
 
 
 def manifest(spark: SparkSession, target: str) -> DataFrame:
@@ -46,11 +38,7 @@ def manifest(spark: SparkSession, target: str) -> DataFrame:
 
 
 def _entries(spark: SparkSession, target: str, before: int | None = None) -> DataFrame:
-    paths, _ = part_paths(spark, f"{target}/manifest")
-    if not paths:
-        return spark.createDataFrame([], ENTRY)
-    entries = spark.read.schema(ENTRY).parquet(*paths)
-    return _merged_entries(entries if before is None else entries.filter(F.col("commit") < before))
+    return entries(spark, f"{target}/manifest", EXTRA, before)
 
 
 def _upto(spark: SparkSession, target: str, before: int | None = None) -> int:
@@ -111,31 +99,20 @@ def segment_sink(
             gone = small.select("path").toArrow()["path"].to_pylist()
             rows, size = rows.unionByName(spark.read.parquet(*gone)), size + small_bytes
         made = _write_segments(rows, ts, f"{target}/segments/batch={batch_id}", size, segment_bytes)
-        added = made.withColumns({"present": F.lit(True), "commit": F.lit(batch_id).cast("long"),
-                                  "upto": F.lit(None).cast("long")})
-        marks = spark.createDataFrame(
-            [("", True, batch_id, batch_id, None, None, None, None),
-             *((p, False, batch_id, None, None, None, None, None) for p in gone)], ENTRY)
-        entries = marks.unionByName(added).coalesce(1)
-        write_delta(entries, f"{target}/manifest", batch_id)
+        mark = spark.createDataFrame([("", batch_id, *[None] * 4)], f"path string, {EXTRA}")
+        added = made.withColumn("upto", F.lit(None).cast("long")).unionByName(mark)
+        commit(added, gone, f"{target}/manifest", batch_id, EXTRA)
         _clean(spark, target, upto)
 
     return write
 
 
 def _clean(spark: SparkSession, target: str, upto: int) -> None:
-    """Removes open folders of earlier rolls, and folds the manifest now and then."""
+    """Removes open folders of earlier rolls."""
     for b in complete(spark, f"{target}/open"):
         if b <= upto:
             remove_dir(spark, f"{target}/open/batch={b}")
-    deltas = complete(spark, f"{target}/manifest/delta")
-    bases = complete(spark, f"{target}/manifest/base")
-    if len([b for b in deltas if not bases or b > bases[-1]]) > FOLD_EVERY:
-        fold(spark, f"{target}/manifest", lambda parts: _merged_entries(parts).coalesce(1))
-        for b in complete(spark, f"{target}/manifest/delta")[:-FOLD_EVERY]:
-            remove_dir(spark, f"{target}/manifest/delta/batch={b}")
-        for b in bases:
-            remove_dir(spark, f"{target}/manifest/base/upto={b}")
+    fold_now_and_then(spark, f"{target}/manifest")
 
 
 def roll(spark: SparkSession, target: str, ts: str, segment_bytes: int = SEGMENT_BYTES) -> None:
