@@ -4,11 +4,15 @@ import gzip
 import hashlib
 import os
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -184,10 +188,76 @@ def test_quality_on_held_out_labels(spark):
     assert quality.with_quality(docs.limit(0), labels).count() == 0
 
 
-def test_word_vectors_follow_contexts():
-    ids = quality.buckets(["a", "b", "c"])
-    around = quality.contexts(ids)
-    assert (around[0] == quality.INDEX[ids[1]].astype(int) + quality.INDEX[ids[2]]).all()
+def plain_words(text):
+    return re.findall(r"[0-9A-Za-z_\x80-\U0010ffff]+|[^0-9A-Za-z_\x80-\U0010ffff\s]+", text or "")
+
+
+def plain_index(word):
+    h, vector = xxhash.xxh64_intdigest(word.encode()), np.zeros(quality.WIDTH)
+    for k in range(quality.NONZERO):
+        bits = h >> 16 * k
+        vector[bits % quality.WIDTH] += 1 if bits & 1 << 12 else -1
+    return vector
+
+
+QUALITY_TEXTS = [
+    "Ein Wort, ein ein WORT!! é𝄞 _x 日本 (a) a a a", None, "", " \n", "...", "one", "one two", "ALL CAPS x1 X1 ?!? ?!",
+    "the cat and the dog and the cat " * 9, "é", "\x1c sep\x1fsep", "rare unseen words here",
+]
+
+
+@pytest.mark.parametrize("cut", [1 << 17, 3])
+def test_word_vectors_and_features_are_those_of_brute_force(spark, monkeypatch, cut):
+    monkeypatch.setattr(quality, "SLICE", cut)
+    monkeypatch.setattr(quality, "VOCABULARY", 12)
+    monkeypatch.setattr(quality, "CHUNK_BYTES", 40 if cut == 3 else 1 << 22)
+    texts = QUALITY_TEXTS * 2
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    counts = Counter(w for t in texts for w in plain_words(t))
+    frequent = sorted(counts, key=lambda w: (-counts[w], w.encode()))[:12]
+    sums = {w: np.zeros(quality.WIDTH) for w in frequent}
+    for text in texts:
+        words = plain_words(text)
+        for i, w in enumerate(words):
+            if w in sums:
+                for j in range(max(0, i - 2), min(len(words), i + 3)):
+                    sums[w] += plain_index(words[j]) if j != i else 0
+    vectors = quality.word_vectors(docs)
+    assert [w.decode() for w in vectors.vocabulary.to_pylist()] == frequent
+    wanted = quality.WordVectors(vectors.vocabulary, np.array([sums[w] for w in frequent]))
+    assert np.allclose(vectors.vectors, wanted.vectors, atol=1e-6)
+
+    own = dict(zip(frequent, wanted.vectors.astype(float)))
+    got = quality.features(pa.array(QUALITY_TEXTS), vectors)
+    for text, x in zip(QUALITY_TEXTS, got, strict=True):
+        words = plain_words(text)
+        n = len(words)
+        if not n:
+            assert not x.any()
+            continue
+        v = np.array([own.get(w, plain_index(w) / max(np.linalg.norm(plain_index(w)), 1e-9)) for w in words])
+        plain = [len(set(words)) / n, np.log1p(n) / 10,
+                 sum(a == b for a, b in zip(words, words[1:])) / max(n - 1, 1),
+                 sum(len(w) > 1 and w.isupper() for w in words) / n,
+                 sum(re.match(r"[!-/:-@\[-^`{-~\x00-\x1f]", w) is not None for w in words) / n,
+                 sum(map(len, words)) / n / 10]
+        assert np.allclose(x, [*v.mean(axis=0), *v.std(axis=0), *plain], atol=1e-5), text
+
+
+def test_every_word_has_its_own_vector_and_long_texts_count_words():
+    names = pa.array([f"w{i}".encode() for i in range(3000)])
+    assert len(np.unique(quality.index_vectors(names), axis=0)) > 2950
+    none = quality.WordVectors(pa.array([], pa.binary()), np.zeros((0, quality.WIDTH)))
+    x = quality.features(pa.array([" ".join(f"w{i}" for i in range(n)) for n in (100, 5_000, 50_000)]), none)
+    assert (x[:, 2 * quality.WIDTH] == 1).all()
+
+
+def test_labelled_ids_with_several_texts_are_learnt_from_alike(spark):
+    rows = [(i % 40, f"good words {i % 7} of prose" if i % 2 else "bad bad !!! bad") for i in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    a, b = (sorted(map(tuple, quality.with_quality(d, labels).collect())) for d in (docs, docs.orderBy(F.rand(5))))
+    assert a == b
 
 
 def test_pipeline_stages(spark):

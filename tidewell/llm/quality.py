@@ -2,141 +2,209 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import bounded_batches, written
 from tidewell.llm.folds import fold, sampled_ids, texts_of
+from tidewell.llm.words import Words, byte_class, chunks, split
 from tidewell.plans.tables import table
+from tidewell.session import ship_package
 
 FOLDS, HELD_OUT = 4, 2
 LABELLED = 8_000  # documents learnt from, at most
-BUCKETS = 1 << 14  # of token hashes, each with a vector
+VOCABULARY = 1 << 15  # most frequent words of the corpus, whose contexts make their vectors
 WIDTH, NONZERO = 32, 4  # of a random index vector
-WINDOW = 2  # tokens on each side that make a context
-CHUNK = 1 << 15  # tokens taken at a time
+WINDOW = 2  # words on each side that make a context
+CHUNK_BYTES = 1 << 22  # of text taken at a time, and one text more
+SLICE = 1 << 17  # words whose vectors are in memory at a time
 HIDDEN, STEPS, RATE, DECAY = 16, 600, 0.01, 1e-3
 VALIDATION = 5  # every so many-th labelled document calibrates the temperature
 LIMIT = 0.7
-TOKEN = re.compile(r"\w+|[^\w\s]+")
+# Words are runs of ASCII letters, digits and low lines and of all characters beyond
+# ASCII; runs of other signs than white space are words too.
+SPACE, SIGN = 0, 2
+KINDS = np.full(256, SIGN, np.uint8)
+KINDS[byte_class((0x30, 0x39), (0x41, 0x5A), (0x5F, 0x5F), (0x61, 0x7A), (0x80, 0xFF))] = 1
+KINDS[byte_class((0x09, 0x0D), (0x1C, 0x20))] = SPACE
 SURFACE = 6  # features of a document beside its vectors
 
 
-def _index_vectors() -> np.ndarray:
-    """Sparse random vectors of -1, 0 and 1, one per bucket; the last row is no token."""
-    rng = np.random.default_rng(7)
-    vectors = np.zeros((BUCKETS + 1, WIDTH), np.int8)
-    for row in vectors[:BUCKETS]:
-        row[rng.choice(WIDTH, NONZERO, replace=False)] = rng.choice([-1, 1], NONZERO)
-    return vectors
-
-
-INDEX = _index_vectors()
+def words_of(texts: pa.Array) -> Words:
+    """Words and runs of other signs of whole texts, case kept."""
+    return split(texts, KINDS, lower=False)
 
 
-def tokens(text: str | None) -> list[str]:
-    """Words and runs of other signs of a whole text, case kept."""
-    return TOKEN.findall(text or "")
-
-
-def buckets(words: list[str]) -> np.ndarray:
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    return (hashes % np.uint64(BUCKETS)).astype(np.int64)
+def index_vectors(words: pa.Array) -> np.ndarray:
+    """The sparse random vector of each word, NONZERO times 1 or -1 at places that its own hash
+    gives. No table of words is needed, and each word has its own."""
+    values = words.cast(pa.large_binary()).to_pylist()
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, values), np.uint64, len(values))
+    vectors = np.zeros((len(values), WIDTH), np.int8)
+    rows = np.arange(len(values))
+    for k in range(NONZERO):
+        bits = hashes >> np.uint64(16 * k)
+        place = (bits % np.uint64(WIDTH)).astype(np.int64)
+        np.add.at(vectors, (rows, place), np.where(bits & np.uint64(1 << 12), 1, -1).astype(np.int8))
+    return vectors
 
 
-def contexts(ids: np.ndarray) -> np.ndarray:
-    """For each token, the sum of its neighbours' index vectors."""
-    own = INDEX[ids]
-    around = np.zeros((len(ids), WIDTH), np.int64)
-    for d in range(1, WINDOW + 1):
-        around[d:] += own[:-d]
-        around[:-d] += own[d:]
+def contexts(codes: np.ndarray, text: np.ndarray, index: np.ndarray, low: int, high: int) -> np.ndarray:
+    """For each word from ``low`` to ``high``, the sum of its neighbours' index vectors in its
+    own text. Neighbours may stand outside of that range."""
+    around = np.zeros((high - low, WIDTH), np.int16)
+    here = np.arange(low, high)
+    for d in (*range(-WINDOW, 0), *range(1, WINDOW + 1)):
+        there = np.clip(here + d, 0, len(codes) - 1)
+        same = (here + d >= 0) & (here + d < len(codes)) & (text[there] == text[here])
+        around += index[codes[there]] * same[:, None].astype(np.int8)
     return around
 
 
-def _summed(batches):
-    """One task's texts to context sums per bucket. Memory is that of the buckets, and sums
-    are whole numbers, so the order of tasks doesn't matter."""
-    sums, counts = np.zeros((BUCKETS, WIDTH), np.int64), np.zeros(BUCKETS, np.int64)
-    gap = np.full(WINDOW, BUCKETS)  # keeps documents out of each other's contexts
-
-    def add(parts):
-        ids = np.concatenate(parts)
-        order = np.argsort(ids, kind="stable")
-        ranked = ids[order]
-        first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
-        found = np.add.reduceat(contexts(ids)[order], first, axis=0)
-        real = ranked[first] < BUCKETS
-        sums[ranked[first][real]] += found[real]
-        np.add(counts, np.bincount(ids, minlength=BUCKETS + 1)[:BUCKETS], out=counts)
-
-    for batch in batches:
-        held, size = [], 0
-        for text in batch.column("text"):
-            ids = buckets(tokens(text.as_py()))
-            # A long text is cut; its pieces share the tokens at the cut only as neighbours
-            # on one side, which is a context short of a window in CHUNK tokens.
-            for start in range(0, len(ids), CHUNK):
-                held += [ids[start:start + CHUNK], gap]
-                size += len(held[-2])
-                if size >= CHUNK:
-                    add(held)
-                    held, size = [], 0
-        if held:
-            add(held)
-    used = np.flatnonzero(counts)
-    vectors = pa.ListArray.from_arrays(
-        pa.array(np.arange(len(used) + 1, dtype=np.int32) * WIDTH), pa.array(sums[used].ravel()))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(used), pa.array(counts[used]), vectors], names=["bucket", "n", "vec"])
-
-
-def word_vectors(docs: DataFrame) -> np.ndarray:
-    """A unit vector per bucket from its contexts in all documents; 2 MB, whatever the input.
-
-    Each task sends its sums once, and Spark adds them up per bucket.
+def _counted(batches):
+    """Each chunk's words with their counts."""
+    for rows in chunks(batches, "text", CHUNK_BYTES):
+        found = words_of(rows.column("text").combine_chunks())
+        counts = np.bincount(found.codes, minlength=len(found.distinct))
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays(
+            [found.distinct.take(pa.array(used)).cast(pa.binary()), pa.array(counts[used])], names=["word", "n"])
+
+
+def frequent_words(docs: DataFrame) -> pa.Array:
+    """The VOCABULARY most frequent words of all texts, of equal ones the first by their bytes."""
+    counts = docs.select("text").mapInArrow(_counted, "word binary, n long").groupBy("word").agg(
+        F.sum("n").alias("n"))
+    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).toArrow()
+    return top["word"].combine_chunks().cast(pa.binary())
+
+
+def _summed(vocabulary):
+    """One task's texts to context sums per vocabulary word. Memory is that of the vocabulary and
+    of a chunk, and sums are whole numbers, so the order of tasks doesn't matter."""
+    def run(batches):
+        known = vocabulary.value
+        sums, seen = np.zeros((len(known), WIDTH), np.int64), np.zeros(len(known), bool)
+        for rows in chunks(batches, "text", CHUNK_BYTES):
+            found = words_of(rows.column("text").combine_chunks())
+            if not len(found.codes):
+                continue
+            index, number = index_vectors(found.distinct), numbers(found.distinct, known)
+            text = np.repeat(np.arange(len(found.sizes)), found.sizes)
+            for low in range(0, len(found.codes), SLICE):
+                high = min(low + SLICE, len(found.codes))
+                own = number[found.codes[low:high]]
+                order = np.argsort(own, kind="stable")
+                order = order[own[order] >= 0]
+                ranked = own[order]
+                first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]][:len(ranked)])
+                if len(first):
+                    around = contexts(found.codes, text, index, low, high)[order]
+                    sums[ranked[first]] += np.add.reduceat(around, first, axis=0, dtype=np.int64)
+                    seen[ranked[first]] = True
+        used = np.flatnonzero(seen)
+        vectors = pa.ListArray.from_arrays(
+            pa.array(np.arange(len(used) + 1, dtype=np.int32) * WIDTH), pa.array(sums[used].ravel()))
+        yield pa.RecordBatch.from_arrays([pa.array(used), vectors], names=["word", "vec"])
+    return run
+
+
+def numbers(words: pa.Array, vocabulary: pa.Array) -> np.ndarray:
+    """The words' places in the vocabulary, -1 outside."""
+    places = pc.index_in(words.cast(pa.binary()), value_set=vocabulary)
+    return pc.fill_null(places, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+class WordVectors:
+    """Unit vectors of words: from their contexts in the vocabulary, else their index vector."""
+
+    def __init__(self, vocabulary: pa.Array, sums: np.ndarray):
+        self.vocabulary = vocabulary
+        vectors = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1)
+        # What all words share, their company of the most frequent ones, tells nothing.
+        used = vectors.any(axis=1)
+        if used.any():
+            vectors[used] -= vectors[used].mean(axis=0)
+        norms = np.linalg.norm(vectors, axis=1, keepdims=True)
+        self.vectors = (vectors / np.maximum(norms, 1e-9)).astype(np.float32)
+
+    def of(self, words: pa.Array) -> np.ndarray:
+        number = numbers(words, self.vocabulary)
+        own = index_vectors(words).astype(np.float32)
+        own /= np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-9)
+        inside = number >= 0
+        own[inside] = self.vectors[number[inside]]
+        return own
+
+
+def word_vectors(docs: DataFrame) -> WordVectors:
+    """Vectors of the frequent words from their contexts in all documents, 8 MB at most.
+
+    Each task sends its sums once, and Spark adds them up per word.
     """
-    parts = docs.select("text").mapInArrow(_summed, "bucket long, n long, vec array<long>")
+    vocabulary = frequent_words(docs)
+    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    parts = docs.select("text").mapInArrow(_summed(sent), "word long, vec array<long>")
     added = written(
-        parts.groupBy("bucket").agg(*[F.sum(F.col("vec")[i]).alias(f"v{i}") for i in range(WIDTH)]),
+        parts.groupBy("word").agg(*[F.sum(F.col("vec")[i]).alias(f"v{i}") for i in range(WIDTH)]),
         "quality-vectors").toArrow()
-    vectors = np.zeros((BUCKETS, WIDTH))
-    vectors[added["bucket"].to_numpy()] = np.column_stack(
+    sums = np.zeros((len(vocabulary), WIDTH))
+    sums[added["word"].to_numpy()] = np.column_stack(
         [added[f"v{i}"].to_numpy() for i in range(WIDTH)])
-    # What all words share, their company of the most frequent ones, tells nothing.
-    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1)
-    used = vectors.any(axis=1)
-    if used.any():
-        vectors[used] -= vectors[used].mean(axis=0)
-    return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-
-
-def features(text: str | None, vectors: np.ndarray) -> np.ndarray:
-    """A whole text's features: the mean and the spread of its tokens' vectors, and plain
-    measures of repetition, signs, case and length."""
-    words = tokens(text)
-    n = len(words)
-    if not n:
-        return np.zeros(2 * WIDTH + SURFACE)
-    ids = buckets(words)
-    total, squares = np.zeros(WIDTH), np.zeros(WIDTH)
-    for start in range(0, n, CHUNK):
-        part = vectors[ids[start:start + CHUNK]]
-        total += part.sum(axis=0)
-        squares += (part * part).sum(axis=0)
-    mean = total / n
-    distinct = len(np.unique(ids))
-    upper = sum(w.isupper() and len(w) > 1 for w in words)
-    signs = sum(not (w[0].isalnum() or w[0] == "_") for w in words)
-    plain = [distinct / min(n, BUCKETS), np.log1p(n) / 10, (ids[1:] == ids[:-1]).mean() if n > 1 else 0.0,
-             upper / n, signs / n, sum(map(len, words)) / n / 10]
-    return np.concatenate([mean, np.sqrt(np.maximum(squares / n - mean * mean, 0)), plain])
+    return WordVectors(vocabulary, sums)
+
+
+def features(texts: pa.Array, vectors: WordVectors) -> np.ndarray:
+    """Features of whole texts: the mean and the spread of their words' vectors, and plain
+    measures of repetition, signs, case and length. A text without words has zeros."""
+    found = words_of(texts)
+    x = np.zeros((len(found.sizes), 2 * WIDTH + SURFACE))
+    if not len(found.codes):
+        return x
+    own = vectors.of(found.distinct)
+    text = np.repeat(np.arange(len(found.sizes)), found.sizes)
+    total, squares = (np.zeros((len(found.sizes), WIDTH)) for _ in range(2))
+    for low in range(0, len(found.codes), SLICE):
+        part, of = own[found.codes[low:low + SLICE]].astype(np.float64), text[low:low + SLICE]
+        first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+        total[of[first]] += np.add.reduceat(part, first, axis=0)
+        squares[of[first]] += np.add.reduceat(part * part, first, axis=0)
+    n = np.maximum(found.sizes, 1)
+
+    def per_text(of_words: np.ndarray) -> np.ndarray:
+        return np.bincount(text, of_words[found.codes], len(n)) / n
+
+    names = found.distinct.cast(pa.string()).to_pylist()
+    upper = np.array([len(w) > 1 and w.isupper() for w in names], float)
+    signs = np.array([bool(w) and KINDS[ord(w[0])] == SIGN if w[:1].isascii() else False for w in names], float)
+    lengths = np.array([len(w) for w in names], float)
+    pairs = np.unique(text * len(names) + found.codes)
+    distinct = np.bincount(pairs // len(names), minlength=len(n))
+    again = (found.codes[1:] == found.codes[:-1]) & (text[1:] == text[:-1])
+    repeats = np.bincount(text[1:][again], minlength=len(n)) / np.maximum(n - 1, 1)
+    mean = total / n[:, None]
+    spread = np.sqrt(np.maximum(squares / n[:, None] - mean * mean, 0))
+    plain = [distinct / n, np.log1p(n) / 10, repeats, per_text(upper), per_text(signs), per_text(lengths) / 10]
+    x = np.column_stack([mean, spread, *plain])
+    x[found.sizes == 0] = 0
+    return x
+
+
+def _feature_parts(text: pd.Series, vectors: WordVectors):
+    """Features of a batch of texts, CHUNK_BYTES at a time."""
+    batch = pa.RecordBatch.from_arrays([pa.array(text, pa.string(), from_pandas=True)], names=["text"])
+    for rows in chunks(iter([batch]), "text", CHUNK_BYTES):
+        yield features(rows.column("text").combine_chunks(), vectors)
+
+
+def _in_parts(text: pd.Series, vectors: WordVectors):
+    for part in _feature_parts(text, vectors):
+        yield from part
 
 
 def sigmoid(x):
@@ -210,9 +278,11 @@ def quality_model(docs: DataFrame, labels: DataFrame):
     sample = sampled_ids(learnt, LABELLED, 3)
     vectors = word_vectors(docs)
 
+    sent = docs.sparkSession.sparkContext.broadcast(vectors)
+
     @F.pandas_udf("array<double>")
     def measured(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: features(t, vectors))
+        return pd.Series(list(_in_parts(text, sent.value)), index=text.index, dtype=object)
 
     rows = texts_of(docs, sample).groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
     found = rows.select("doc_id", F.col("quality").cast("double").alias("quality"),
@@ -228,21 +298,24 @@ def quality_model(docs: DataFrame, labels: DataFrame):
 def with_quality(docs: DataFrame, labels: DataFrame, name: str = "score") -> DataFrame:
     """``docs`` with the probability that a document is good, from its whole text.
 
-    Null and empty texts have the score of no tokens. Where the labels to learn from are of
-    one kind, that share is every score; without any it is 0.5. Rows and other columns stay.
+    Null and empty texts have the score of no words, texts of any length are taken whole.
+    Where the labels to learn from are of one kind, that share is every score; without any it is
+    0.5, as for an empty table. Rows and other columns stay, and repeated rows have equal scores;
+    of a labelled id with several texts the smallest is learnt from.
     """
+    ship_package(docs.sparkSession)
     bounded_batches(docs.sparkSession)
     vectors, network = quality_model(docs, labels)
     if isinstance(network, float):
         return docs.withColumn(name, F.lit(network))
-    # Vectors of 4 MB and a network of some thousand weights, whatever the input.
+    # Vectors of 8 MB at most and a network of some thousand weights, whatever the input.
     kept = docs.sparkSession.sparkContext.broadcast((vectors, network))
 
     @F.pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:
         own_vectors, own = kept.value
-        x = np.array([features(t, own_vectors) for t in text]).reshape(len(text), -1)
-        return pd.Series(own.probability(x))
+        parts = [own.probability(x) for x in _feature_parts(text, own_vectors)]
+        return pd.Series(np.concatenate(parts) if parts else [], dtype="float64")
 
     return docs.withColumn(name, score("text"))
 

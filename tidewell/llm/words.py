@@ -30,10 +30,12 @@ class Words(NamedTuple):
     pieces: np.ndarray  # of each word, how many breaks lie before it
 
 
-def split(texts: pa.Array, word: np.ndarray, breaks: np.ndarray | None = None) -> Words:
-    """Splits texts into maximal runs of ``word`` bytes, A-Z in lower case; null is empty.
+def split(texts: pa.Array, kinds: np.ndarray, breaks: np.ndarray | None = None,
+          lower: bool = True) -> Words:
+    """Splits texts into maximal runs of bytes of one kind, those of kind 0 (False) left out;
+    with ``lower``, A-Z in lower case. Null is empty.
 
-    All bytes beyond ASCII must be of one class, so that no character is cut. Words and gaps
+    All bytes beyond ASCII must be of one kind, so that no character is cut. Words and gaps
     between them are neighbouring values of one Arrow array on the texts' own bytes, whose
     dictionary encoding tells them apart exactly, without an object per word.
     """
@@ -43,15 +45,15 @@ def split(texts: pa.Array, word: np.ndarray, breaks: np.ndarray | None = None) -
     empty = np.zeros(0, np.int64)
     if not n or offsets[0] == offsets[-1]:
         return Words(empty, pa.array([], pa.binary()), np.zeros(n, np.int64), empty)
-    raw = LOWER[np.frombuffer(buffers[2], np.uint8)[offsets[0]:offsets[-1]]]
+    raw = np.frombuffer(buffers[2], np.uint8)[offsets[0]:offsets[-1]]
+    raw = LOWER[raw] if lower else raw
     offsets = offsets - offsets[0]
-    inside = word[raw]
+    kind = kinds.astype(np.uint8)[raw]
     cuts = offsets[(offsets > 0) & (offsets < len(raw))]
-    before, after = np.r_[False, inside[:-1]], np.r_[inside[1:], False]
-    before[cuts] = False
-    after[cuts - 1] = False
-    starts = np.flatnonzero(inside & ~before)
-    ends = np.flatnonzero(inside & ~after) + 1
+    changes = np.r_[True, kind[1:] != kind[:-1], True]  # before each byte, and at the end
+    changes[cuts] = True
+    starts = np.flatnonzero(changes[:-1] & (kind > 0))
+    ends = np.flatnonzero(changes[1:] & (kind > 0)) + 1
     sizes = np.diff(np.searchsorted(starts, offsets))
     if not len(starts):
         return Words(empty, pa.array([], pa.binary()), sizes, empty)
