@@ -239,3 +239,59 @@ def test_native_operators_take_empty_tables(spark):
     assert secrets.find_secrets(empty).count() == 0
     blank = spark.createDataFrame([(1, None, "s"), (2, " ", None)], SCHEMA)
     assert [r.taken for r in mixing.mix_report(blank).collect()] == [0, 0]
+
+
+PROSE = """it was said in the reports that many of the people there were counting the changes of the
+nation over time and under a revolution which came about in an ordinary way with all the usual
+characters and their actions the electric current of the brain has been measured by a physician
+who understood the encephalogram and its history the users of the profile settings get the default
+configuration from the local library path of the server and the test data of the service request
+handler returns the response content type when the connection is closed by the remote host the
+quick brown fox jumps over the lazy dog und die kraftfahrer zahlen eine haftpflicht versicherung
+fuer ihr fahrzeug in der stadt uncommon matters are not comprehensible to everybody"""
+
+PLAIN_TOKENS = """counterrevolutionaries electroencephalographically incomprehensibilities
+uncharacteristically kraftfahrzeughaftpflichtversicherung thequickbrownfoxjumpsoverthelazydog
+getUserProfileSettingsFromServer user_profile_settings_default handleRemoteConnectionRequest
+usr/local/library/path/settings the-history-of-the-nation-in-time internationalization_of_content
+test_connection_closed_by_remote serviceResponseContentTypeHandler
+characterization-of-the-changes deinstitutionalization_reports""".split()
+
+
+def test_words_identifiers_and_paths_are_not_secrets(spark):
+    """At least nine in ten keys are found, and at most LEVEL of what is reported are others."""
+    rng = random.Random(21)
+    alphabets = ["ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "abcdefghijklmnopqrstuvwxyz0123456789",
+                 "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyz"]
+    keys = ["".join(rng.choices(a, k=rng.randint(24, 44))) for a in alphabets for _ in range(15)]
+    words = PROSE.split()
+    rows = [(i, " ".join(rng.choices(words, k=40)), "s") for i in range(200)]
+    rows += [(1000 + i, f"see {t} here", "s") for i, t in enumerate(PLAIN_TOKENS)]
+    rows += [(2000 + i, f"see {t} here", "s") for i, t in enumerate(keys)]
+    got = {r.doc_id: any(s.kind == "random" for s in r.spans)
+           for r in secrets.find_secrets(spark.createDataFrame(rows, SCHEMA)).collect()}
+    found = sum(got[2000 + i] for i in range(len(keys)))
+    wrong = [t for i, t in enumerate(PLAIN_TOKENS) if got[1000 + i]]
+    assert found >= 0.9 * len(keys)
+    assert len(wrong) <= secrets.LEVEL * (found + len(wrong)), wrong
+    assert not any(got[i] for i in range(200))
+
+
+def test_odds_of_structure_are_those_of_a_plain_count(spark):
+    rows = [(i, "alpha beta gamma-beta Alpha x1 once" if i % 2 else "beta/alpha", "s") for i in range(9)]
+    docs = spark.createDataFrame([*rows, (99, None, "s")], SCHEMA)
+    model = secrets.word_model(docs)
+    words = ["alpha", "beta", "gamma-beta", "Alpha", "x1", "once", "beta/alpha"]
+    counts = {}
+    for w in words:
+        n = sum((t or "").split().count(w) for _, t, _ in rows)
+        if n >= 5:
+            for a, b in zip(w, w[1:]):
+                counts[a, b] = counts.get((a, b), 0) + 1
+    s, total = secrets.SYMBOLS, sum(counts.values())
+    for a in "alphbegmX1-/":
+        for b in "alphbegmX1-/":
+            share = (sum(counts.get((x, b), 0) for x in s) + 20 / 66) / (total + 20)
+            before = sum(counts.get((a, x), 0) for x in s)
+            wanted = (counts.get((a, b), 0) + 20 * share) / (before + 20)
+            assert abs(2.718281828459045 ** model[s.index(a) * 66 + s.index(b)] - wanted) < 1e-9

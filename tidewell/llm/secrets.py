@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -32,7 +33,13 @@ ENCODINGS = {  # the smaller ones first; the last holds every token
     "base64_url": (UPPER + LOWER + DIGITS + "-_", "^[A-Za-z0-9_-]+$"),
     "mixed": (UPPER + LOWER + DIGITS + "+/-_", "^[A-Za-z0-9+/_-]+$"),
 }
-LEVEL = 0.05  # share of wrong calls allowed among tokens that are called not random
+LEVEL = 0.05  # share of wrong calls allowed among tokens called not random, and among secrets
+WORD = r"[A-Za-z0-9+/_-]+"  # of the corpus, of fewer symbols than a token
+TOKEN_LENGTH = 20
+RECURS = 5  # occurrences that make a run of symbols a word, which random ones don't reach
+SYMBOLS = UPPER + LOWER + DIGITS + "+/-_"
+PRIOR = 20.0  # neighbours' worth of the even and single-symbol shares in the word model
+ODDS_STEPS, MOST_ODDS = 10, 500  # steps per natural log of the odds, and the largest log
 STEPS = 50  # steps per power of ten in which probabilities are counted
 LAST = 300 * STEPS
 
@@ -171,14 +178,54 @@ def _symbols(alphabet: Column, body: Column) -> Column:
     return F.transform(F.split(body, ""), lambda c: F.instr(alphabet, c) - 1)
 
 
-def candidates(text: Column, base: Column) -> Column:
-    """All tokens outside the base spans: (start, end, match, stratum, steps). Words and
+def word_model(docs: DataFrame) -> list[float]:
+    """How structured text goes on: the log of each symbol's probability behind each other.
+
+    Counted from all texts: the neighbouring symbols of every distinct word that occurs RECURS
+    times. Pairs never seen fall back on the shares of single symbols, and these on even ones.
+    The result has one number per pair of symbols, whatever the corpus.
+    """
+    runs = F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD), F.lit(0))
+    words = docs.select(F.explode(runs).alias("word")).where(
+        F.length("word").between(2, TOKEN_LENGTH - 1)).groupBy("word").agg(F.count("*").alias("n"))
+    known = words.where(F.col("n") >= RECURS).select("word", F.explode(
+        F.expr("sequence(1, length(word) - 1)")).alias("at"))
+    pairs = known.groupBy(F.substring("word", F.col("at"), F.lit(2)).alias("pair")).agg(
+        F.count("*").alias("n"))
+    counts = {r["pair"]: r["n"] for r in pairs.toArrow().to_pylist()}
+    size = len(SYMBOLS)
+    behind = {b: sum(counts.get(a + b, 0) for a in SYMBOLS) for b in SYMBOLS}
+    before = {a: sum(counts.get(a + b, 0) for b in SYMBOLS) for a in SYMBOLS}
+    total = sum(behind.values())
+    share = {b: (behind[b] + PRIOR / size) / (total + PRIOR) for b in SYMBOLS}
+    return [math.log((counts.get(a + b, 0) + PRIOR * share[b]) / (before[a] + PRIOR))
+            for a in SYMBOLS for b in SYMBOLS]
+
+
+def structured_odds(token: Column, model: Column) -> Column:
+    """How much likelier a token's symbols are in words of the corpus than if drawn evenly from
+    its alphabet: the log of the odds, in whole ODDS_STEPS."""
+    def odds(values, size):
+        known = _total(_pairs(values, lambda x, y: F.element_at(model, x * len(SYMBOLS) + y + 1)))
+        step = F.floor((known + (F.size(values) - 1) * F.log(size)) * ODDS_STEPS)
+        most = MOST_ODDS * ODDS_STEPS
+        return F.least(F.greatest(step, F.lit(-most)), F.lit(most)).cast("int")
+
+    body = _body(token)
+    own = _alphabet(encoding(token))
+    return let(F.length(own).cast("double"), lambda size: let(
+        _symbols(F.lit(SYMBOLS), body), lambda values: odds(values, size)))
+
+
+def candidates(text: Column, base: Column, model: Column) -> Column:
+    """All tokens outside the base spans: (start, end, match, stratum, steps, odds). Words and
     numbers are among them; the tests and their limits leave them out."""
     tokens = F.filter(matches(text, TOKEN), lambda t: ~F.exists(
         base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
     return F.transform(tokens, lambda t: F.struct(
         t["start"].alias("start"), t["end"].alias("end"), t["match"].alias("match"),
-        _stratum(t["match"]).alias("stratum"), not_random(t["match"]).alias("steps")))
+        _stratum(t["match"]).alias("stratum"), not_random(t["match"]).alias("steps"),
+        structured_odds(t["match"], model).alias("odds")))
 
 
 def _stratum(token: Column) -> Column:
@@ -189,10 +236,12 @@ def _stratum(token: Column) -> Column:
 def scan(docs: DataFrame) -> DataFrame:
     """One row per document, without its text: ``doc_id, base, tokens``. Written."""
     text = F.coalesce(F.col("text"), F.lit(""))
+    # A constant of some thousand numbers, read from one text so that the plan stays small.
+    model = F.from_json(F.lit(json.dumps(word_model(docs))), "array<double>")
     found = docs.select("doc_id", text_id(F.col("doc_id"), F.col("text")).alias("_id"),
                         text.alias("_text"), base_spans(text).alias("base"))
     return written(
-        found.withColumn("tokens", candidates(F.col("_text"), F.col("base"))).drop("_text"),
+        found.withColumn("tokens", candidates(F.col("_text"), F.col("base"), model)).drop("_text"),
         "secrets-scan")
 
 
@@ -215,23 +264,50 @@ def discovery_limits(scanned: DataFrame) -> DataFrame:
     return found.groupBy("stratum").agg(F.min("steps").alias("limit"))
 
 
+def secret_limits(scanned: DataFrame, limits: Column) -> DataFrame:
+    """Per stratum, the largest odds of structure with which a token is reported.
+
+    Of the distinct tokens that the tests don't call structured, each is wrongly reported with
+    the probability odds / (1 + odds), words of the corpus and random symbols being held equally
+    likely before. The limit is where the mean of these, over all tokens up to it, is still
+    LEVEL: the expected share of false ones among those reported. It is found by counts per step.
+    """
+    tokens = scanned.select(F.explode("tokens").alias("t")).where(_passes(F.col("t"), limits)).select(
+        "t.match", "t.stratum", "t.odds")
+    counts = tokens.distinct().groupBy("stratum", "odds").agg(F.count("*").alias("n"))
+    upto = Window.partitionBy("stratum").orderBy("odds")
+    wrong = 1 / (1 + F.exp(-F.col("odds") / ODDS_STEPS))
+    found = (counts.withColumn("wrong", F.sum(F.col("n") * wrong).over(upto))
+             .withColumn("all", F.sum("n").over(upto)).where(F.col("wrong") <= LEVEL * F.col("all")))
+    return found.groupBy("stratum").agg(F.max("odds").alias("limit"))
+
+
+def _as_map(limits: DataFrame) -> Column:
+    """At most some hundreds of strata, one limit each, as a constant."""
+    known = dict(limits.agg(F.collect_list(F.struct("stratum", "limit")).alias("all")).first()["all"])
+    return F.from_json(F.lit(json.dumps(known)), "map<string,int>")
+
+
+def _passes(token: Column, limits: Column) -> Column:
+    """Whether the tests don't call a token structured."""
+    return token["steps"] < F.coalesce(F.try_element_at(limits, token["stratum"]), F.lit(LAST + 1))
+
+
 def find_secrets(docs: DataFrame) -> DataFrame:
     """Each row's secrets: ``doc_id, base, spans`` (``spans`` with the random tokens).
 
-    A token outside the patterns is a secret if the tests don't call it structured. Null
+    A token outside the patterns is a secret if the tests don't call it structured and the share
+    of words and the like among those reported stays at LEVEL, by length and encoding. Null
     text is empty, a null id is kept, equal rows get equal spans, an empty table gives no
     rows, and further columns are ignored.
     """
     scanned = scan(docs)
-    # At most some hundreds of strata, one limit each.
-    limits = dict(discovery_limits(scanned).agg(
-        F.collect_list(F.struct("stratum", "limit")).alias("all")).first()["all"])
-    named = F.map_from_entries(F.array(*[
-        F.struct(F.lit(k), F.lit(v)) for k, v in sorted(limits.items())])) if limits else None
+    tested = _as_map(discovery_limits(scanned))
+    reported = _as_map(secret_limits(scanned, tested))
 
     def passes(token):
-        known = F.try_element_at(named, token["stratum"]) if limits else F.lit(None).cast("int")
-        return token["steps"] < F.coalesce(known, F.lit(LAST + 1))
+        limit = F.coalesce(F.try_element_at(reported, token["stratum"]), F.lit(-MOST_ODDS * ODDS_STEPS - 1))
+        return _passes(token, tested) & (token["odds"] <= limit)
 
     random = F.filter("tokens", passes)
     return scanned.select("doc_id", "base", F.concat(
