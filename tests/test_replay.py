@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewell.operators import search
 from tidewell.operators.aggregates import sum_by_lookup
+from tidewell.operators.buckets import read_buckets
 from tidewell.operators.detect import anomaly_batch, velocity_batch
 from tidewell.plans import streams
 from tidewell.session import new_dir
@@ -136,8 +137,11 @@ def test_carried_state_stays_that_of_two_batches(spark):
     stream = in_order_of(df, "created_at", new_dir(spark, "slices"), slices=12)
     out, state = new_dir(spark, "out"), new_dir(spark, "state")
     through(spark, stream, sink=carried.anomaly_sink(out, state, floor=100))
-    kept = [n for n in os.listdir(f"{state}/delta") if n.startswith("batch=")]
-    assert len(kept) <= 2
+    for kind, most in (("manifest", 2), ("changes", 2)):
+        kept = [n for n in os.listdir(f"{state}/users/{kind}") if n.startswith("batch=")]
+        assert len(kept) <= most, kind
+    users = read_buckets(spark, f"{state}/users")
+    assert users.count() == users.select("id").distinct().count() <= 50 * df.select("user_id").distinct().count()
     wanted = anomaly_batch(df, floor=100).select("id", "history_n", "is_anomaly")
     assert rows(read_batches(spark, out).select(*wanted.columns)) == rows(wanted)
 
