@@ -26,7 +26,7 @@ BREAKS = byte_class(*((ord(c), ord(c)) for c in ".,;:!?"), (0x0A, 0x0D))
 WORD = ~(BREAKS | byte_class((0x20, 0x20), (0x09, 0x09)))
 NO_LANG = "und"
 
-CHUNK_BYTES = 1 << 24  # of text whose stripes are combined in a task
+CHUNK_BYTES = 1 << 23  # of text whose stripes are combined in a task
 ROWS_OUT = 1 << 15  # stripes in an output batch
 FILTER_BITS = 1 << 25  # of the filter of frequent pairs, whatever the corpus: 4 MB
 SAMPLE = 64  # one text of so many is looked at for frequent first words
