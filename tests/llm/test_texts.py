@@ -163,6 +163,109 @@ def test_toxic_documents_are_learnt_from_positives_alone(spark):
     assert toxicity.with_toxicity(docs.limit(0), marks, "p").count() == 0
 
 
+def slurs(n, rare_every):
+    """Documents of plain words; each eighth toxic, and of these some with a rare slur."""
+    rng, rows, labels = random.Random(11), [], []
+    for i in range(n):
+        text = rng.choices([f"w{k}" for k in range(400)], k=rng.randint(5, 40))
+        if i % 8 == 0:
+            text += ["vile", f"awful{i % 5}"] if i % (8 * rare_every) else ["zorblax"]
+            labels.append((i, 1))
+        elif i % 3 == 0:
+            labels.append((i, 0))
+        rows.append((i, " ".join(text)))
+    return rows, labels
+
+
+def test_telling_words_are_those_of_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "COUNTED", 500)
+    rows, labels = slurs(1600, 10)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    marked = {i for i, toxic in labels if toxic}
+    toxic = docs.where(F.col("doc_id").isin(list(marked)))
+    got = toxicity.telling_words(toxic, docs)
+    everywhere, own = Counter(), Counter()
+    for i, text in rows:
+        everywhere.update(set(text.split()))
+        own.update(set(text.split()) if i in marked else ())
+    wanted = {}
+    for word, k in own.items():
+        expected = everywhere[word] * len(marked) / len(rows)
+        if k > expected and k * np.log(k / expected) - (k - expected) >= np.log(max(len(everywhere) / toxicity.CHANCE, 1)):
+            wanted[xxhash.xxh64_intdigest(word)] = (k, everywhere[word])
+    assert xxhash.xxh64_intdigest("zorblax") in wanted
+    assert dict(zip(got.words.tolist(), zip(got.own.tolist(), got.everywhere.tolist()))) == wanted
+    assert (got.n_own, got.n_all) == (len(marked), len(rows)) and (np.diff(got.words.astype(float)) > 0).all()
+
+
+def test_a_rare_slur_is_learnt_although_the_sample_lacks_it(spark, monkeypatch):
+    rows, labels = slurs(8000, 50)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "POSITIVES", 40)
+    monkeypatch.setattr(toxicity, "UNLABELLED", 160)
+    asked = spark.createDataFrame([(1, "w1 zorblax w2"), (2, "w1 w2"), (3, None)], "doc_id long, text string")
+    scored = toxicity.with_toxicity(docs.union(asked), marks).where("text is null or text in ('w1 zorblax w2', 'w1 w2')")
+    got = {r.doc_id: r.score for r in scored.collect() if r.doc_id < 4}
+    assert got[1] >= 0.7 > max(got[2], got[3])
+
+
+def test_slopes_are_those_of_the_non_negative_risk():
+    rng = np.random.default_rng(3)
+    for shift in (-1.0, 3.0):
+        toxic, other = rng.normal(shift, 1, 7), rng.normal(0, 1, 9)
+
+        def clean(t, o):
+            return np.log1p(np.exp(o)).mean() - 0.4 * np.log1p(np.exp(t)).mean()
+
+        def risk(t, o):
+            return (0.4 * np.log1p(np.exp(-t)).mean() if clean(toxic, other) >= 0 else 0) + abs(clean(t, o))
+
+        own, others = toxicity.risk_slopes(toxic, other, 0.4)
+        for slopes, n, at in ((own, 7, 0), (others, 9, 1)):
+            for k in range(n):
+                step = np.eye(n)[k] * 1e-6
+                up, down = ((toxic + s * step, other) if at == 0 else (toxic, other + s * step) for s in (1, -1))
+                assert abs((risk(*up) - risk(*down)) / 2e-6 - slopes[k]) < 1e-6
+
+
+def test_weights_from_counts_minimise_the_risk_of_a_words_documents():
+    telling = toxicity.Telling(np.zeros(3, np.uint64), np.array([10, 400, 3]), np.array([30, 2000, 3]), 1000, 10000)
+    for k, odds in enumerate(toxicity.counted_log_odds(telling, 0.2)):
+        toxic = 0.2 * (telling.own[k] + 0.5) / 1001
+        clean = max((telling.everywhere[k] + 0.5) / 10001 - toxic, 0)
+        z = np.linspace(-8, 8, 16001)
+        best = z[np.argmin(toxic * np.log1p(np.exp(-z)) + clean * np.log1p(np.exp(z)))]
+        assert abs(odds - best) < 2e-3 or (odds < best and telling.own[k] / telling.everywhere[k] > 0.3)
+
+
+def test_kept_words_are_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(pieces, "CACHED_BYTES", 20_000)
+    coder = pieces.Coder(pieces.Vocabulary(pieces.MODEL))
+    plain = {t: coder.best_path("\u2581" + t) for t in ("\u6587" * 5_000, "word")}
+    for text in [f"x{i} y{i}" for i in range(2000)] + list(plain):
+        coder.encoded(text)
+        assert sum(map(len, coder.kept.values())) + 4 * sum(map(len, coder.kept)) < 25_000
+    assert all(len(word) <= pieces.CACHED_LETTERS for word in coder.kept)
+    assert all(coder.encode(t) == ids for t, ids in plain.items())
+
+
+def test_encoding_beside_any_columns(spark):
+    rows = spark.createDataFrame([("a b", [9], 1)], "text string, ids array<int>, `a.b` int")
+    got = pieces.decode(pieces.encode(rows, name="own.ids"), name="back", ids="own.ids")
+    assert got.columns == ["text", "ids", "a.b", "own.ids", "back"] and got.first()["back"] == "a b"
+
+
+def test_archives_are_read_by_as_many_tasks_as_their_bytes_ask_for(spark, folder, monkeypatch):
+    monkeypatch.setattr(warc, "SPLIT_BYTES", 2000)
+    _, df = pages(spark)
+    index = warc.write_archives(warc.with_originals(df), folder)
+    size = index.agg(F.sum("length")).first()[0]
+    read = warc.read_records(index)
+    assert read.rdd.getNumPartitions() == 2 * size // 2000 > 4 and read.count() == index.count()
+    assert warc.read_records(index.limit(0)).count() == 0
+
+
 def test_labels_of_the_held_out_fold_change_nothing(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import bounded_batches, text_id, whole_row, written
+from tidewell.llm.common import ready_for_python, text_id, whole_row, written
 from tidewell.llm.components import components
 from tidewell.plans.tables import table
 
@@ -220,7 +220,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def _grouped(docs: DataFrame) -> DataFrame:
     """``near_duplicates`` with each row's ``group``, which groups of null ids have too."""
-    bounded_batches(docs.sparkSession)
+    ready_for_python(docs.sparkSession)
     rows = written(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                     text_id(F.col("doc_id"), F.col("text")).alias("id"), "text")

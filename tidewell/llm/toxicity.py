@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
+import math
 import re
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import bounded_batches, whole_row
+from tidewell.llm.common import ready_for_python, whole_row, written
 from tidewell.llm.folds import fold, sampled_ids, texts_of
 from tidewell.plans.tables import table
 
 FOLDS, HELD_OUT = 3, 1
-POSITIVES = 6_000  # confirmed toxic documents learnt from, at most
-UNLABELLED = 18_000  # other documents learnt from, at most
-BUCKETS = 1 << 18  # of word hashes
-RARE = 5  # sampled documents that must hold a word for it to count
-EVIDENCE = 4.0  # standard deviations above its expected count among the toxic ones
+POSITIVES = 6_000  # confirmed toxic documents that weights are fitted to, at most
+UNLABELLED = 18_000  # other documents that weights are fitted to, at most
+VOCABULARY = 1 << 18  # words with a weight, at most; those with the most evidence
+RARE = 5  # toxic documents of the sample that must hold a word for its weight to be fitted
+COUNTED = 1 << 21  # words of documents that a task counts at a time
+CHANCE = 100  # words of the corpus that may pass for telling by chance
 MEMBERS = 3  # classifiers whose log-odds are averaged, each without its share of the sample
 STEPS, RATE = 250, 1.0
 SPARSITY = 2e-5  # price of a unit of weight, which leaves words without evidence at zero
@@ -27,11 +31,18 @@ LIMIT = 0.7
 WORD = re.compile(r"\w+")
 
 
-def word_buckets(text: str | None) -> np.ndarray:
-    """Distinct word hashes of a whole text, in lower case."""
+def word_hashes(text: str | None) -> np.ndarray:
+    """Hashes of the distinct words of a whole text in lower case, sorted."""
     words = set(WORD.findall((text or "").lower()))
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    return np.unique((hashes % np.uint64(BUCKETS)).astype(np.int32))
+    return np.sort(np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)))
+
+
+def placed(words: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """The places in ``known`` of those of ``words`` that it has. Both are sorted."""
+    at = np.searchsorted(known, words)
+    inside = at < len(known)
+    at = at[inside]
+    return at[known[at] == words[inside]]
 
 
 class Rows:
@@ -72,33 +83,92 @@ def risk_slopes(toxic, other, prior: float):
     return -prior * sigmoid(-toxic) / len(toxic) - down, other_down
 
 
-def telling(positive: list[np.ndarray], unlabelled: list[np.ndarray], n: int) -> np.ndarray:
-    """Which of ``n`` words are far more frequent among toxic documents than chance allows.
+def _counts(batches):
+    """Partial document counts of words, for each COUNTED words of a task or so."""
+    held, n = [np.zeros(0, np.uint64)], 0
+
+    def sums():
+        words, counts = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(words.view(np.int64)), pa.array(counts)], names=["word", "n"])
+
+    for batch in batches:
+        for text in batch.column("text"):
+            held.append(word_hashes(text.as_py()))
+            n += len(held[-1])
+            if n >= COUNTED:
+                yield sums()
+                held, n = [np.zeros(0, np.uint64)], 0
+    yield sums()
+
+
+def document_counts(texts: DataFrame, name: str) -> DataFrame:
+    """In how many rows each word stands: ``word, name``, words as hashes."""
+    return (texts.select("text").mapInArrow(_counts, "word long, n long")
+            .groupBy("word").agg(F.sum("n").alias(name)))
+
 
-    Only these get weights. Thousands of others would fit the sample by accident, and a
-    long document's many words would then add up to a verdict.
+@dataclass
+class Telling:
+    """Words that are more frequent among toxic documents than chance allows, sorted, with
+    the numbers of toxic and of all documents that hold each, and of documents."""
+
+    words: np.ndarray
+    own: np.ndarray
+    everywhere: np.ndarray
+    n_own: int
+    n_all: int
+
+
+def telling_words(toxic: DataFrame, learnt: DataFrame) -> Telling:
+    """The telling words of ``toxic``, rows of ``learnt``, by counts over all of both.
+
+    Were a word's documents toxic by chance, it would be in so many toxic ones with a
+    probability of at most exp(-evidence) (Chernoff's bound), so that of all words of the
+    corpus CHANCE at most are expected to pass. Only telling words get weights. Thousands of others
+    would fit the sample by accident, and a long document's many words would then add up
+    to a verdict. Of more than VOCABULARY those with the most evidence are taken.
     """
-    own, all_counts = np.zeros(n), np.zeros(n)
-    for words in positive:
-        own[words] += 1
-    for words in unlabelled:
-        all_counts[words] += 1
-    all_counts += own
-    expected = all_counts * len(positive) / (len(positive) + len(unlabelled))
-    return (all_counts >= RARE) & (own - expected > EVIDENCE * np.sqrt(expected))
+    n_own, n_all = toxic.count(), learnt.count()
+    if not n_own:
+        return Telling(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0), 0, n_all)
+    everywhere = written(document_counts(learnt, "everywhere"), "toxicity-words")
+    least = math.log(max(everywhere.count() / CHANCE, 1))
+    own, expected = F.col("own"), F.col("everywhere") * F.lit(n_own / n_all)
+    found = (
+        document_counts(toxic, "own").join(everywhere, "word").where(own > expected)
+        .withColumn("evidence", own * F.log(own / expected) - (own - expected))
+        .where(F.col("evidence") >= least)
+        .orderBy(F.desc("evidence"), "word").limit(VOCABULARY).select("word", "own", "everywhere").toArrow())
+    words = found["word"].to_numpy().view(np.uint64)
+    order = np.argsort(words)
+    return Telling(words[order], found["own"].to_numpy()[order],
+                   found["everywhere"].to_numpy()[order], n_own, n_all)
+
+
+def counted_log_odds(telling: Telling, prior: float) -> np.ndarray:
+    """For each telling word, the log-odds that minimise the same risk over the documents
+    that hold it, from their numbers alone.
+
+    Of these documents the share prior * P(word | toxic) / P(word) is toxic. Where counts
+    make that more than there are, the non-negative risk leaves none clean; half a document
+    more or less keeps the odds finite and small counts modest.
+    """
+    toxic = (telling.own + 0.5) / (telling.n_own + 1)
+    share = prior * toxic * (telling.n_all + 1) / (telling.everywhere + 0.5)
+    share = np.minimum(share, 1 - 0.5 / (telling.own + 1))
+    return np.log(share / (1 - share))
 
 
 def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, n: int):
     """Weights of ``n`` words and bias of a linear classifier, on log loss, by Adagrad with
     soft thresholds."""
-    kept = telling(positive, unlabelled, n)
-    place, known = np.cumsum(kept) - 1, int(kept.sum())
-    p, u = (Rows([place[w[kept[w]]] for w in x]) for x in (positive, unlabelled))
-    weights, bias = np.zeros(known), float(np.log(prior / (1 - prior)))
-    squares, bias_square = np.full(known, 1e-8), 1e-8
+    p, u = Rows(positive), Rows(unlabelled)
+    weights, bias = np.zeros(n), float(np.log(prior / (1 - prior)))
+    squares, bias_square = np.full(n, 1e-8), 1e-8
     for _ in range(STEPS):
         p_slope, u_slope = risk_slopes(p.scores(weights, bias), u.scores(weights, bias), prior)
-        slope = p.gradient(p_slope, known) + u.gradient(u_slope, known)
+        slope = p.gradient(p_slope, n) + u.gradient(u_slope, n)
         down = p_slope.sum() + u_slope.sum()
         squares += slope * slope
         bias_square += down * down
@@ -106,9 +176,7 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
         weights = weights - pace * slope
         weights = np.sign(weights) * np.maximum(np.abs(weights) - pace * SPARSITY, 0)
         bias -= RATE * down / np.sqrt(bias_square)
-    whole = np.zeros(n)
-    whole[kept] = weights
-    return whole, bias
+    return weights, bias
 
 
 def calibrate(toxic, other, prior: float):
@@ -124,79 +192,95 @@ def calibrate(toxic, other, prior: float):
     return scale, shift
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float):
+def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, telling: Telling):
     """The mean of MEMBERS classifiers, calibrated. Each leaves out its share of the sample,
-    and the scores of what each left out calibrate them all."""
-    weights, bias, toxic, other = np.zeros(BUCKETS), 0.0, [], []
+    and the scores of what each left out calibrate them all. A telling word that hardly
+    any toxic document of the sample holds has its weight from the counts."""
+    n = len(telling.words)
+    weights, bias, toxic, other = np.zeros(n), 0.0, [], []
     members = MEMBERS if min(len(positive), len(unlabelled)) >= 2 * MEMBERS else 1
     for m in range(members):
         p_in, u_in = ([w for i, w in enumerate(x) if members == 1 or i % members != m]
                       for x in (positive, unlabelled))
-        own, own_bias = train(p_in, u_in, prior, BUCKETS)
+        own, own_bias = train(p_in, u_in, prior, n)
         weights, bias = weights + own / members, bias + own_bias / members
         toxic.append(Rows(positive[m::members]).scores(own, own_bias))
         other.append(Rows(unlabelled[m::members]).scores(own, own_bias))
     scale, shift = calibrate(np.concatenate(toxic), np.concatenate(other), prior)
-    return scale * weights, scale * bias + shift
+    bias = scale * bias + shift
+    seen = Rows(positive).gradient(np.ones(len(positive)), n)
+    by_counts = np.maximum(counted_log_odds(telling, prior) - bias, 0)
+    return np.where(seen < RARE, by_counts, scale * weights), bias
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame):
-    """Weights and bias, or None where no toxic document may be learnt from.
+    """Telling words, their weights and the bias, or None where no toxic document may be
+    learnt from.
 
     The class prior is the toxic share of the labels that may be learnt from. Unlabelled
     are all documents outside the held-out fold, whatever their labels, which are not
-    used. Both samples are bounded, and only their word hashes reach the driver.
+    used. Words are counted over all of them; the weights are fitted to bounded samples,
+    of which only places of telling words reach the driver. An id with several texts is
+    counted by all of them and fitted to the smallest.
     """
-    learnt = (labels.where(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
-              .select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
-              .where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    share = learnt.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
+    own_fold = fold(F.col("doc_id"), FOLDS) != HELD_OUT
+    marks = (labels.where(own_fold).select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
+             .where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    share = marks.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
     if not share:
         return None
-    toxic = sampled_ids(learnt.where("toxic = 1").select("doc_id"), POSITIVES, 1)
-    others = sampled_ids(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-        .where(fold(F.col("doc_id"), FOLDS) != HELD_OUT).distinct(), UNLABELLED, 2)
+    prior = min(float(share), 0.99)
+    confirmed = written(marks.where("toxic = 1").select("doc_id"), "toxicity-confirmed")
+    learnt = docs.where(own_fold & F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text")
+    telling = telling_words(learnt.join(confirmed, "doc_id", "left_semi"), learnt)
+    if not telling.n_own:
+        return None
+    known = telling.words
 
     @F.pandas_udf("array<int>")
-    def buckets(text: pd.Series) -> pd.Series:
-        return text.map(word_buckets)
+    def places(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: placed(word_hashes(t), known).astype(np.int32))
 
-    def sets(sample):
-        rows = texts_of(docs, sample).groupBy("doc_id").agg(F.min("text").alias("text"))
-        found = rows.select("doc_id", buckets("text").alias("words")).toArrow()
+    def sets(ids, limit, seed):
+        sample = sampled_ids(ids, limit, seed)
+        rows = texts_of(learnt, sample).groupBy("doc_id").agg(F.min("text").alias("text"))
+        found = rows.select("doc_id", places("text").alias("words")).toArrow()
         order = np.argsort(found["doc_id"].to_numpy(), kind="stable")
         return [found["words"][int(i)].values.to_numpy() for i in order]
 
-    positive, unlabelled = sets(toxic), sets(others)
-    if not positive or not unlabelled:
-        return None
-    return fit(positive, unlabelled, min(float(share), 0.99))
+    positive = sets(learnt.select("doc_id").distinct().join(confirmed, "doc_id", "left_semi"), POSITIVES, 1)
+    unlabelled = sets(learnt.select("doc_id").distinct(), UNLABELLED, 2)
+    return known, *fit(positive, unlabelled, prior, telling)
 
 
 def with_toxicity(docs: DataFrame, labels: DataFrame, name: str = "score") -> DataFrame:
     """``docs`` with the probability that a document is toxic, from its whole text.
 
-    Null and empty texts have the score of no words. Without a toxic document to learn from,
-    all scores are 0. Rows and other columns stay as they are.
+    Null and empty texts have the score of no words, texts of any length are read whole, and
+    equal texts have equal scores. Without a toxic document to learn from, all scores are 0;
+    an empty table gives no rows. Rows and other columns stay as they are, so give a
+    ``name`` that none of them has. Equal input gives equal scores in every run.
     """
-    bounded_batches(docs.sparkSession)
+    ready_for_python(docs.sparkSession)
     model = toxicity_model(docs, labels)
     if model is None:
         return docs.withColumn(name, F.lit(0.0))
-    # 2 MB at most, whatever the input.
-    kept = docs.sparkSession.sparkContext.broadcast((model[0], model[1]))
+    # 16 bytes for each of at most VOCABULARY words.
+    kept = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:
-        weights, bias = kept.value
-        return pd.Series([bias + weights[word_buckets(t)].sum() for t in text], dtype="float64").map(sigmoid)
+        known, weights, bias = kept.value
+        odds = [bias + weights[placed(word_hashes(t), known)].sum() for t in text]
+        return pd.Series(odds, dtype="float64").map(sigmoid)
 
     return docs.withColumn(name, score("text"))
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without those called toxic; columns unchanged."""
+    """``docs`` without those called toxic; columns unchanged, whatever their names. Null and
+    empty texts, repeated rows and empty tables are as in with_toxicity."""
     rows = docs.select(whole_row(docs).alias("_row"), "doc_id", "text")
     return with_toxicity(rows, labels).where(F.col("score") < LIMIT).select("_row.*")
 
