@@ -104,6 +104,21 @@ def test_revealing_terms_are_found_and_others_left(spark):
     assert pii.sanitised(docs).columns == docs.columns and pii.sanitised(docs).count() == 302
 
 
+def test_a_text_of_many_addresses_makes_no_pairs(spark):
+    listed = " ".join([f"u{i}@list.org" for i in range(300)] + [f"word{i}" for i in range(500)])
+    rows = [(0, listed)] + [(1 + i, f"Jane Vexley j@post.org call {i}") for i in range(12)]
+    rows += [(100 + i, f"plain text number {i}") for i in range(400)]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, `a.b` int")
+    entities = pii.find_entities(docs)
+    found = pii.revealing_terms(docs, entities).collect()
+    assert {r.entity for r in found} == {"email:j@post.org"} and {"jane", "vexley"} <= {r.term for r in found}
+    clean = pii.sanitised(docs.union(docs.limit(3)))
+    assert clean.columns == docs.columns and clean.count() == len(rows) + 3
+    texts = {r.doc_id: r.text for r in clean.collect()}
+    assert texts[1].startswith("<NAME> <NAME> <EMAIL>") and texts[0].count("<EMAIL>") == 300
+    assert "word499" in texts[0] and texts[100] == "plain text number 0"
+
+
 def test_terms_far_from_an_entity_are_weighed_and_marked_wherever_they_stand(spark):
     far = "and so on " * 20
     docs = spark.createDataFrame(

@@ -142,7 +142,9 @@ def revealing_terms(docs: DataFrame, entities: DataFrame) -> DataFrame:
     those outside protected data, wherever in a text they stand.
 
     Equal texts make pairs once, weighted, and pairs are counted before they are shuffled.
-    Where too few texts have a pair for any count of the term, the term's is not looked up.
+    An entity in too few texts to prove anything about any term makes no pairs, so a text
+    that lists many addresses found nowhere else makes none. Where too few texts have a
+    pair for any count of the term, the term's is not looked up.
     """
     held = written(
         entities.where(F.size("base") > 0).groupBy("copy").agg(
@@ -151,20 +153,28 @@ def revealing_terms(docs: DataFrame, entities: DataFrame) -> DataFrame:
             F.first("hidden").alias("hidden")), "pii-held")
     all_rows = docs.agg(F.count("*").alias("n")).first()["n"]
     n = F.lit(float(all_rows))
-    both = (held.select("rows", "terms", F.explode("entities").alias("entity"))
-            .select("rows", "entity", F.explode("terms").alias("term"))
-            .groupBy("entity", "term")
-            .agg(F.sum("rows").alias("n_both"), F.count("*").alias("copies")))
-    alone = (held.select("rows", F.explode("entities").alias("entity"))
-             .groupBy("entity").agg(F.sum("rows").alias("n_entity")))
 
     def least(n_entity):
         return F.pow(n_entity / n, F.lit(1 - DISCLOSURE))
 
+    # The best case of an entity is a term in all of its texts and in no others.
+    alone = written(
+        held.select("rows", F.explode("entities").alias("entity"))
+        .groupBy("entity").agg(F.sum("rows").alias("n_entity"), F.count("*").alias("copies"))
+        .where(F.col("n_entity") < n)
+        .where(_proven(F.col("copies"), F.lit(1.0), least(F.col("n_entity"))))
+        .drop("copies"), "pii-frequent")
+    pairs = (held.select("copy", F.explode("entities").alias("entity"))
+             .join(alone.select("entity"), "entity")
+             .join(held.select("copy", "rows", "terms"), "copy"))
+    both = (pairs.select("rows", "entity", F.explode("terms").alias("term"))
+            .groupBy("entity", "term")
+            .agg(F.sum("rows").alias("n_both"), F.count("*").alias("copies")))
+
     # A term in no other document is the best case, and n_entity is n_both or more.
     suspects = written(
         both.where(_proven(F.col("copies"), F.lit(1.0), least(F.col("n_both"))))
-        .join(alone, "entity").where(F.col("n_entity") < n)
+        .join(alone, "entity")
         .where(_proven(F.col("copies"), F.lit(1.0), least(F.col("n_entity")))), "pii-suspects")
     in_docs = (docs.select(F.explode(_terms(F.col("text"))).alias("term"), F.lit(1).alias("one"))
                .union(held.select(F.explode("hidden").alias("term"), -F.col("rows")))
@@ -199,10 +209,13 @@ def find_pii(docs: DataFrame) -> DataFrame:
     """
     entities = find_entities(docs)
     added = term_spans(entities, revealing_terms(docs, entities))
+    return entities.join(added, "_id", "left").select("doc_id", "_id", "base", _all_spans().alias("spans"))
+
+
+def _all_spans() -> Column:
+    """The spans of columns ``base`` and ``terms``, null terms being none."""
     terms = F.coalesce(F.col("terms"), F.array().cast("array<struct<start:int,end:int,match:string>>"))
-    return entities.join(added, "_id", "left").select(
-        "doc_id", "_id", "base",
-        F.concat("base", labelled(terms, len(PATTERNS), "term")).alias("spans"))
+    return F.concat("base", labelled(terms, len(PATTERNS), "term"))
 
 
 def _label(span: Column) -> Column:
@@ -215,19 +228,20 @@ def _label(span: Column) -> Column:
 
 def sanitised(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data replaced: by its kind, or a revealing term by a general
-    word (names, numbers) or nothing. Same columns and rows; null texts stay null."""
+    word (names, numbers) or nothing. Same columns and rows, whatever the columns' names;
+    null and empty texts stay, equal rows are changed alike, an empty table stays empty."""
     entities = find_entities(docs)
-    added = written(term_spans(entities, revealing_terms(docs, entities)), "pii-terms")
-    rows = docs.select(
-        whole_row(docs).alias("_row"), "text",
-        text_id(F.col("doc_id"), F.col("text")).alias("_key"),
-        base_spans(F.coalesce(F.col("text"), F.lit(""))).alias("_base"))
-    # Rows without an entity can't have terms. They don't take part in the join's skew:
-    # their key stays their own.
-    joined = rows.join(added, F.col("_key") == F.col("_id"), "left")
-    terms = F.coalesce(F.col("terms"), F.array().cast("array<struct<start:int,end:int,match:string>>"))
-    spans = F.concat("_base", labelled(terms, len(PATTERNS), "term"))
-    clean = joined.select("_row", overwritten(F.col("text"), spans, _label).alias("_clean"))
+    added = term_spans(entities, revealing_terms(docs, entities))
+    # Rows without an entity can't have terms, so only the spans of the others are joined.
+    spans = written(
+        entities.where(F.size("base") > 0).select("_id", "base").dropDuplicates(["_id"])
+        .join(added, "_id", "left").select("_id", _all_spans().alias("spans")), "pii-spans")
+    rows = docs.select(whole_row(docs).alias("_row"), "text",
+                       text_id(F.col("doc_id"), F.col("text")).alias("_key"))
+    joined = rows.join(spans, F.col("_key") == F.col("_id"), "left")
+    changed = F.when(F.col("spans").isNull(), F.col("text")).otherwise(
+        overwritten(F.col("text"), F.col("spans"), _label))
+    clean = joined.select("_row", changed.alias("_clean"))
     return clean.select(*[
         F.col("_clean").alias(c) if c == "text" else F.col("_row").getField(c).alias(c)
         for c in docs.columns])
