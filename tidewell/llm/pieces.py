@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 
 import ahocorasick
@@ -12,14 +13,16 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import bounded_batches
+from tidewell.llm.common import ready_for_python
 from tidewell.plans.tables import table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 # How such models write a space, and what an unknown character costs more
 # than the worst piece.
 SPACE, UNKNOWN_COST = "▁", 10.0
-CACHED = 1 << 18  # distinct words whose ids a worker keeps
+CACHED_BYTES = 64 << 20  # of distinct words and their ids that a worker keeps, about
+CACHED_LETTERS = 64  # of a word that is kept; longer ones hardly repeat
+ENTRY_BYTES = 200  # of a kept word beside its letters and ids
 LOWEST = float("-inf")
 YIELD_IDS = 1 << 20  # ids in an output batch, about
 
@@ -76,6 +79,7 @@ class Coder:
         self.cut = re.compile(f"{words}|[{ends}]" if ends else words, re.DOTALL)
         self.single = frozenset(n for n in names if len(n) == 1)
         self.kept: dict[str, bytes] = {}
+        self.held = 0
 
     def best_path(self, text: str) -> list[int]:
         """Ids of the segmentation with the largest sum of scores, in one pass.
@@ -129,12 +133,18 @@ class Coder:
                     ids = kept.get(word)
                     if ids is None:
                         ids = np.array(self.best_path(word), np.int32).tobytes()
-                        if len(kept) >= CACHED:
-                            kept.clear()
-                        kept[word] = ids
+                        if len(word) <= CACHED_LETTERS:
+                            self._keep(word, ids)
                     found[at] = ids
         return b"".join(found)
 
+    def _keep(self, word: str, ids: bytes) -> None:
+        if self.held >= CACHED_BYTES:
+            self.kept.clear()
+            self.held = 0
+        self.kept[word] = ids
+        self.held += ENTRY_BYTES + 4 * len(word) + len(ids)
+
     def encode(self, text: str | None) -> list[int]:
         return np.frombuffer(self.encoded(text), np.int32).tolist()
 
@@ -171,19 +181,23 @@ def _lists(ids: list[bytes]) -> pa.Array:
 
 def _with_column(df: DataFrame, name: str, kind: str, made, model: str) -> DataFrame:
     """``df`` with one more column, made from each batch in parts of bounded size."""
-    bounded_batches(df.sparkSession)
+    ready_for_python(df.sparkSession)
     vocabulary = df.sparkSession.sparkContext.broadcast(Vocabulary(model))
 
+    names = df.columns
+
     def run(batches):
         coder = _coder(model, vocabulary)
-        for batch in batches:
+        for batch in map(lambda b: pa.RecordBatch.from_arrays(b.columns, names=names), batches):
             for start, column in made(coder, batch):
                 part = batch.slice(start, len(column))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, column], names=[*batch.schema.names, name])
+                    [*part.columns, column], names=[*names, name])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return df.mapInArrow(run, f"{fields}, `{name}` {kind}")
+    # Spark doesn't quote names here, so they go by place.
+    plain = df.toDF(*[f"c{i}" for i in range(len(names))])
+    return plain.mapInArrow(run, f"{fields}, `{name}` {kind}")
 
 
 def _encoded(coder, batch):
@@ -196,9 +210,9 @@ def _encoded(coder, batch):
             ids, start, held = [], i + 1, 0
 
 
-def _decoded(coder, batch):
+def _decoded(coder, batch, ids):
     """Lists are decoded together, up to YIELD_IDS ids and one list more at a time."""
-    lists = batch.column("ids")
+    lists = batch.column(ids)
     sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
     group = (np.cumsum(sizes) - sizes) // YIELD_IDS
     for start in np.flatnonzero(np.r_[True, group[1:] != group[:-1]][:len(group)]):
@@ -208,21 +222,22 @@ def _decoded(coder, batch):
         yield int(start), pa.array(texts, pa.string(), mask=part.is_null().to_numpy(zero_copy_only=False))
 
 
-def encode(rows: DataFrame, model: str = MODEL) -> DataFrame:
-    """``rows`` with ``ids``, the pieces of ``text`` by the best sum of the model's scores.
+def encode(rows: DataFrame, model: str = MODEL, name: str = "ids") -> DataFrame:
+    """``rows`` with a column ``name``, the pieces of ``text`` by the best sum of the model's
+    scores.
 
-    Null and empty texts have no ids. Other columns stay, so a column ``ids`` may not be
-    there yet; an empty table stays empty. The scores of the model are used as they are,
-    whatever it was trained as.
+    Null and empty texts have no ids. Other columns stay, whatever their names, so give a
+    ``name`` that none of them has; an empty table stays empty. The scores of the model are
+    used as they are, whatever it was trained as.
     """
-    return _with_column(rows, "ids", "array<int>", _encoded, model)
+    return _with_column(rows, name, "array<int>", _encoded, model)
 
 
-def decode(rows: DataFrame, model: str = MODEL) -> DataFrame:
-    """``rows`` with ``decoded``, the text of ``ids``. It is the text that was encoded,
+def decode(rows: DataFrame, model: str = MODEL, name: str = "decoded", ids: str = "ids") -> DataFrame:
+    """``rows`` with a column ``name``, the text of ``ids``. It is the text that was encoded,
     byte for byte, but that U+2581 comes back as the space it stands for. Null ids give
     null, bytes that are no UTF-8 the replacement character."""
-    return _with_column(rows, "decoded", "string", _decoded, model)
+    return _with_column(rows, name, "string", functools.partial(_decoded, ids=ids), model)
 
 
 def op3_pieces(spark, sf_dir: str) -> DataFrame:
