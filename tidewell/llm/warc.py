@@ -12,7 +12,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import bounded_batches, written
+from tidewell.llm.common import ready_for_python, written
 from tidewell.plans.tables import table
 from tidewell.session import new_dir
 
@@ -135,7 +135,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         if out is not None:
             out.close()
 
-    bounded_batches(pages.sparkSession)
+    ready_for_python(pages.sparkSession)
     store, place = fs.FileSystem.from_uri(folder)
     store.create_dir(place, recursive=True)
     return written(pages.mapInArrow(write, INDEX), "warc-index")
@@ -162,13 +162,17 @@ def read_records(selected: DataFrame) -> DataFrame:
 
     Rows are sorted by archive and offset over the cluster, pieces of SPLIT_BYTES apart, and
     neighbours with at most GAP bytes between them become one read of up to READ_BYTES.
-    Every response's length and digest are checked against what was read.
+    Every response's length and digest are checked against what was read. The number of
+    tasks follows the bytes to be read, since the index is small beside them, so
+    ``selected`` is read twice.
     """
-    bounded_batches(selected.sparkSession)
+    ready_for_python(selected.sparkSession)
+    wanted = selected.agg(F.sum("length").alias("bytes")).first()["bytes"] or 0
+    tasks = max(2 * wanted // SPLIT_BYTES, 1)
     piece = F.floor(F.col("offset") / SPLIT_BYTES)
     ordered = (
         selected.select("archive", "offset", "length").withColumn("_piece", piece)
-        .repartition("archive", "_piece").sortWithinPartitions("archive", "offset"))
+        .repartition(tasks, "archive", "_piece").sortWithinPartitions("archive", "offset"))
     return ordered.select("archive", "offset", "length").mapInArrow(_read, RECORD)
 
 
