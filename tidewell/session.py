@@ -8,6 +8,7 @@ import shutil
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -35,12 +36,17 @@ def get_session(name: str = "tidewell", master: str | None = None, **extra) -> S
     return builder.getOrCreate()
 
 
-@functools.cache
 def ship_package(spark: SparkSession) -> None:
-    """Sends this package to the executors, whose Python workers run parts of it."""
+    """Sends this package to the executors, whose Python workers run parts of it. Sessions
+    of one application share it, so it is sent once."""
+    _ship(spark.sparkContext)
+
+
+@functools.cache
+def _ship(context: SparkContext) -> None:
     package = os.path.dirname(os.path.abspath(__file__))
     archive = os.path.join(tempfile.mkdtemp(prefix="tidewell-"), "tidewell")
-    spark.sparkContext.addPyFile(
+    context.addPyFile(
         shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package))
     )
 
