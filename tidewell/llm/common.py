@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 
-from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,16 +40,10 @@ def bounded_batches(spark: SparkSession) -> None:
 
 def ready_for_python(spark: SparkSession) -> None:
     """Lets workers import this package, and take texts in small batches."""
-    ship_once(spark.sparkContext)
+    ship_package(spark)
     bounded_batches(spark)
 
 
-@functools.lru_cache(maxsize=1)
-def ship_once(context: SparkContext) -> None:
-    """Sends this package to the workers of an application, the first time it is asked to."""
-    ship_package(SparkSession(context))
-
-
 def whole_row(df: DataFrame) -> Column:
     """All columns of ``df`` as one, whatever their names."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])

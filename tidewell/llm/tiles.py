@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import ship_once, written
+from tidewell.llm.common import written
+from tidewell.session import ship_package
 
 QUERY_BLOCK = 1024  # queries of a tile, on average
 VECTOR_BLOCK = 4096  # candidates of a tile, on average
@@ -43,7 +44,7 @@ def search(vectors: DataFrame, every: int, tile, score: str, k: int) -> DataFram
     query's ``k`` best of its block. A vector is sent as often as the other side has
     blocks; no pairs of rows are ever made.
     """
-    ship_once(vectors.sparkSession.sparkContext)
+    ship_package(vectors.sparkSession)
     asks = F.col("vec_id") % every == 0
     sizes = vectors.agg(F.count(F.when(asks, 1)).alias("q"), F.count("*").alias("v")).first()
     q_blocks = max(1, -(-sizes["q"] // QUERY_BLOCK))

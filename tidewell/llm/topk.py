@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm import tiles
-from tidewell.llm.common import ship_once, written
+from tidewell.llm.common import written
 from tidewell.plans.tables import table
+from tidewell.session import ship_package
 
 BEST = 5
 PIVOTS = 16  # per dimension; more give closer bounds and cost more to compare
@@ -45,7 +46,7 @@ def choose_pivots(sample: np.ndarray) -> np.ndarray:
 
 def pivot_table(ready: DataFrame) -> DataFrame:
     """Rows with ``vec`` made whole, and ``far``, the distances to the pivots; written."""
-    ship_once(ready.sparkSession.sparkContext)
+    ship_package(ready.sparkSession)
     rows = ready.orderBy(F.xxhash64("row"), "row").select("vec").take(PIVOT_SAMPLE)
     by_dim = {}
     for row in rows:
