@@ -231,17 +231,17 @@ def sanitised(docs: DataFrame) -> DataFrame:
     word (names, numbers) or nothing. Same columns and rows, whatever the columns' names;
     null and empty texts stay, equal rows are changed alike, an empty table stays empty."""
     entities = find_entities(docs)
-    added = term_spans(entities, revealing_terms(docs, entities))
-    # Rows without an entity can't have terms, so only the spans of the others are joined.
-    spans = written(
-        entities.where(F.size("base") > 0).select("_id", "base").dropDuplicates(["_id"])
-        .join(added, "_id", "left").select("_id", _all_spans().alias("spans")), "pii-spans")
-    rows = docs.select(whole_row(docs).alias("_row"), "text",
-                       text_id(F.col("doc_id"), F.col("text")).alias("_key"))
-    joined = rows.join(spans, F.col("_key") == F.col("_id"), "left")
-    changed = F.when(F.col("spans").isNull(), F.col("text")).otherwise(
-        overwritten(F.col("text"), F.col("spans"), _label))
-    clean = joined.select("_row", changed.alias("_clean"))
+    added = written(term_spans(entities, revealing_terms(docs, entities)), "pii-terms")
+    # The patterns run over the texts again: the spans of all rows with an entity are too
+    # many to be sent to each task, and a join with them would move every text.
+    rows = docs.select(
+        whole_row(docs).alias("_row"), "text",
+        text_id(F.col("doc_id"), F.col("text")).alias("_key"),
+        base_spans(F.coalesce(F.col("text"), F.lit(""))).alias("base"))
+    # Rows without an entity can't have terms. They don't take part in the join's skew:
+    # their key stays their own.
+    joined = rows.join(added, F.col("_key") == F.col("_id"), "left")
+    clean = joined.select("_row", overwritten(F.col("text"), _all_spans(), _label).alias("_clean"))
     return clean.select(*[
         F.col("_clean").alias(c) if c == "text" else F.col("_row").getField(c).alias(c)
         for c in docs.columns])
