@@ -14,6 +14,7 @@ from tidewell.operators.buckets import read_buckets
 from tidewell.operators.detect import anomaly_batch, velocity_batch
 from tidewell.plans import streams
 from tidewell.session import new_dir
+from tidewell.sources import files
 from tidewell.sources.files import in_order_of, parquet_stream, spread
 from tidewell.streaming import agents, carried
 from tidewell.streaming.runner import (
@@ -57,6 +58,36 @@ def test_slices_come_in_order_of_time(spark):
     assert rows(got.drop("batch")) == rows(df)
 
 
+def test_a_slice_is_several_tasks_work(spark, monkeypatch):
+    """Also where most ranges of time have no rows; the slices keep their order and number."""
+    monkeypatch.setattr(files, "MIN_FILE_BYTES", 1)
+    cores = spark.sparkContext.defaultParallelism
+    few_times = entries(spark, seed=2).withColumn(
+        "created_at", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") % 9))
+    for made, per_slice in ((entries(spark), cores), (few_times, 2)):
+        made.write.parquet(table := new_dir(spark, "table"))
+        df, seen = spark.read.parquet(table), []
+
+        def count_files(batch, batch_id):
+            spans = batch.groupBy("file").agg(
+                F.min("created_at").alias("a"), F.max("created_at").alias("b"))
+            seen.append([(r.a, r.b) for r in spans.orderBy("a").toLocalIterator()])
+
+        stream = in_order_of(df, "created_at", new_dir(spark, "slices"), slices=4)
+        out, _ = through(spark, stream, lambda s: s.withColumn("file", F.input_file_name()), sink=count_files)
+        assert len(seen) >= 4 and max(map(len, seen)) == per_slice
+        spans = [span for batch in seen for span in batch]
+        assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+        out, _ = through(spark, stream)
+        assert rows(read_batches(spark, out).drop("batch")) == rows(df)
+
+
+def test_files_of_a_slice_follow_its_size_and_the_cores():
+    mb = 1024 * 1024
+    assert [files.files_per_slice(s, 12) for s in (0, mb, 5 * mb, 30 * mb, 180 * mb)] == [1, 1, 5, 12, 12]
+    assert files.files_per_slice(512 * mb, 12) == 16
+
+
 @pytest.mark.parametrize("kind", ["long", "string"])
 @pytest.mark.parametrize("slices", [1, 6])
 def test_detectors_keep_every_row_and_flag(spark, slices, kind):
