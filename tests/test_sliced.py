@@ -3,6 +3,8 @@
 import datetime as dt
 import time
 
+import numpy as np
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from tidewell.operators.detect import anomaly_batch, velocity_batch
 from tidewell.session import new_dir
 from tidewell.sources.files import in_order_of, parquet_stream
-from tidewell.streaming import sliced
+from tidewell.streaming import agents, sliced
 from tidewell.streaming.runner import run_to_end, start_query, stream_progress
 from tidewell.streaming.sinks import batch_sink, read_batches
 
@@ -119,3 +121,49 @@ def test_rows_in_any_order_and_incomplete_ones(spark):
         stream = parquet_stream(spark, source, schema=df.schema)
         run_to_end(start_query(build(stream), "q", batch_sink(out), new_dir(spark, "cp")))
         assert rows(read_batches(spark, out).select(*columns)) == rows(want.select(*columns))
+
+
+def test_a_call_serves_many_users(spark):
+    """Rows kept follow lots and slices, not users and slices, of which there are many more."""
+    n, users, slices = 6000, 1000, 12
+    df = spark.range(n).select(
+        "id", (F.col("id") % users).alias("user_id"), F.lit(1.5).alias("amount"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + F.floor(F.col("id") * slices * 60 / n)).alias("created_at"))
+    got, query = streamed(spark, df, lambda s: sliced.velocity_sliced(
+        s, slice_width="1 minute", window="10 minutes", delay="1 hour"), slices=2)
+    assert rows(got.select(*VELOCITY)) == rows(velocity_batch(df, window="10 minutes").select(*VELOCITY))
+    # Per lot and slice an element for each of two micro-batches and uses, and one per user.
+    last = stream_progress(query).orderBy(F.desc("batch_id")).first()
+    assert last.state_rows <= users + agents.LOTS * 2 * (slices + 2)
+
+
+def test_one_judge_call_tells_users_apart():
+    rng = np.random.default_rng(3)
+    units = rng.integers(1, 90_000, 60)
+    who = np.array([f"={i % 7}" for i in range(60)], object)
+    rule = (5, 3, 3.0, 10_000, None)
+    messages = pd.DataFrame({
+        "lot": 0, "who": who, "slice": 0, "kind": sliced.ROW, "row_id": np.arange(60),
+        "row_at": np.arange(60) // 2, "units": units, "known": None})
+    before = np.array([100, 200, 50_000], "int64")
+    told = pd.DataFrame({
+        "lot": 0, "who": ["=3"], "slice": 0, "kind": sliced.KNOWN, "row_id": None, "row_at": None,
+        "units": None, "known": [before.tobytes()]})
+    judged = pd.concat(sliced.AnomalyJudge(*rule).handleInputRows((0, 0), iter([messages, told]), None))
+    for user in range(7):
+        own = judged[judged["who"] == f"={user}"].sort_values("id")
+        n, total, flagged = agents.flag_anomalies(
+            before if user == 3 else np.array([], "int64"), units[who == f"={user}"], *rule)
+        assert own["history_n"].tolist() == n.tolist() and own["history_sum"].tolist() == total.tolist()
+        assert own["is_anomaly"].tolist() == flagged.tolist()
+
+
+def test_large_user_numbers_beside_null_users(spark):
+    large = 2**60
+    values = [(i, None if i % 3 == 0 else large + i % 2, 1.5, START + dt.timedelta(seconds=i)) for i in range(30)]
+    df = spark.createDataFrame(values, "id long, user_id long, amount double, created_at timestamp")
+    for build, batch, columns in [
+        (sliced.anomaly_sliced, anomaly_batch, ANOMALY), (sliced.velocity_sliced, velocity_batch, VELOCITY),
+    ]:
+        got, _ = streamed(spark, df, build)
+        assert rows(got.select(*columns)) == rows(batch(df).select(*columns))

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import BinaryType, DataType
 
 from tidewell.functions import rules
 from tidewell.functions.numbers import from_minor_units, minor_units
@@ -40,18 +41,68 @@ def _remembered(state: GroupState) -> np.ndarray:
     return np.array(state.get[0] if state.exists else [], dtype="int64")
 
 
+LOTS = 64  # of users, for the life of a checkpoint
+WHO = "who string"
+MAX_TEXT = (1 << 31) - 1
+
+
+def in_lots(rows: DataFrame) -> DataFrame:
+    """Rows with their user as a text that is never null, and with the lot of that user."""
+    kind, user = rows.schema["user_key"].dataType, F.col("user_key")
+    text = F.hex(user) if isinstance(kind, BinaryType) else user.cast("string")
+    who = F.coalesce(F.concat(F.lit("="), text), F.lit(""))
+    named = rows.withColumn("who", who).drop("user_key")
+    return named.withColumn("lot", F.pmod(F.xxhash64("who"), F.lit(LOTS)).cast("int"))
+
+
+def with_users(judged: DataFrame, kind: DataType) -> DataFrame:
+    """``user_key`` for the text of `in_lots`."""
+    text = F.substring("who", 2, MAX_TEXT)
+    user = F.unhex(text) if isinstance(kind, BinaryType) else text.cast(kind)
+    columns = [c for c in judged.columns if c != "who"]
+    return judged.select(F.when(F.col("who") != "", user).alias("user_key"), *columns)
+
+
+def runs_of(values: np.ndarray) -> list[tuple[int, int]]:
+    """Bounds of the runs of equal values."""
+    if not len(values):
+        return []
+    cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
+    return list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(values)], strict=True))
+
+
+def aligned(units: np.ndarray, runs: list[tuple[int, int]], earlier: list[np.ndarray]):
+    """Runs of ``units``, each behind the amounts ``earlier`` than it, in one array; where in it
+    each of ``units`` is, where its run begins, and the bounds of the runs."""
+    parts = [part for (a, b), before in zip(runs, earlier, strict=True) for part in (before, units[a:b])]
+    known = np.concatenate([np.array([], "int64"), *parts])
+    before = np.array([len(e) for e in earlier], "int64")
+    own = np.array([b - a for a, b in runs], "int64")
+    ends = np.cumsum(before + own)
+    starts = ends - before - own
+    here = np.arange(len(units)) + np.repeat(np.cumsum(before), own)
+    return known, here, np.repeat(starts, own), list(zip(starts.tolist(), ends.tolist(), strict=True))
+
+
 def flag_anomalies(
     earlier: np.ndarray, units: np.ndarray,
     history: int, min_n: int, ratio: float, floor_units: int, zscore: float | None,
 ):
     """Number and sum of the ``history`` amounts before each of ``units``, which follow
     ``earlier``, and whether each is an anomaly by them."""
+    known, here, start, _ = aligned(units, [(0, len(units))], [earlier])
+    return flag_runs(known, here, start, history, min_n, ratio, floor_units, zscore)
+
+
+def flag_runs(
+    known: np.ndarray, here: np.ndarray, start: np.ndarray,
+    history: int, min_n: int, ratio: float, floor_units: int, zscore: float | None,
+):
+    """`flag_anomalies` of the amounts at ``here``, each by those before it from ``start`` on."""
     p, q = rules.as_fraction(ratio)
-    known = np.concatenate([earlier, units])
     # sums[i] is the total of the first i known amounts.
     sums = np.concatenate([[0], np.cumsum(known.astype(object))]).astype(object)
-    here = np.arange(len(earlier), len(known))
-    first = np.maximum(here - history, 0)
+    units, first = known[here], np.maximum(here - history, start)
     n, total = here - first, (sums[here] - sums[first]).astype("int64")
     if zscore is None:
         # In Python's integers, as rules.above_ratio in wide decimals.
