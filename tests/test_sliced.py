@@ -167,3 +167,24 @@ def test_large_user_numbers_beside_null_users(spark):
     ]:
         got, _ = streamed(spark, df, build)
         assert rows(got.select(*columns)) == rows(batch(df).select(*columns))
+
+
+def test_a_call_of_the_plain_detector_serves_many_users(spark):
+    """A lot's users are judged in one call, each by what the state has of them."""
+    class State(dict):
+        def getValue(self, who):
+            return self.get(who)
+
+        def updateValue(self, who, value):
+            self[who] = value
+
+    judge = agents.RecentJudge(5, 3, 3.0, 10_000, None)
+    judge.users = State({("=1",): (np.array([100, 100, 100], "int64").tobytes(),)})
+    chunk = pd.DataFrame({
+        "lot": 0, "who": ["=2", "=1", "=2", ""], "row_id": [4, 3, 2, 1], "row_at": [9, 8, 7, 6],
+        "units": [1, 20_000, 2, 3]})
+    judged = pd.concat(judge.handleInputRows((0,), iter([chunk]), None)).sort_values("id")
+    assert judged["history_n"].tolist() == [0, 0, 3, 1]
+    assert judged["is_anomaly"].tolist() == [False, False, True, False]
+    kept = {who: np.frombuffer(value[0], "int64").tolist() for (who,), value in judge.users.items()}
+    assert kept == {"=1": [100, 100, 100, 20_000], "=2": [2, 1], "": [3]}

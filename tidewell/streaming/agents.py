@@ -2,7 +2,9 @@
 
 Spark partitions the stream by user and keeps each user's state. A group's rows
 of one micro-batch are judged together with array operations, in order of time
-and id, so the cost per row stays small for a user with very many rows. The size
+and id, so the cost per row stays small for a user with very many rows. For the anomaly
+detector a group is a lot, a fixed share of the users by hash, since a call per user costs far
+more than the judging of a user's few rows. The size
 of a micro-batch is bounded at the source (``max_files``, ``max_offsets``), and
 with it the rows of one user in memory. Rows of a later micro-batch are judged
 after those of an earlier one, whatever their times.
@@ -17,11 +19,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BinaryType, DataType
 
 from tidewell.functions import rules
 from tidewell.functions.numbers import from_minor_units, minor_units
 from tidewell.functions.times import duration_micros, micros
+from tidewell.session import ship_package
 
 INPUT = ["row_id", "row_at", "units"]
 
@@ -118,27 +122,37 @@ def flag_runs(
     return n, total, flagged.astype(bool)
 
 
-def _judge_anomalies(
-    history: int, min_n: int, ratio: float, floor_units: int, zscore: float | None
-):
-    """State: the user's last ``history`` amounts, oldest first."""
+class RecentJudge(StatefulProcessor):
+    """Judges the rows of a lot's users. State: each user's last ``history`` amounts, oldest first,
+    of which a micro-batch reads and writes those of its own users."""
 
-    def judge(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        ids, at, units = _in_order(chunks)
-        earlier = _remembered(state)
-        n, total, flagged = flag_anomalies(
-            earlier, units, history, min_n, ratio, floor_units, zscore)
-        state.update((np.concatenate([earlier, units])[-history:].tolist(),))
+    def __init__(self, history: int, min_n: int, ratio: float, floor_units: int, zscore: float | None):
+        self.history = history
+        self.rule = (history, min_n, ratio, floor_units, zscore)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.users = handle.getMapState("users", WHO, "units binary")
+
+    def _earlier(self, who: str) -> np.ndarray:
+        state = self.users.getValue((who,))
+        return np.frombuffer(state[0] if state else b"", "int64")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        own = pd.concat(list(rows), ignore_index=True)
+        own = own.sort_values(["who", "row_at", "row_id"], kind="stable")
+        names = own["who"].to_numpy()
+        users = runs_of(names)
+        known, here, start, bounds = aligned(
+            own["units"].to_numpy("int64"), users, [self._earlier(names[a]) for a, _ in users])
+        n, total, flagged = flag_runs(known, here, start, *self.rule)
+        for (a, _), (first, end) in zip(users, bounds, strict=True):
+            self.users.updateValue((names[a],), (known[max(first, end - self.history):end].tobytes(),))
         yield pd.DataFrame({
-            "user_key": key[0],
-            "id": ids,
-            "at": at,
-            "history_n": n,
-            "history_sum": total,
-            "is_anomaly": flagged,
-        })
+            "who": names, "id": own["row_id"].to_numpy(), "at": own["row_at"].to_numpy("int64"),
+            "history_n": n, "history_sum": total, "is_anomaly": flagged})
 
-    return judge
+    def close(self) -> None:
+        pass
 
 
 def _judge_velocity(
@@ -222,20 +236,17 @@ def anomaly_stream(
 ) -> DataFrame:
     """Judges each arriving row against the user's ``history`` earlier ones.
 
-    The rule is the ratio to their mean, or with ``zscore`` the distance from it.
+    The rule is the ratio to their mean, or with ``zscore`` the distance from it. A call judges
+    the users of one of LOTS lots; state is kept per user.
     """
-    rows = detector_input(sdf, user, amount, ts, id_col, scale).drop("event_time")
-    kind, id_kind = (rows.schema[c].dataType.simpleString() for c in ("user_key", "row_id"))
-    judged = rows.groupBy("user_key").applyInPandasWithState(
-        _judge_anomalies(history, min_n, ratio, round(floor * 10**scale), zscore),
-        outputStructType=(
-            f"user_key {kind}, id {id_kind}, at long, history_n long,"
-            " history_sum long, is_anomaly boolean"
-        ),
-        stateStructType="units array<long>",
-        outputMode="append",
-        timeoutConf=GroupStateTimeout.NoTimeout,
-    )
+    ship_package(sdf.sparkSession)
+    rows = in_lots(detector_input(sdf, user, amount, ts, id_col, scale).drop("event_time"))
+    id_kind = rows.schema["row_id"].dataType.simpleString()
+    judged = rows.groupBy("lot").transformWithStateInPandas(
+        RecentJudge(history, min_n, ratio, round(floor * 10**scale), zscore),
+        f"who string, id {id_kind}, at long, history_n long, history_sum long, is_anomaly boolean",
+        "Append", "None")
+    judged = with_users(judged, sdf.schema[user].dataType)
     return named_result(with_history_avg(judged, scale), user, ts, id_col)
 
 
