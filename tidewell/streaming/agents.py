@@ -2,9 +2,9 @@
 
 Spark partitions the stream by user and keeps each user's state. A group's rows
 of one micro-batch are judged together with array operations, in order of time
-and id, so the cost per row stays small for a user with very many rows. For the anomaly
-detector a group is a lot, a fixed share of the users by hash, since a call per user costs far
-more than the judging of a user's few rows. The size
+and id, so the cost per row stays small for a user with very many rows. A group is
+a lot, a fixed share of the users by hash, since a call per user costs far more than the judging
+of a user's few rows; state is read and written per user. The size
 of a micro-batch is bounded at the source (``max_files``, ``max_offsets``), and
 with it the rows of one user in memory. Rows of a later micro-batch are judged
 after those of an earlier one, whatever their times.
@@ -18,7 +18,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BinaryType, DataType
 
@@ -27,27 +26,10 @@ from tidewell.functions.numbers import from_minor_units, minor_units
 from tidewell.functions.times import duration_micros, micros
 from tidewell.session import ship_package
 
-INPUT = ["row_id", "row_at", "units"]
-
-
-def _in_order(chunks: Iterator[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids, times and amounts of a group's rows, sorted by time and id."""
-    parts = [
-        (c["row_id"].to_numpy(), *(c[n].to_numpy(dtype="int64") for n in INPUT[1:])) for c in chunks
-    ]
-    ids, at, units = (np.concatenate(column) for column in zip(*parts))
-    order = np.argsort(ids, kind="stable")  # ids may be texts
-    order = order[np.argsort(at[order], kind="stable")]
-    return ids[order], at[order], units[order]
-
-
-def _remembered(state: GroupState) -> np.ndarray:
-    return np.array(state.get[0] if state.exists else [], dtype="int64")
-
-
 LOTS = 64  # of users, for the life of a checkpoint
 WHO = "who string"
 MAX_TEXT = (1 << 31) - 1
+LOOKS_PER_WINDOW = 8
 
 
 def in_lots(rows: DataFrame) -> DataFrame:
@@ -155,41 +137,71 @@ class RecentJudge(StatefulProcessor):
         pass
 
 
-def _judge_velocity(
-    width: int, max_velocity: int, high_units: int, alert: int, timeout: str
-):
-    """State: the times of the user's rows that a later row can still see."""
-
-    def judge(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        ids, at, units = _in_order(chunks)
-        if timeout == GroupStateTimeout.ProcessingTimeTimeout:
-            at = np.full(len(at), state.getCurrentProcessingTimeMs() * 1000)
-        known = np.sort(np.concatenate([_remembered(state), at]), kind="stable")
-        upto = np.searchsorted(known, at, side="right")
-        velocity = upto - np.searchsorted(known, at - width, side="left")
+class VelocityScan(StatefulProcessor):
+    """Judges the rows of a lot's users. State: per user the times that a later row can still see.
+
+    A user is forgotten once even the newest of these times is out of reach, by a timer of the
+    lot. It looks through the lot once in a part of the window, so that it costs little.
+    """
+
+    def __init__(self, width: int, max_velocity: int, high_units: int, alert: int, mode: str):
+        self.rule = (width, max_velocity, high_units, alert)
+        self.mode = mode
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.users = handle.getMapState("users", WHO, "at binary")
+
+    def _now(self, timer_values) -> int:
+        """The watermark or the clock, in milliseconds."""
+        if self.mode == "EventTime":
+            return timer_values.getCurrentWatermarkInMs()
+        return timer_values.getCurrentProcessingTimeInMs()
+
+    def _needed_until(self, newest: int) -> int:
+        return (newest + self.rule[0]) // 1000 + 1
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        width, max_velocity, high_units, alert = self.rule
+        own = pd.concat(list(rows), ignore_index=True)
+        if self.mode == "ProcessingTime":
+            own["row_at"] = self._now(timerValues) * 1000
+        own = own.sort_values(["who", "row_at", "row_id"], kind="stable")
+        names, at = own["who"].to_numpy(), own["row_at"].to_numpy("int64")
+        velocity, newest = np.zeros(len(own), "int64"), []
+        for a, b in runs_of(names):
+            state = self.users.getValue((names[a],))
+            known = at[a:b]
+            if state:
+                known = np.sort(np.concatenate([np.frombuffer(state[0], "int64"), known]), kind="stable")
+            upto = np.searchsorted(known, at[a:b], side="right")
+            velocity[a:b] = upto - np.searchsorted(known, at[a:b] - width, side="left")
+            kept = known[np.searchsorted(known, known[-1] - width):]
+            self.users.updateValue((names[a],), (kept.tobytes(),))
+            newest.append(int(known[-1]))
+        if self.mode != "None" and not list(self.handle.listTimers()):
+            # Rows can be older than the watermark: Spark drops late ones by an earlier value.
+            self.handle.registerTimer(max(self._needed_until(min(newest)), self._now(timerValues) + 1))
         score = rules.VELOCITY_POINTS * (velocity > max_velocity)
-        score = score + rules.AMOUNT_POINTS * (units > high_units)
-        state.update((known[known >= known[-1] - width].tolist(),))
-        # Forget the user once even the newest of these times is out of reach. Rows
-        # can be older than the watermark: Spark drops late ones by an earlier value.
-        if timeout == GroupStateTimeout.EventTimeTimeout:
-            unneeded = (int(known[-1]) + width) // 1000 + 1
-            state.setTimeoutTimestamp(max(unneeded, state.getCurrentWatermarkMs() + 1))
-        elif timeout == GroupStateTimeout.ProcessingTimeTimeout:
-            state.setTimeoutDuration(width // 1000 + 1)
+        score = score + rules.AMOUNT_POINTS * (own["units"].to_numpy("int64") > high_units)
         yield pd.DataFrame({
-            "user_key": key[0],
-            "id": ids,
-            "at": at,
-            "velocity": velocity,
-            "score": score.astype("int32"),
-            "is_alert": score > alert,
-        })
+            "who": names, "id": own["row_id"].to_numpy(), "at": at, "velocity": velocity,
+            "score": score.astype("int32"), "is_alert": score > alert})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = self._now(timerValues)
+        held = [(who, self._needed_until(int(np.frombuffer(at, "int64")[-1])))
+                for (who,), (at,) in self.users.iterator()]
+        for who, until in held:
+            if until <= now:
+                self.users.removeKey((who,))
+        if left := [until for _, until in held if until > now]:
+            pause = self.rule[0] // 1000 // LOOKS_PER_WINDOW
+            self.handle.registerTimer(max(min(left), now + 1 + pause))
+        yield from ()
 
-    return judge
+    def close(self) -> None:
+        pass
 
 
 def detector_input(sdf: DataFrame, user: str, amount: str, ts: str, id_col: str, scale: int) -> DataFrame:
@@ -268,31 +280,22 @@ def velocity_stream(
 
     Times are the rows' own, or with ``time_mode="processing"`` the time at which
     Spark reads them. A user's state is dropped once its last row is older than
-    the window, by the watermark or the clock. Rows later than the watermark are
+    the window, by the watermark or the clock, or up to an eighth of the window later. Rows later than the watermark are
     not judged but counted in the query's progress; without a watermark all rows
     are judged and no state is dropped. By the clock, Spark looks for idle users for ever: start such a
     query with an interval, or with ``no_data_batches=False`` if it is to end.
     """
     if time_mode not in ("event", "processing"):
         raise ValueError(f"unknown time mode {time_mode!r}")
-    rows, timeout = detector_input(sdf, user, amount, ts, id_col, scale), GroupStateTimeout.NoTimeout
+    ship_package(sdf.sparkSession)
+    rows, kept = in_lots(detector_input(sdf, user, amount, ts, id_col, scale)), "None"
     if time_mode == "processing":
-        rows, timeout = rows.drop("event_time"), GroupStateTimeout.ProcessingTimeTimeout
+        rows, kept = rows.drop("event_time"), "ProcessingTime"
     elif watermark is not None:
-        rows = rows.withWatermark("event_time", watermark)
-        timeout = GroupStateTimeout.EventTimeTimeout
-    kind, id_kind = (rows.schema[c].dataType.simpleString() for c in ("user_key", "row_id"))
-    judge = _judge_velocity(
-        duration_micros(window), max_velocity, round(high_amount * 10**scale), alert, timeout
-    )
-    judged = rows.groupBy("user_key").applyInPandasWithState(
-        judge,
-        outputStructType=(
-            f"user_key {kind}, id {id_kind}, at long, velocity long, score int,"
-            " is_alert boolean"
-        ),
-        stateStructType="at array<long>",
-        outputMode="append",
-        timeoutConf=timeout,
-    )
-    return named_result(judged, user, ts, id_col)
+        rows, kept = rows.withWatermark("event_time", watermark), "EventTime"
+    id_kind = rows.schema["row_id"].dataType.simpleString()
+    judged = rows.groupBy("lot").transformWithStateInPandas(
+        VelocityScan(duration_micros(window), max_velocity, round(high_amount * 10**scale), alert, kept),
+        f"who string, id {id_kind}, at long, velocity long, score int, is_alert boolean",
+        "Append", kept)
+    return named_result(with_users(judged, sdf.schema[user].dataType), user, ts, id_col)
