@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewell.operators import search
 from tidewell.plans.tables import table
-from tidewell.session import new_dir
+from tidewell.session import data_files, new_dir
 
 DOCS = [
     (1, "the license of the text", "en", "x"), (2, "License LICENSE license", "en", "y"),
@@ -101,3 +101,18 @@ def test_a_hot_term_is_spread_over_files(spark):
 def test_top_terms(spark):
     got = search.top_terms(index_of(spark, docs(spark)), 2).collect()
     assert [tuple(r) for r in got] == [("license", 3, 5), ("licensed", 1, 1)]
+
+
+def test_compaction_gives_each_share_of_a_bucket_its_own_task(spark):
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *[
+        F.concat(F.lit("w"), F.col("id") * k % 50) for k in range(1, 6)]).alias("text"))
+    target = new_dir(spark, "index")
+    write = search.index_sink("doc_id", "text", target, buckets=6)
+    for batch_id in range(2):
+        write(docs.filter(F.col("doc_id") % 2 == batch_id), batch_id)
+    before = rows(search.read_index(spark, target).select("term", "doc_id", "tf"))
+    search.compact_index(spark, target)
+    assert rows(search.read_index(spark, target).select("term", "doc_id", "tf")) == before
+    for bucket in range(6):
+        folder = f"{target}/base/upto=1/buckets=6/bucket={bucket}"
+        assert len(data_files(spark, folder)) == search.MIN_SPREAD

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.text import contains, has_token, normal_term, tokens
 from tidewell.operators.deltas import complete, part_paths
-from tidewell.session import estimated_bytes, remove_dir
+from tidewell.session import estimated_bytes, folder_bytes, list_dirs, remove_dir
 from tidewell.sources.files import spread as over_all_cores
 
 TASK_BYTES = 64 * 1024 * 1024  # table bytes per index task
@@ -148,17 +148,23 @@ def read_index(spark: SparkSession, target: str) -> DataFrame:
 def compact_index(spark: SparkSession, target: str, spread: int = MIN_SPREAD) -> None:
     """Folds all complete batches of an index into one base, a folder per bucket.
 
-    Each bucket is dealt to ``spread`` tasks by document, so a term of very many documents
-    is not one task's work. Folders of older bases and folded batches are left to readers
+    Each bucket is dealt to ``spread`` tasks by document, more if the index is large, so a term
+    of very many documents is not one task's work. Each share is one task by number. Folders of older bases and folded batches are left to readers
     that still have them open; the next compaction removes them.
     """
     paths, last = part_paths(spark, target)
     folded = [n for n in complete(spark, f"{target}/base") if n != last]
     if len(paths) > 1:
+        kinds = [name for path in paths for name in list_dirs(spark, path) if name.startswith("buckets=")]
+        buckets = max(int(kind.split("=")[1]) for kind in kinds)
+        size = sum(folder_bytes(spark, path) for path in paths)
+        spread = max(spread, -(-size // (buckets * TASK_BYTES)))
         share = F.pmod(F.xxhash64("doc_id"), F.lit(spread))
         (
             read_index(spark, target)
-            .repartition("buckets", "bucket", share)
+            .withColumn("_task", (F.col("bucket") * spread + share).cast("int"))
+            .repartitionById(buckets * spread, "_task")
+            .drop("_task")
             .sortWithinPartitions("buckets", "bucket", "term")
             .write.mode("overwrite").partitionBy("buckets", "bucket")
             .parquet(f"{target}/base/upto={last}")
