@@ -169,15 +169,31 @@ def test_large_user_numbers_beside_null_users(spark):
         assert rows(got.select(*columns)) == rows(batch(df).select(*columns))
 
 
-def test_a_call_of_the_plain_detector_serves_many_users(spark):
-    """A lot's users are judged in one call, each by what the state has of them."""
-    class State(dict):
-        def getValue(self, who):
-            return self.get(who)
+class State(dict):
+    """A map state."""
+
+    def getValue(self, who):
+        return self.get(who)
+
+    def updateValue(self, who, value):
+        self[who] = value
 
-        def updateValue(self, who, value):
-            self[who] = value
 
+def test_a_call_of_the_plain_velocity_detector_serves_many_users():
+    judge = agents.VelocityScan(10, 2, 100, 70, "None")
+    judge.users = State({("=1",): (np.array([1, 4, 5], "int64").tobytes(),)})
+    chunk = pd.DataFrame({
+        "lot": 0, "who": ["=2", "=1", "=2", ""], "row_id": [4, 3, 2, 1], "row_at": [9, 14, 7, 6],
+        "units": [1, 200, 2, 3]})
+    judged = pd.concat(judge.handleInputRows((0,), iter([chunk]), None)).sort_values("id")
+    assert judged["velocity"].tolist() == [1, 1, 3, 2]
+    assert judged["is_alert"].tolist() == [False, False, True, False]
+    kept = {who: np.frombuffer(value[0], "int64").tolist() for (who,), value in judge.users.items()}
+    assert kept == {"=1": [4, 5, 14], "=2": [7, 9], "": [6]}
+
+
+def test_a_call_of_the_plain_detector_serves_many_users():
+    """A lot's users are judged in one call, each by what the state has of them."""
     judge = agents.RecentJudge(5, 3, 3.0, 10_000, None)
     judge.users = State({("=1",): (np.array([100, 100, 100], "int64").tobytes(),)})
     chunk = pd.DataFrame({
