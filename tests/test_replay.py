@@ -1,11 +1,13 @@
 """Streams over several micro-batches: order, progress, carried rows and compaction."""
 
 import datetime as dt
+import functools
 import os
 import random
 
 import pytest
 from conftest import SMALL, rows
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidewell.operators import search
@@ -230,3 +232,36 @@ def test_registered_streams_run_several_batches(spark):
     out, _ = through(spark, streams.events_in_order(spark, SMALL))
     assert read_batches(spark, out).agg(F.countDistinct("batch")).first()[0] >= 3
     assert read_last_batch(spark, out).count() > 0
+
+
+def alerts_in_every_slice(spark, monkeypatch):
+    """A folder with a table of events, of which every tenth is an alert by its amount alone."""
+    monkeypatch.setattr(
+        streams, "_anomalies", lambda sdf: sdf.withColumn("is_anomaly", F.col("value") > 100))
+    spark.range(270).select(
+        F.col("id").alias("event_id"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id")).alias("ts"),
+        F.when(F.col("id") % 10 == 9, 700.0).otherwise(1.0).alias("value"),
+    ).write.parquet(f"{(folder := new_dir(spark, 'alerts'))}/events.parquet")
+    return folder
+
+
+def test_an_outbox_is_resumed_until_all_batches_are_sent(spark, monkeypatch):
+    """Also where a table makes more batches, each with a failure, than replays have at least."""
+    monkeypatch.setattr(streams, "in_order_of", functools.partial(in_order_of, slices=12))
+    folder = alerts_in_every_slice(spark, monkeypatch)
+    got = rows(streams.alert_outbox(spark, folder))
+    wanted = [(name, e) for name in ("first", "second") for e in range(9, 270, 10)]
+    assert got == sorted(wanted, key=repr)
+
+
+def test_an_outbox_that_gets_no_further_raises(spark, monkeypatch):
+    def never(*_):
+        def write(batch, batch_id):
+            raise ConnectionError("the table is away")
+        return write
+
+    monkeypatch.setattr(streams, "alert_sink", never)
+    folder = alerts_in_every_slice(spark, monkeypatch)
+    with pytest.raises(StreamingQueryException):
+        streams.alert_outbox(spark, folder)
